@@ -1,5 +1,541 @@
-"""Operator-level queries (one per operator of the inventory)."""
+"""Operator-level queries: one per operator of the inventory.
+
+Each reads the whole input tables (through the bronze derivation or the
+silver views) and isolates one operator, so a mismatch with the oracle
+points at that operator.
+"""
 
 from __future__ import annotations
 
-OPERATOR_QUERIES: dict = {}
+import datetime as _dt
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import clean, gen, keys
+from ..operators import feeds, incremental, quality
+from ..operators.dedup import distinct_on_key, keep_first
+from ..sources import bronze
+from ..sources.sinks import materialize
+from . import gold, serving, silver
+from .queries import catalog
+
+# FIXED VALUES: condition names looked up by code number (modulo lookup demo).
+CONDITION_NAMES = ["Malaria", "Typhoid Fever", "Pneumonia", "Sepsis", "Asthma", "Migraine",
+                   "Epilepsy", "Hepatitis B", "Cholera", "Dengue Fever", "Otitis Media", "Cellulitis"]
+
+FEED_CURSOR_TS = _dt.datetime(2000, 1, 1, 0, 0, 0)
+FEED_PAGE_CURSOR = (_dt.datetime(2000, 1, 1, 5, 0, 0), "ENC00005000")
+FEED_PAGE_SIZE = 500
+APPEND_ONLY_CUTOFF = _dt.datetime(1999, 1, 1, 0, 0, 0)
+TENANT = "HMO-AXA"
+PRUNE_YEAR = 1998
+FACT_CHECKS = gold.fact_encounter.spec.checks
+
+
+def _bronze(spark, root, name):
+    return catalog(spark, root).table(f"bronze.{name}")
+
+
+def _silver(spark, root, name):
+    return catalog(spark, root).table(f"silver.{name}")
+
+
+# --- sources, sinks, generators --------------------------------------------
+
+def src_range_spine(spark: SparkSession, root: str) -> DataFrame:
+    """Distributed row spine 1..N, N = number of customers (one scalar read)."""
+    n = catalog(spark, root).inputs["customer"].count()
+    return (spark.range(1, n + 1).withColumnRenamed("id", "n")
+                 .select("n", keys.business_key("PAT", F.col("n"), 6).alias("PATIENT_BK")))
+
+
+def audit_row_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Rows per bronze table plus the active-bed count (one aggregate each)."""
+    cat = catalog(spark, root)
+    parts = [cat.table(f"bronze.{t}").agg(F.count(F.lit(1)).alias("ROW_COUNT"))
+                .select(F.lit(t).alias("TABLE_NAME"), "ROW_COUNT")
+             for t in ("raw_patients", "raw_departments", "raw_providers", "raw_diagnoses",
+                       "raw_encounters", "raw_lab_orders", "raw_bed_assignments",
+                       "raw_patient_coverage")]
+    parts.append(cat.table("bronze.raw_bed_assignments").where(F.col("released_ts").isNull())
+                    .agg(F.count(F.lit(1)).alias("ROW_COUNT"))
+                    .select(F.lit("active_beds").alias("TABLE_NAME"), "ROW_COUNT"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def agg_coverage_by_insurer(spark: SparkSession, root: str) -> DataFrame:
+    """SQL text over a DataFrame argument: patients per insurer code."""
+    cov = _bronze(spark, root, "raw_patient_coverage")
+    return spark.sql("SELECT hmo_code, count(*) AS patients FROM {cov} "
+                     "GROUP BY hmo_code ORDER BY hmo_code", cov=cov)
+
+
+def interval_arithmetic(spark: SparkSession, root: str) -> DataFrame:
+    """Timestamp plus ``make_interval`` written as SQL fragments (``expr``)."""
+    o = catalog(spark, root).inputs["orders"]
+    admit = F.expr("o_orderdate + make_interval(0, 0, 0, 0, cast(pmod(o_orderkey * 7, 24) as int), "
+                   "cast(pmod(o_orderkey * 13, 60) as int), cast(pmod(o_orderkey * 17, 60) as int))")
+    return (o.select(keys.business_key("ENC", F.col("o_orderkey"), 8).alias("ENCOUNTER_BK"),
+                     admit.alias("ADMIT_TS"), F.col("o_orderkey").alias("_k"))
+             .select("ENCOUNTER_BK", "ADMIT_TS",
+                     F.expr("ADMIT_TS + make_interval(0, 0, 0, cast(pmod(_k, 17) as int), 0, 0, 0)")
+                      .alias("DISCHARGE_TS"),
+                     F.expr("ADMIT_TS + make_interval(0, 0, 0, 0, cast(1 + pmod(_k, 71) as int), 0, 0)")
+                      .alias("FIRST_RESULT_TS")))
+
+
+def gen_pick_hash(spark: SparkSession, root: str) -> DataFrame:
+    c = catalog(spark, root).inputs["customer"]
+    k = F.col("c_custkey")
+    return c.select(k.alias("c_custkey"),
+                    gen.pick_by(bronze.GENDER_RAW, k * 7 + 3).alias("GENDER_RAW"),
+                    gen.pick_by(bronze.BLOOD_GROUP_RAW, k * 3 + 1).alias("BLOOD_GROUP_RAW"))
+
+
+def gen_null_injection(spark: SparkSession, root: str) -> DataFrame:
+    c = catalog(spark, root).inputs["customer"]
+    k = F.col("c_custkey")
+    return c.select(k.alias("c_custkey"),
+                    gen.null_when(gen.pick_by(bronze.CITY_RAW, k * 11 + 5), F.pmod(k, F.lit(50)) == 7)
+                       .alias("CITY_RAW"))
+
+
+def gen_stable_bucket(spark: SparkSession, root: str) -> DataFrame:
+    """``pmod(xxhash64(key), n)`` insurer pick (no SQL twin of xxhash64)."""
+    c = catalog(spark, root).inputs["customer"]
+    bk = keys.business_key("PAT", F.col("c_custkey"), 6)
+    return c.select(bk.alias("PATIENT_BK"), keys.pick_stable(bronze.HMO_CODES, bk).alias("HMO_CODE"))
+
+
+def gen_modulo_lookup(spark: SparkSession, root: str) -> DataFrame:
+    p = catalog(spark, root).inputs["part"]
+    arr = F.array(*[F.lit(v) for v in CONDITION_NAMES])
+    return p.select(keys.business_key("DX-", F.col("p_partkey"), 4).alias("DIAGNOSIS_BK"),
+                    F.element_at(arr, (F.pmod(F.col("p_partkey"), F.lit(len(CONDITION_NAMES))) + 1)
+                                 .cast("int")).alias("CONDITION"))
+
+
+def sample_duplicates(spark: SparkSession, root: str) -> DataFrame:
+    """Seeded Bernoulli sample of the patient feed (a sampling operator)."""
+    return _bronze(spark, root, "raw_patients").sample(fraction=0.05, seed=42)
+
+
+def _raw_pat(spark, root):
+    return _bronze(spark, root, "raw_patients").select("patient_bk", "full_name", "dob")
+
+
+def dedup_latest(spark: SparkSession, root: str) -> DataFrame:
+    """Survivor per patient: raw birth-date text ascending, NULLs last."""
+    return keep_first(_raw_pat(spark, root), "patient_bk", [F.col("dob").asc_nulls_last()],
+                      tie_break=["full_name"])
+
+
+def dup_inject_dedup(spark: SparkSession, root: str) -> DataFrame:
+    """The injected duplicates the dedup removed (input minus survivors)."""
+    raw = _raw_pat(spark, root)
+    return raw.exceptAll(dedup_latest(spark, root))
+
+
+def distinct_on_key_q(spark: SparkSession, root: str) -> DataFrame:
+    raw = _bronze(spark, root, "raw_patients").select("patient_bk", "insurance_type", "dob")
+    return distinct_on_key(raw, "patient_bk", order_by="dob").select("patient_bk", "insurance_type")
+
+
+def dob_parse_mixed(spark: SparkSession, root: str) -> DataFrame:
+    raw = _bronze(spark, root, "raw_patients")
+    return raw.select("patient_bk", "dob", clean.mixed_date("dob").alias("DATE_OF_BIRTH"))
+
+
+def dob_parse_dayfirst_compat(spark: SparkSession, root: str) -> DataFrame:
+    raw = _bronze(spark, root, "raw_patients")
+    return raw.select("patient_bk", "dob", clean.mixed_date("dob", dayfirst_compat=True).alias("DATE_OF_BIRTH"))
+
+
+def money_roundtrip(spark: SparkSession, root: str) -> DataFrame:
+    raw = _bronze(spark, root, "raw_encounters")
+    b, p = clean.money("billed_amount_raw"), clean.money("amount_paid_raw")
+    return raw.select("encounter_bk", "billed_amount_raw", "amount_paid_raw",
+                      b.alias("BILLED_AMOUNT"), p.alias("AMOUNT_PAID"), (b - p).alias("OUTSTANDING_AMOUNT"))
+
+
+def business_keys_q(spark: SparkSession, root: str) -> DataFrame:
+    e = _bronze(spark, root, "raw_encounters")
+    bed = _bronze(spark, root, "raw_bed_assignments").select("encounter_bk", "bed_assignment_bk")
+    return (e.select("encounter_bk", "patient_bk", "provider_bk", "department_bk", "diagnosis_bk")
+             .join(bed, "encounter_bk", "inner")
+             .select("*",
+                     F.concat(F.lit("COV"), F.substring("patient_bk", 4, 1 << 20)).alias("coverage_bk"),
+                     F.concat(F.lit("POL-"), F.substring("patient_bk", 4, 1 << 20)).alias("policy_no")))
+
+
+def explode_sequence_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Child rows 1..n per parent with ``explode(sequence(1, n))``."""
+    o = catalog(spark, root).inputs["orders"]
+    enc = keys.business_key("ENC", F.col("o_orderkey"), 8)
+    lines = o.select(enc.alias("ENCOUNTER_BK"),
+                     gen.line_numbers(F.pmod(F.col("o_orderkey"), F.lit(4)) + 1).alias("SEQ"))
+    return lines.select("ENCOUNTER_BK", "SEQ",
+                        F.concat("ENCOUNTER_BK", F.format_string("-LAB%02d", F.col("SEQ"))).alias("LINE_BK"))
+
+
+# --- cleansers ---------------------------------------------------------------
+
+def clean_title_case(spark, root):
+    raw = _bronze(spark, root, "raw_patients")
+    return raw.select("patient_bk", F.col("full_name").alias("RAW_FULL_NAME"), clean.title_case("full_name").alias("FULL_NAME"))
+
+
+def clean_acronym(spark, root):
+    raw = _bronze(spark, root, "raw_departments")
+    return raw.select("department_bk", F.col("ward_type").alias("RAW_WARD_TYPE"), clean.acronym_case("ward_type").alias("WARD_TYPE"))
+
+
+def clean_gender(spark, root):
+    raw = _bronze(spark, root, "raw_patients")
+    return raw.select("patient_bk", F.col("gender").alias("RAW_GENDER"), clean.gender("gender").alias("GENDER"))
+
+
+def clean_code(spark, root):
+    raw = _bronze(spark, root, "raw_bed_assignments")
+    return raw.select("bed_assignment_bk", F.col("ward_no").alias("RAW_WARD_NO"), clean.code("ward_no").alias("WARD_NO"),
+                      clean.code("ward_no", squeeze=True).alias("WARD_NO_SQUEEZED"))
+
+
+def clean_default_unknown(spark, root):
+    raw = _bronze(spark, root, "raw_patients")
+    return raw.select("patient_bk", F.col("city").alias("RAW_CITY"), clean.or_unknown("city").alias("CITY"))
+
+
+def classify_payer(spark, root):
+    raw = _bronze(spark, root, "raw_patients")
+    return raw.select("patient_bk", F.col("insurance_type").alias("RAW_INSURANCE_TYPE"),
+                      clean.payer("insurance_type", "Self-Pay").alias("INSURANCE_TYPE"),
+                      clean.payer("insurance_type", "SELF_PAY").alias("PAYER_TYPE"),
+                      clean.payer("insurance_type", "SELF-PAY").alias("INSURER_CODE"))
+
+
+def clean_strip_title(spark, root):
+    raw = _bronze(spark, root, "raw_providers")
+    return raw.select("provider_bk", F.col("provider_name").alias("RAW_PROVIDER_NAME"), clean.strip_title("provider_name").alias("PROVIDER_NAME"))
+
+
+def phone_normalize(spark, root):
+    raw = _bronze(spark, root, "raw_patients")
+    return raw.select("patient_bk", F.col("phone").alias("RAW_PHONE"), clean.phone("phone").alias("PHONE"))
+
+
+def length_of_stay(spark, root):
+    e = _silver(spark, root, "encounter_silver")
+    return e.select("ENCOUNTER_BK", "ADMIT_TS", "DISCHARGE_TS",
+                    clean.length_of_stay("ADMIT_TS", "DISCHARGE_TS").alias("LENGTH_OF_STAY_DAYS"))
+
+
+def age_years(spark, root):
+    cat = catalog(spark, root)
+    p = cat.table("silver.patient_silver")
+    return p.select("PATIENT_BK", "DATE_OF_BIRTH", clean.age_years("DATE_OF_BIRTH", cat.as_of).alias("AGE"))
+
+
+# --- filters, joins, aggregates ---------------------------------------------
+
+def filter_open_encounters(spark, root):
+    e = _silver(spark, root, "encounter_silver")
+    return serving.open_encounters(e).select("ENCOUNTER_BK", "PATIENT_BK", "ADMIT_TS", "STATUS")
+
+
+def join_left_dim(spark, root):
+    cat = catalog(spark, root)
+    e = cat.table("silver.encounter_silver").select("ENCOUNTER_BK", "DEPARTMENT_BK")
+    d = cat.table("silver.department_silver").select("DEPARTMENT_BK", "DEPARTMENT_NAME", "WARD_TYPE")
+    return e.join(d, "DEPARTMENT_BK", "left")
+
+
+def _labs_joined(enc, labs):
+    agg = gold.labs_per_encounter(labs)
+    return enc.select("ENCOUNTER_BK").join(agg, "ENCOUNTER_BK", "left").select(
+        "ENCOUNTER_BK",
+        F.coalesce("NUM_LAB_TESTS", F.lit(0)).alias("NUM_LAB_TESTS"),
+        F.coalesce("TOTAL_LAB_COST", F.lit(0).cast("decimal(18,2)")).alias("TOTAL_LAB_COST"))
+
+
+def join_left_preagg(spark, root):
+    cat = catalog(spark, root)
+    return _labs_joined(cat.table("silver.encounter_silver"), cat.table("silver.lab_order_silver"))
+
+
+def join_inner_on_filter(spark, root):
+    cat = catalog(spark, root)
+    e = cat.table("silver.encounter_silver").select("ENCOUNTER_BK", "PATIENT_BK")
+    c = cat.table("silver.patient_coverage_silver").where("IS_HMO").select("PATIENT_BK", "HMO_CODE", "POLICY_NO")
+    return e.join(c, "PATIENT_BK", "inner")
+
+
+def star_join_multi(spark, root):
+    cat = catalog(spark, root)
+    labs = cat.table("silver.lab_order_silver").select("LAB_ORDER_BK", "ENCOUNTER_BK")
+    e = cat.table("silver.encounter_silver").select("ENCOUNTER_BK", "PATIENT_BK", "PROVIDER_BK",
+                                                     "DEPARTMENT_BK", "DIAGNOSIS_BK")
+    pat = cat.table("silver.patient_silver").select("PATIENT_BK", "FULL_NAME")
+    prov = cat.table("silver.provider_silver").select("PROVIDER_BK", F.col("PROVIDER_NAME").alias("ATTENDING_PROVIDER"))
+    dept = cat.table("silver.department_silver").select("DEPARTMENT_BK", "DEPARTMENT_NAME")
+    dx = cat.table("silver.diagnosis_silver").select("DIAGNOSIS_BK", "DIAGNOSIS_DESC")
+    j = (labs.join(e, "ENCOUNTER_BK", "inner").join(pat, "PATIENT_BK", "left")
+             .join(prov, "PROVIDER_BK", "left").join(dept, "DEPARTMENT_BK", "left")
+             .join(dx, "DIAGNOSIS_BK", "left"))
+    return j.select("LAB_ORDER_BK", "PATIENT_BK", "FULL_NAME", "ATTENDING_PROVIDER", "DEPARTMENT_NAME",
+                    "DIAGNOSIS_DESC")
+
+
+def agg_labs_per_encounter(spark, root):
+    return gold.labs_per_encounter(_silver(spark, root, "lab_order_silver"))
+
+
+def agg_admissions_per_patient(spark, root):
+    return serving.admission_counts(_silver(spark, root, "encounter_silver"))
+
+
+def agg_abnormal_per_encounter(spark, root):
+    return serving.abnormal_lab_counts(_silver(spark, root, "lab_order_silver"))
+
+
+# --- data quality ------------------------------------------------------------
+
+def _fact_input(spark, root):
+    return _silver(spark, root, "encounter_silver").select(
+        "ENCOUNTER_BK", "BILLED_AMOUNT", "LENGTH_OF_STAY_DAYS", "STATUS")
+
+
+def dq_drop(spark, root):
+    kept, _ = quality.split_by_checks(_fact_input(spark, root), FACT_CHECKS)
+    return kept
+
+
+def dq_violation_counts(spark, root):
+    return quality.violation_counts(_fact_input(spark, root), FACT_CHECKS)
+
+
+def dq_null_policy_drop(spark, root):
+    strict = [quality.Check(c.name, c.predicate, c.action, "drop") for c in FACT_CHECKS]
+    kept, _ = quality.split_by_checks(_fact_input(spark, root), strict)
+    return kept
+
+
+def dq_quarantine(spark, root):
+    """Rows failing a drop-check, with the names of the checks they failed."""
+    _, dropped = quality.split_by_checks(_fact_input(spark, root), FACT_CHECKS)
+    return dropped.select("ENCOUNTER_BK", F.array_join("failed_checks", ",").alias("FAILED_CHECKS"))
+
+
+# --- feeds -------------------------------------------------------------------
+
+def _alerts(spark, root):
+    return catalog(spark, root).table("graphql.abnormal_lab_alerts").select("ALERT_BK", "RESULTED_TS")
+
+
+def feed_since(spark, root):
+    return feeds.read_since(_alerts(spark, root), "RESULTED_TS", cursor=FEED_CURSOR_TS)
+
+
+def feed_since_composite(spark, root):
+    """One page of ``FEED_PAGE_SIZE`` alerts after a ``(time, key)`` cursor."""
+    return feeds.read_since(_alerts(spark, root), "RESULTED_TS", "ALERT_BK", cursor=FEED_PAGE_CURSOR,
+                            limit=FEED_PAGE_SIZE)
+
+
+def feed_append_only_check(spark, root):
+    """Published snapshot at a cutoff vs the current feed: nothing may vanish."""
+    new = catalog(spark, root).table("graphql.abnormal_lab_alerts")
+    old = new.where(F.col("RESULTED_TS") <= F.lit(APPEND_ONLY_CUTOFF))
+    removed = feeds.removed_rows(old, new)
+    # One aggregate over the current feed; the removed-row count rides along
+    # as a scalar subquery.
+    return new.agg(
+        F.count_if(F.col("RESULTED_TS") <= F.lit(APPEND_ONLY_CUTOFF)).alias("OLD_ROWS"),
+        F.count(F.lit(1)).alias("NEW_ROWS"),
+        removed.select(F.count(F.lit(1))).scalar().alias("REMOVED_ROWS"))
+
+
+def tenant_scope(spark, root):
+    """The insurer feed written partitioned by HMO_CODE, read for one tenant."""
+    feed = catalog(spark, root).table("graphql.hmo_encounter_summary")
+    stored = materialize(feed, "hmo_encounter_summary", partition_by=["HMO_CODE"])
+    return feeds.scope_to_tenant(stored, "HMO_CODE", TENANT)
+
+
+def partition_pruned_year(spark, root):
+    fact = catalog(spark, root).table("gold.fact_encounter")
+    stored = materialize(fact, "fact_encounter", partition_by=["ADMIT_YEAR"])
+    return stored.where(F.col("ADMIT_YEAR") == PRUNE_YEAR).drop(
+        "ENCOUNTER_SK", "PATIENT_SK", "PROVIDER_SK", "DEPARTMENT_SK", "DIAGNOSIS_SK")
+
+
+# --- incremental refresh and change feed ------------------------------------
+
+def _snapshots(spark, root):
+    """Two snapshots of the raw encounter feed.
+
+    ``before`` lacks every 10th encounter (k % 10 = 1, inserted since), shows
+    an older status for k % 10 = 2 (updated since) and still holds a
+    retired copy of k % 10 = 3 under a ``-R`` key (deleted since).
+    ``after`` is the current feed.
+    """
+    after = _bronze(spark, root, "raw_encounters")
+    k = keys.key_number("encounter_bk", 3)
+    cur = after.withColumn("_k", k)
+    before = (cur.where(F.pmod("_k", F.lit(10)) != 1)
+                 .withColumn("status", F.when(F.pmod("_k", F.lit(10)) == 2, F.lit("Admitted"))
+                             .otherwise(F.col("status"))))
+    retired = (cur.where(F.pmod("_k", F.lit(10)) == 3)
+                  .withColumn("encounter_bk", F.concat("encounter_bk", F.lit("-R"))))
+    return before.unionByName(retired).drop("_k"), after
+
+
+def change_feed_diff(spark, root):
+    before, after = _snapshots(spark, root)
+    ch = incremental.change_feed(before, after, "encounter_bk")
+    return ch.select("encounter_bk", "status", incremental.CHANGE_COL)
+
+
+def _encounter_view(raw):
+    class _One:  # a catalog stand-in that serves one bronze table
+        def table(self, name):
+            return raw
+    return silver.encounter_silver(_One())
+
+
+def incr_rowwise_equals_full(spark, root):
+    """Old silver (from ``before``) refreshed with the change feed; must equal
+    the silver view recomputed in full on ``after``."""
+    before, after = _snapshots(spark, root)
+    old = _encounter_view(before)
+    ch = incremental.change_feed(before, after, "encounter_bk")
+    return incremental.refresh_rowwise(_encounter_view, old, ch, "encounter_bk", "ENCOUNTER_BK")
+
+
+def incr_aggregate_equals_full(spark, root):
+    """Lab roll-up per encounter computed without every 7th lab line, then
+    refreshed for the encounters whose labs changed; must equal a full run."""
+    cat = catalog(spark, root)
+    enc = cat.table("silver.encounter_silver")
+    labs = cat.table("silver.lab_order_silver")
+    missing = F.pmod(F.xxhash64("LAB_ORDER_BK"), F.lit(7)) == 0
+    old = _labs_joined(enc, labs.where(~missing))
+    touched = labs.where(missing).select("ENCOUNTER_BK")
+    return incremental.refresh_by_key(lambda enc, labs: _labs_joined(enc, labs), old,
+                                      {"enc": enc, "labs": labs}, touched, "ENCOUNTER_BK")
+
+
+# --- scalar function coverage -------------------------------------------------
+
+def scalar_string(spark, root):
+    c = catalog(spark, root).inputs["customer"]
+    n = F.col("c_name")
+    return c.select(
+        "c_custkey",
+        F.trim(F.concat(F.lit("  "), n, F.lit(" "))).alias("TRIMMED"),
+        F.lower(n).alias("LOWERED"), F.upper(n).alias("UPPERED"),
+        F.initcap(F.lower(F.concat(n, F.lit(" of "), F.col("c_mktsegment")))).alias("INITCAPPED"),
+        F.concat(F.lit("C-"), n).alias("CONCATENATED"),
+        F.concat_ws(" ", F.col("c_mktsegment"), n).alias("CONCAT_WS"),
+        F.lpad(F.col("c_nationkey").cast("string"), 3, "0").alias("LPADDED"),
+        F.substring(n, 10, 9).alias("SUBSTRINGED"),
+        F.format_number(F.col("c_acctbal").cast("decimal(18,2)"), 2).alias("FORMATTED"),
+        F.regexp_replace(n, "[^0-9]", "").alias("DIGITS_ONLY"))
+
+
+def scalar_datetime(spark, root):
+    o = catalog(spark, root).inputs["orders"]
+    d = F.to_date("o_orderdate")
+    as_of = F.lit(catalog(spark, root).as_of).cast("date")
+    txt = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    return o.select(
+        "o_orderkey", d.alias("D"),
+        F.date_format(d, "dd/MM/yyyy").alias("DATE_TEXT"),
+        F.year(d).alias("YEAR"), F.quarter(d).alias("QUARTER"), F.month(d).alias("MONTH"),
+        F.dayofmonth(d).alias("DAY"), F.weekofyear(d).alias("WEEK_OF_YEAR"),
+        F.datediff(as_of, d).alias("DAYS_TO_AS_OF"),
+        F.date_sub(d, 30).alias("MINUS_30"),
+        F.from_unixtime(F.unix_timestamp(txt, "yyyy-MM-dd HH:mm:ss"), "yyyy-MM-dd HH:mm:ss").alias("ROUNDTRIP"),
+        F.to_date(F.date_format(d, "yyyy-MM-dd"), "yyyy-MM-dd").alias("REPARSED"))
+
+
+def scalar_math(spark, root):
+    li = catalog(spark, root).inputs["lineitem"]
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.floor(F.col("l_quantity") / 7).alias("FLOOR_QTY"),
+        F.round(price * F.lit(1.07).cast("decimal(3,2)"), 2).alias("ROUND_PRICE"),
+        F.abs(F.col("l_quantity") - 25).alias("ABS_DIFF"),
+        F.pmod(F.col("l_orderkey") - 1000, F.lit(7)).alias("PMOD"),
+        (-F.col("l_quantity")).alias("NEG_QTY"),
+        (F.col("l_linenumber") * 3 + 1).alias("ARITH"))
+
+
+def scalar_array(spark, root):
+    o = catalog(spark, root).inputs["orders"]
+    k = F.col("o_orderkey")
+    seq = F.sequence(F.lit(1), (F.pmod(k, F.lit(5)) + 1).cast("int"))
+    return o.select(
+        "o_orderkey",
+        F.element_at(F.array(F.lit("low"), F.lit("mid"), F.lit("high")),
+                     (F.pmod(k, F.lit(3)) + 1).cast("int")).alias("ELEM"),
+        F.element_at(seq, -1).alias("SEQ_LAST"),
+        F.size(seq).alias("SEQ_SIZE"))
+
+
+OPERATOR_QUERIES = {
+    "src_range_spine": src_range_spine,
+    "audit_row_counts": audit_row_counts,
+    "agg_coverage_by_insurer": agg_coverage_by_insurer,
+    "interval_arithmetic": interval_arithmetic,
+    "gen_pick_hash": gen_pick_hash,
+    "gen_null_injection": gen_null_injection,
+    "gen_stable_bucket": gen_stable_bucket,
+    "gen_modulo_lookup": gen_modulo_lookup,
+    "sample_duplicates": sample_duplicates,
+    "dup_inject_dedup": dup_inject_dedup,
+    "dedup_latest": dedup_latest,
+    "distinct_on_key": distinct_on_key_q,
+    "dob_parse_mixed": dob_parse_mixed,
+    "dob_parse_dayfirst_compat": dob_parse_dayfirst_compat,
+    "money_roundtrip": money_roundtrip,
+    "business_keys": business_keys_q,
+    "explode_sequence_lines": explode_sequence_lines,
+    "clean_title_case": clean_title_case,
+    "clean_acronym": clean_acronym,
+    "clean_gender": clean_gender,
+    "clean_code": clean_code,
+    "clean_default_unknown": clean_default_unknown,
+    "classify_payer": classify_payer,
+    "clean_strip_title": clean_strip_title,
+    "phone_normalize": phone_normalize,
+    "length_of_stay": length_of_stay,
+    "age_years": age_years,
+    "filter_open_encounters": filter_open_encounters,
+    "join_left_dim": join_left_dim,
+    "join_left_preagg": join_left_preagg,
+    "join_inner_on_filter": join_inner_on_filter,
+    "star_join_multi": star_join_multi,
+    "agg_labs_per_encounter": agg_labs_per_encounter,
+    "agg_admissions_per_patient": agg_admissions_per_patient,
+    "agg_abnormal_per_encounter": agg_abnormal_per_encounter,
+    "dq_drop": dq_drop,
+    "dq_violation_counts": dq_violation_counts,
+    "dq_null_policy_drop": dq_null_policy_drop,
+    "dq_quarantine": dq_quarantine,
+    "feed_since": feed_since,
+    "feed_since_composite": feed_since_composite,
+    "feed_append_only_check": feed_append_only_check,
+    "tenant_scope": tenant_scope,
+    "partition_pruned_year": partition_pruned_year,
+    "change_feed_diff": change_feed_diff,
+    "incr_rowwise_equals_full": incr_rowwise_equals_full,
+    "incr_aggregate_equals_full": incr_aggregate_equals_full,
+    "scalar_string": scalar_string,
+    "scalar_datetime": scalar_datetime,
+    "scalar_math": scalar_math,
+    "scalar_array": scalar_array,
+}

@@ -258,5 +258,5 @@ def _compose(body: str) -> str:
 def oracle_queries() -> dict[str, str]:
     from .operator_oracle import OPERATOR_SQL  # noqa: PLC0415
     out = {k: _compose(v) for k, v in VIEW_SQL.items()}
-    out.update({k: _compose(v) for k, v in OPERATOR_SQL.items()})
+    out.update(OPERATOR_SQL)
     return out
