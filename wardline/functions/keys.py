@@ -11,10 +11,12 @@ from .._col import as_col
 def business_key(prefix: str, n, width: int) -> Column:
     """``prefix`` + number zero-padded to at least ``width`` digits (``PAT000001``).
 
-    ``format_string`` pads but never truncates, unlike ``lpad``, so keys stay
-    unique when the numbers outgrow the width.
+    Pads but never truncates (plain ``lpad`` would cut longer numbers and
+    make keys collide once the numbers outgrow the width). Intended for
+    non-negative numbers.
     """
-    return F.format_string(f"{prefix}%0{width}d", as_col(n).cast("long"))
+    s = as_col(n).cast("long").cast("string")
+    return F.concat(F.lit(prefix), F.lpad(s, F.greatest(F.lit(width), F.length(s)), F.lit("0")))
 
 
 def key_number(bk, prefix_len: int) -> Column:

@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.quality import Check
-from ..sources.bronze import bronze_tables
+from ..sources.bronze import bronze_table
 from ..sources.tables import Tables
 
 LAYERS = ("bronze", "silver", "gold", "graphql")
@@ -78,7 +78,6 @@ class Catalog:
         self.warehouse = warehouse
         self.as_of = as_of or DEFAULT_AS_OF
         self.fmt = fmt
-        self._bronze: dict[str, DataFrame] | None = None
         self._cache: dict[str, DataFrame] = {}
 
     def location(self, name: str) -> str:
@@ -96,9 +95,8 @@ class Catalog:
         if self.is_written(name):
             df = self.spark.read.format(self.fmt).load(self.location(name))
         elif name.startswith("bronze."):
-            if self._bronze is None:
-                self._bronze = bronze_tables(self.inputs)
-            df = self._bronze[name.split(".", 1)[1]]
+            df = bronze_table(self.inputs, name.split(".", 1)[1],
+                              resolve=lambda n: self.table("bronze." + n))
         elif name in VIEWS:
             df = self.build(name)
         else:

@@ -11,6 +11,38 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
+_SPREAD: dict = {}
+
+
+def spread(df: DataFrame, key: str, min_rows: int = 100_000) -> DataFrame:
+    """Give a scan at least one split per core when its files offer fewer.
+
+    A parquet file with a single row group is read by one task however
+    large it is, so every per-row expression after it runs on one core, and
+    a round-robin repartition does not help: Catalyst pushes the filters
+    above it back into that one scan task. So when a scan has fewer splits
+    than the cluster has cores and enough rows to matter, it is rewritten
+    once into ``cores`` files under the session's checkpoint folder (shared
+    storage on a cluster) and that copy is scanned instead, with the usual
+    parquet column pruning and filter pushdown.
+
+    On a large input (more splits than cores) this returns ``df`` untouched:
+    no extra shuffle, no copy. Row counts come from parquet footers.
+    """
+    spark = df.sparkSession
+    cache_key = (spark.sparkContext.applicationId, key)
+    if cache_key in _SPREAD:
+        return _SPREAD[cache_key]
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or df.count() < min_rows:
+        out = df
+    else:
+        from .sinks import materialize  # noqa: PLC0415
+        out = materialize(df.repartition(cores), "spread-" + os.path.basename(key).split(".")[0])
+    _SPREAD[cache_key] = out
+    return out
+
+
 class Tables:
     """Lazy, cached-by-name access to ``<dir>/<name>.parquet``.
 
@@ -30,9 +62,22 @@ class Tables:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._dfs:
-            self._dfs[name] = self.spark.read.parquet(self.path(name))
+            p = self.path(name)
+            st = os.stat(p) if os.path.exists(p) else None
+            key = f"{p}:{st.st_mtime_ns}:{st.st_size}" if st else p
+            known = _SPREAD.get((self.spark.sparkContext.applicationId, key))
+            self._dfs[name] = known if known is not None else spread(self.spark.read.parquet(p), key)
         return self._dfs[name]
 
+    def count(self, name: str) -> int:
+        """Row count of an input table, computed once per file (parquet
+        footers only) and reused as a plan literal."""
+        df = self[name]
+        key = (self.spark.sparkContext.applicationId, "count", self.path(name))
+        if key not in _SPREAD:
+            _SPREAD[key] = df.count()
+        return _SPREAD[key]
+
     def register(self, *names: str) -> None:
         """Expose tables as temp views for ``spark.sql``."""
         for n in names or DRIVER_TABLES:
