@@ -69,6 +69,13 @@ def scope_to_tenant(df: DataFrame, col: str, value) -> DataFrame:
     return df.where(F.col(col) == F.lit(value))
 
 
+def scope_to_tenant_sql(df: DataFrame, col: str, value) -> DataFrame:
+    """Same scoping written as SQL with a bound parameter: the caller's
+    tenant arrives as a value (``:tenant``), never spliced into the text."""
+    return df.sparkSession.sql(f"SELECT * FROM {{feed}} WHERE `{col}` = :tenant",
+                               args={"tenant": value}, feed=df)
+
+
 def forbid_columns(df: DataFrame, forbidden) -> DataFrame:
     """Raise if any forbidden column (case-insensitive) is exposed."""
     low = {c.lower() for c in df.columns}

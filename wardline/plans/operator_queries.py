@@ -361,7 +361,7 @@ def tenant_scope(spark, root):
     """The insurer feed written partitioned by HMO_CODE, read for one tenant."""
     feed = catalog(spark, root).table("graphql.hmo_encounter_summary")
     stored = materialize(feed, "hmo_encounter_summary", partition_by=["HMO_CODE"])
-    return feeds.scope_to_tenant(stored, "HMO_CODE", TENANT)
+    return feeds.scope_to_tenant_sql(stored, "HMO_CODE", TENANT)
 
 
 def partition_pruned_year(spark, root):

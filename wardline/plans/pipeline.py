@@ -24,8 +24,30 @@ BRONZE_TABLES = ("raw_patients", "raw_departments", "raw_providers", "raw_diagno
                  "raw_encounters", "raw_lab_orders", "raw_bed_assignments", "raw_patient_coverage")
 
 
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def register_table(spark: SparkSession, name: str, path: str, fmt: str, comment: str = "",
+                   properties: dict | None = None) -> None:
+    """Expose a written table in the session catalog as ``layer.table``
+    (schema per layer, comment, properties). Full refresh: drop, recreate."""
+    layer = name.split(".", 1)[0]
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source=fmt, description=comment or None)
+    if spark.catalog.getTable(name) and _partition_columns(spark, name):
+        spark.sql(f"MSCK REPAIR TABLE {name}")  # register the partition folders
+    props = dict(properties or {})
+    if fmt == "delta":
+        props.setdefault("delta.enableChangeDataFeed", "true")
+    if props:
+        kv = ", ".join(f"'{k}' = '{str(v).replace(chr(39), chr(39) * 2)}'" for k, v in props.items())
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({kv})")
+
+
 def run_pipeline(spark: SparkSession, root: str, warehouse: str, as_of=None, fmt: str = "parquet",
-                 views=None, with_bronze: bool = True) -> list[dict]:
+                 views=None, with_bronze: bool = True, register: bool = True) -> list[dict]:
     """Materialize bronze and the selected views under ``warehouse``.
 
     Returns one audit record per table: rows written, check violations,
@@ -45,6 +67,8 @@ def run_pipeline(spark: SparkSession, root: str, warehouse: str, as_of=None, fmt
             write_table(df.observe(o, F.count(F.lit(1)).alias("rows")), cat.location(name), fmt=fmt)
             audit.append({"table": name, "rows": o.get["rows"], "violations": {},
                           "seconds": round(time.time() - start, 3)})
+            if register:
+                register_table(spark, name, cat.location(name), fmt)
         cat = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt)
     for name in topo_order(views):
         spec = VIEWS[name]
@@ -59,6 +83,10 @@ def run_pipeline(spark: SparkSession, root: str, warehouse: str, as_of=None, fmt
                       "input_rows": rows_in, "violations": dropped,
                       "seconds": round(time.time() - start, 3)})
         cat._cache.pop(name, None)
+        if register:
+            register_table(spark, name, cat.location(name), fmt, spec.comment,
+                           {"wardline.checks": "; ".join(f"{c.name}: {c.predicate}" for c in spec.checks)}
+                           if spec.checks else None)
     with open(os.path.join(warehouse, "_audit.json"), "w") as f:
         json.dump(audit, f, indent=1, default=str)
     return audit
