@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,69 +25,100 @@ BRONZE_TABLES = ("raw_patients", "raw_departments", "raw_providers", "raw_diagno
                  "raw_encounters", "raw_lab_orders", "raw_bed_assignments", "raw_patient_coverage")
 
 
-def _partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+def _quote(v) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str, comment: str = "",
-                   properties: dict | None = None) -> None:
+                   properties: dict | None = None, partition_by=()) -> None:
     """Expose a written table in the session catalog as ``layer.table``
-    (schema per layer, comment, properties). Full refresh: drop, recreate."""
+    (schema per layer, comment, properties) with one DDL statement; the
+    schema is read from the files. Full refresh: drop, recreate."""
     layer = name.split(".", 1)[0]
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {layer}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source=fmt, description=comment or None)
-    if spark.catalog.getTable(name) and _partition_columns(spark, name):
-        spark.sql(f"MSCK REPAIR TABLE {name}")  # register the partition folders
     props = dict(properties or {})
     if fmt == "delta":
         props.setdefault("delta.enableChangeDataFeed", "true")
+    # Partition columns are inferred from the folder layout.
+    ddl = f"CREATE TABLE {name} USING {fmt} LOCATION {_quote(path)}"
+    if comment:
+        ddl += f" COMMENT {_quote(comment)}"
     if props:
-        kv = ", ".join(f"'{k}' = '{str(v).replace(chr(39), chr(39) * 2)}'" for k, v in props.items())
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({kv})")
+        ddl += " TBLPROPERTIES (" + ", ".join(f"{_quote(k)} = {_quote(v)}" for k, v in props.items()) + ")"
+    spark.sql(ddl)
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name}")  # register the partition folders
+
+
+def _levels(names) -> list[list[str]]:
+    """Group views by dependency depth; a level only reads lower levels."""
+    depth: dict[str, int] = {}
+    for n in topo_order(names):
+        depth[n] = 1 + max([depth.get(i, 0) for i in VIEWS[n].inputs] or [0])
+    out: dict[int, list[str]] = {}
+    for n, d in depth.items():
+        out.setdefault(d, []).append(n)
+    return [out[d] for d in sorted(out)]
 
 
 def run_pipeline(spark: SparkSession, root: str, warehouse: str, as_of=None, fmt: str = "parquet",
-                 views=None, with_bronze: bool = True, register: bool = True) -> list[dict]:
+                 views=None, with_bronze: bool = True, register: bool = True,
+                 parallel: int = 4) -> list[dict]:
     """Materialize bronze and the selected views under ``warehouse``.
 
+    Tables of one dependency level are independent, so up to ``parallel``
+    of them are written at once (concurrent Spark jobs share the cluster;
+    small tables no longer wait for each other). Each level reads the
+    levels below from storage.
+
     Returns one audit record per table: rows written, check violations,
     seconds. The audit is also written as ``<warehouse>/_audit.json``.
     """
     os.makedirs(warehouse, exist_ok=True)
     for layer in LAYERS:
         os.makedirs(os.path.join(warehouse, layer), exist_ok=True)
-    cat = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt)
-    audit = []
-    if with_bronze:
-        for t in BRONZE_TABLES:
-            name = f"bronze.{t}"
-            start = time.time()
-            df = cat.table(name)  # built from the inputs (not yet written)
-            o = Observation(name)
-            write_table(df.observe(o, F.count(F.lit(1)).alias("rows")), cat.location(name), fmt=fmt)
-            audit.append({"table": name, "rows": o.get["rows"], "violations": {},
-                          "seconds": round(time.time() - start, 3)})
-            if register:
-                register_table(spark, name, cat.location(name), fmt)
-        cat = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt)
-    for name in topo_order(views):
+    audit: list[dict] = []
+
+    def write_bronze(cat: Catalog, t: str) -> dict:
+        name = f"bronze.{t}"
+        start = time.time()
+        o = Observation(name)
+        df = cat.table(name)  # derived from the inputs
+        write_table(df.observe(o, F.count(F.lit(1)).alias("rows")), cat.location(name), fmt=fmt)
+        return {"table": name, "rows": o.get["rows"], "violations": {},
+                "seconds": round(time.time() - start, 3)}
+
+    def write_view(cat: Catalog, name: str) -> dict:
         spec = VIEWS[name]
         start = time.time()
-        df = spec.fn(cat)
-        kept, obs = apply_checks(df, spec.checks, observe_as=name)
+        kept, obs = apply_checks(spec.fn(cat), spec.checks, observe_as=name)
         write_table(kept, cat.location(name), fmt=fmt, partition_by=spec.partition_by)
         vals = obs.get if obs is not None else {}
-        rows_in = vals.get("_input_rows")
-        dropped = {c.name: vals.get(c.name, 0) for c in spec.checks}
-        audit.append({"table": name, "comment": spec.comment, "partition_by": list(spec.partition_by),
-                      "input_rows": rows_in, "violations": dropped,
-                      "seconds": round(time.time() - start, 3)})
-        cat._cache.pop(name, None)
+        return {"table": name, "comment": spec.comment, "partition_by": list(spec.partition_by),
+                "input_rows": vals.get("_input_rows"),
+                "violations": {c.name: vals.get(c.name, 0) for c in spec.checks},
+                "seconds": round(time.time() - start, 3)}
+
+    def run_level(fn, names):
+        cat = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt)
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            done = list(pool.map(lambda n: fn(cat, n), names))
+        audit.extend(done)
         if register:
-            register_table(spark, name, cat.location(name), fmt, spec.comment,
-                           {"wardline.checks": "; ".join(f"{c.name}: {c.predicate}" for c in spec.checks)}
-                           if spec.checks else None)
+            for rec in done:
+                spec = VIEWS.get(rec["table"])
+                checks = "; ".join(f"{c.name}: {c.predicate}" for c in spec.checks) if spec else ""
+                register_table(spark, rec["table"], cat.location(rec["table"]), fmt,
+                               spec.comment if spec else "",
+                               {"wardline.checks": checks} if checks else None,
+                               spec.partition_by if spec else ())
+
+    if with_bronze:
+        run_level(write_bronze, [t for t in BRONZE_TABLES if t != "raw_patient_coverage"])
+        run_level(write_bronze, ["raw_patient_coverage"])  # derived from raw_patients
+    for level in _levels(views):
+        run_level(write_view, level)
     with open(os.path.join(warehouse, "_audit.json"), "w") as f:
         json.dump(audit, f, indent=1, default=str)
     return audit

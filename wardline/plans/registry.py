@@ -40,6 +40,11 @@ class ViewSpec:
 
 
 VIEWS: dict[str, ViewSpec] = {}
+# Built (lazy) plans of views and bronze tables computed from the inputs,
+# shared by every Catalog of the same session, input folder and as_of.
+# Building a plan costs thousands of driver-to-JVM calls; the plan itself
+# holds no data, so reusing it across refreshes only saves that cost.
+_PLANS: dict = {}
 
 
 def view(name: str, inputs=(), comment: str = "", checks=(), partition_by=(), uses_as_of=False):
@@ -89,9 +94,19 @@ class Catalog:
             return False
         return os.path.exists(os.path.join(self.location(name), "_SUCCESS"))
 
+    def _plan_key(self, name: str):
+        if self.warehouse:
+            return None  # written tables change between runs; never shared
+        return (self.spark.sparkContext.applicationId, self.inputs.root, str(self.as_of),
+                str(getattr(self, "calendar", None)), name)
+
     def table(self, name: str) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
+        key = self._plan_key(name)
+        if key is not None and key in _PLANS:
+            self._cache[name] = _PLANS[key]
+            return _PLANS[key]
         if self.is_written(name):
             df = self.spark.read.format(self.fmt).load(self.location(name))
         elif name.startswith("bronze."):
@@ -102,6 +117,8 @@ class Catalog:
         else:
             raise KeyError(name)
         self._cache[name] = df
+        if key is not None:
+            _PLANS[key] = df
         return df
 
     def build(self, name: str) -> DataFrame:
