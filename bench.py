@@ -19,7 +19,6 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,6 +27,7 @@ from wardline.plans.pipeline import run_pipeline  # noqa: E402
 from wardline.plans.queries import QUERY_AS_OF, all_queries  # noqa: E402
 from wardline.plans.registry import Catalog  # noqa: E402
 from wardline.session import build_session  # noqa: E402
+from wardline.sources.sinks import scratch_path  # noqa: E402
 
 # End-to-end from the input tables (bronze derived on the fly).
 HEADLINE = ["fact_encounter", "ward_census", "hmo_summary", "lab_alerts", "silver_patient",
@@ -65,7 +65,7 @@ def main() -> None:
     for name in HEADLINE:
         cold[name], result[name] = timed(lambda: qs[name](spark, root), runs)
 
-    wh = tempfile.mkdtemp(prefix="wardline-bench-")
+    wh = scratch_path(spark, "bench-warehouse")  # under spark.checkpoint.dir
     t0 = time.perf_counter()
     run_pipeline(spark, root, wh, as_of=QUERY_AS_OF)
     result["pipeline_all"] = round(time.perf_counter() - t0, 3)

@@ -239,6 +239,10 @@ SELECT * FROM ({_ALERTS})
 WHERE RESULTED_TS > TIMESTAMP '2000-01-01 05:00:00'
    OR (RESULTED_TS = TIMESTAMP '2000-01-01 05:00:00' AND ALERT_BK > 'ENC00005000')
 ORDER BY RESULTED_TS, ALERT_BK LIMIT 500""",
+    "feed_since_events": """
+SELECT event_id, ts, event_type FROM events
+WHERE ts > TIMESTAMP '2024-01-02 00:00:00' OR (ts = TIMESTAMP '2024-01-02 00:00:00' AND event_id > 0)
+ORDER BY ts, event_id LIMIT 1000""",
     "feed_append_only_check": f"""
 SELECT count(*) FILTER (WHERE RESULTED_TS <= TIMESTAMP '1999-01-01 00:00:00') AS OLD_ROWS,
        count(*) AS NEW_ROWS, CAST(0 AS BIGINT) AS REMOVED_ROWS

@@ -344,6 +344,16 @@ def feed_since_composite(spark, root):
                             limit=FEED_PAGE_SIZE)
 
 
+EVENT_CURSOR = (_dt.datetime(2024, 1, 2, 0, 0, 0), 0)
+EVENT_PAGE_SIZE = 1000
+
+
+def feed_since_events(spark, root):
+    """The cursor read on the raw event stream: one page after ``(ts, event_id)``."""
+    ev = catalog(spark, root).inputs["events"].select("event_id", "ts", "event_type")
+    return feeds.read_since(ev, "ts", "event_id", cursor=EVENT_CURSOR, limit=EVENT_PAGE_SIZE)
+
+
 def feed_append_only_check(spark, root):
     """Published snapshot at a cutoff vs the current feed: nothing may vanish."""
     new = catalog(spark, root).table("graphql.abnormal_lab_alerts")
@@ -528,6 +538,7 @@ OPERATOR_QUERIES = {
     "dq_quarantine": dq_quarantine,
     "feed_since": feed_since,
     "feed_since_composite": feed_since_composite,
+    "feed_since_events": feed_since_events,
     "feed_append_only_check": feed_append_only_check,
     "tenant_scope": tenant_scope,
     "partition_pruned_year": partition_pruned_year,
