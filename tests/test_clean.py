@@ -94,3 +94,15 @@ def test_md5_bucket_matches_sql_engine(spark):
     want = [con.execute("SELECT (instr('0123456789abcdef', right(md5(?), 1)) - 1) % 4", [v]).fetchone()[0]
             for v in vals]
     assert got == want
+
+
+def test_timestamp_parse_is_strict_and_zone_free(spark):
+    got = one(spark, clean.ts("x"), "2001-03-04 10:11:12")
+    assert got == dt.datetime(2001, 3, 4, 10, 11, 12)
+    for bad in ("2001-03-04", "2001-03-04T10:11:12", "2001-13-04 10:11:12", "junk", None):
+        assert one(spark, clean.ts("x"), bad) is None, bad
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:  # a wall-clock time inside a daylight-saving gap survives
+        assert one(spark, clean.ts("x"), "2001-04-01 02:30:00") == dt.datetime(2001, 4, 1, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -80,8 +80,17 @@ def money(c, precision: int = 18, scale: int = 2) -> Column:
 
 
 def ts(c, fmt: str = TS_FORMAT) -> Column:
-    """Parse zone-less timestamp text into ``TIMESTAMP_NTZ``; NULL on bad text."""
-    return F.try_to_timestamp(as_col(c), F.lit(fmt)).cast("timestamp_ntz")
+    """Parse zone-less timestamp text into ``TIMESTAMP_NTZ``; NULL on bad text.
+
+    The default format is checked by shape and cast straight to
+    ``TIMESTAMP_NTZ``, so no session time zone is involved (no daylight-
+    saving gaps). Other formats go through ``try_to_timestamp``.
+    """
+    x = as_col(c)
+    if fmt == TS_FORMAT:
+        shaped = x.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$")
+        return F.when(shaped, x.try_cast("timestamp_ntz"))
+    return F.try_to_timestamp(x, F.lit(fmt)).cast("timestamp_ntz")
 
 
 def date(c, fmt: str = DATE_FORMAT) -> Column:

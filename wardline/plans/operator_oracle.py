@@ -295,7 +295,7 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS D, strftime(o_orderdate, '%d/%m/
 FROM orders""",
     "scalar_math": """
 SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity / 7) AS BIGINT) AS FLOOR_QTY,
-       round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(1.07 AS DECIMAL(3,2)), 2) AS ROUND_PRICE,
+       CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(1.07 AS DECIMAL(3,2)), 2) AS DECIMAL(21,2)) AS ROUND_PRICE,
        abs(l_quantity - 25) AS ABS_DIFF, ((l_orderkey - 1000) % 7 + 7) % 7 AS PMOD,
        -l_quantity AS NEG_QTY, l_linenumber * 3 + 1 AS ARITH
 FROM lineitem""",

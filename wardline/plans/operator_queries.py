@@ -235,7 +235,7 @@ def length_of_stay(spark, root):
 def age_years(spark, root):
     cat = catalog(spark, root)
     p = cat.table("silver.patient_silver")
-    return p.select("PATIENT_BK", "DATE_OF_BIRTH", clean.age_years("DATE_OF_BIRTH", cat.as_of).alias("AGE"))
+    return p.select("PATIENT_BK", "DATE_OF_BIRTH", clean.age_years("DATE_OF_BIRTH", cat.as_of_col()).alias("AGE"))
 
 
 # --- filters, joins, aggregates ---------------------------------------------
@@ -458,7 +458,7 @@ def scalar_string(spark, root):
 def scalar_datetime(spark, root):
     o = catalog(spark, root).inputs["orders"]
     d = F.to_date("o_orderdate")
-    as_of = F.lit(catalog(spark, root).as_of).cast("date")
+    as_of = catalog(spark, root).as_of_col()
     txt = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     return o.select(
         "o_orderkey", d.alias("D"),

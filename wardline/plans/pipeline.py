@@ -51,6 +51,11 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str, comment:
         spark.sql(f"MSCK REPAIR TABLE {name}")  # register the partition folders
 
 
+def layer_tables(spark: SparkSession, layer: str) -> list[str]:
+    """Names of the tables registered in one layer (the load audit's table list)."""
+    return sorted(t.name for t in spark.catalog.listTables(layer))
+
+
 def _levels(names) -> list[list[str]]:
     """Group views by dependency depth; a level only reads lower levels."""
     depth: dict[str, int] = {}

@@ -15,13 +15,13 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.quality import Check
 from ..sources.bronze import bronze_table
 from ..sources.tables import Tables
 
 LAYERS = ("bronze", "silver", "gold", "graphql")
-DEFAULT_AS_OF = _dt.date.today()
 
 
 @dataclass
@@ -73,7 +73,7 @@ class Catalog:
     ``warehouse``: folder of written layer tables (``<warehouse>/<layer>/<name>``);
     names found there are read back instead of rebuilt.
     ``as_of``: the date that stands in for ``current_date()`` so results are
-    reproducible.
+    reproducible; ``None`` means ``current_date()`` of each execution.
     """
 
     def __init__(self, spark: SparkSession, root: str, warehouse: str | None = None,
@@ -81,7 +81,7 @@ class Catalog:
         self.spark = spark
         self.inputs = Tables(spark, root)
         self.warehouse = warehouse
-        self.as_of = as_of or DEFAULT_AS_OF
+        self.as_of = as_of
         self.fmt = fmt
         self._cache: dict[str, DataFrame] = {}
 
@@ -94,10 +94,17 @@ class Catalog:
             return False
         return os.path.exists(os.path.join(self.location(name), "_SUCCESS"))
 
+    def as_of_col(self):
+        """``as_of`` as a date Column (``current_date()`` when unset)."""
+        return F.current_date() if self.as_of is None else F.lit(str(self.as_of)).cast("date")
+
     def _plan_key(self, name: str):
         if self.warehouse:
             return None  # written tables change between runs; never shared
-        return (self.spark.sparkContext.applicationId, self.inputs.root, str(self.as_of),
+        fp = self.inputs.fingerprint()
+        if fp is None:
+            return None
+        return (self.spark.sparkContext.applicationId, self.inputs.root, fp, str(self.as_of),
                 str(getattr(self, "calendar", None)), name)
 
     def table(self, name: str) -> DataFrame:

@@ -69,6 +69,18 @@ class Tables:
             self._dfs[name] = known if known is not None else spread(self.spark.read.parquet(p), key)
         return self._dfs[name]
 
+    def fingerprint(self):
+        """(name, mtime, size) of every input under ``root`` (local folders
+        only; None elsewhere): plans built for one state of the inputs are
+        not reused once any input file changes."""
+        if "://" in self.root or not os.path.isdir(self.root):
+            return None
+        out = []
+        for n in sorted(os.listdir(self.root)):
+            st = os.stat(os.path.join(self.root, n))
+            out.append((n, st.st_mtime_ns, st.st_size))
+        return tuple(out)
+
     def count(self, name: str) -> int:
         """Row count of an input table, computed once per file (parquet
         footers only) and reused as a plan literal."""
