@@ -20,14 +20,21 @@ def delta_available(spark: SparkSession) -> bool:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
-                change_feed: bool = False) -> None:
+                change_feed: bool = False, rebalance: bool = True) -> None:
     """Overwrite the table at ``path`` (schema may change between runs).
 
     ``partition_by`` lays files out by value so filters on those columns
-    become partition prunes. With ``fmt="delta"`` the table's change data
-    feed can be switched on; other formats have none (use
+    become partition prunes. Rows are first rebalanced on the partition
+    columns (``REBALANCE`` hint): each value's rows meet in few tasks, so
+    each folder gets a few large files instead of one small file per task,
+    and AQE splits a value that holds a large share of the rows (one year,
+    one big insurer) across several tasks instead of one.
+    With ``fmt="delta"`` the table's change data feed can be switched on;
+    other formats have none (use
     :func:`wardline.operators.incremental.change_feed` between snapshots).
     """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").format(fmt)
     if fmt == "delta":
         w = w.option("overwriteSchema", "true")
