@@ -7,7 +7,7 @@ Each query is executed in full with the ``noop`` sink (every row computed,
 nothing collected to the driver); each run includes planning. Reported per
 query: the median of the warm runs (cold runs under ``cold``). The whole
 pipeline (bronze, silver, gold, serving written as parquet and registered)
-is timed once as ``pipeline_all``; then the gold/serving views are timed
+is timed as ``pipeline_all`` (one cold, one warm run); then the gold/serving views are timed
 again over the written silver tables (``*_from_silver``). ``value`` is the
 sum of all reported times.
 """
@@ -65,10 +65,15 @@ def main() -> None:
     for name in HEADLINE:
         cold[name], result[name] = timed(lambda: qs[name](spark, root), runs)
 
-    wh = scratch_path(spark, "bench-warehouse")  # under spark.checkpoint.dir
-    t0 = time.perf_counter()
-    run_pipeline(spark, root, wh, as_of=QUERY_AS_OF)
-    result["pipeline_all"] = round(time.perf_counter() - t0, 3)
+    # Whole pipeline: one cold and one warm run, each into a fresh folder
+    # under spark.checkpoint.dir; the last one serves the next section.
+    times = []
+    for _ in range(2):
+        wh = scratch_path(spark, "bench-warehouse")
+        t0 = time.perf_counter()
+        run_pipeline(spark, root, wh, as_of=QUERY_AS_OF)
+        times.append(time.perf_counter() - t0)
+    cold["pipeline_all"], result["pipeline_all"] = round(times[0], 3), round(times[1], 3)
 
     for view in SERVING:
         key = view.split(".", 1)[1] + "_from_silver"
