@@ -1,4 +1,4 @@
 """The views (silver, gold, serving) and the query catalog built from them."""
 
 from . import gold, serving, silver  # noqa: F401  (registers the views)
-from .registry import VIEWS, Catalog, topo_order, view  # noqa: F401
+from .registry import VIEWS, Catalog, sql_view, topo_order, view  # noqa: F401

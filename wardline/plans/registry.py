@@ -57,6 +57,38 @@ def view(name: str, inputs=(), comment: str = "", checks=(), partition_by=(), us
     return deco
 
 
+def sql_view(name: str, sql: str, inputs, comment: str = "", checks=(), partition_by=(),
+             uses_as_of: bool = False):
+    """Register a view written as Spark SQL text.
+
+    Upstream tables are referred to by their layer-qualified names
+    (``silver.encounter_silver``); each is bound to the upstream DataFrame
+    through ``spark.sql``'s DataFrame arguments, so the SQL runs over
+    whatever the catalog resolves (written tables or lazy plans). ``:as_of``
+    in the text is bound as a date parameter when ``uses_as_of`` is set
+    (``current_date()`` when the catalog has no ``as_of``).
+    """
+    inputs = tuple(inputs)
+    # Longest names first so that no name is replaced inside a longer one.
+    order = sorted(inputs, key=len, reverse=True)
+    text = sql
+    for n in order:
+        text = text.replace(n, "{" + n.replace(".", "__") + "}")
+
+    def fn(cat):
+        frames = {n.replace(".", "__"): cat.table(n) for n in inputs}
+        body, args = text, None
+        if uses_as_of:
+            if cat.as_of is None:
+                body = body.replace(":as_of", "current_date()")
+            else:
+                args = {"as_of": cat.as_of}  # bound as a DATE literal
+        return cat.spark.sql(body, args=args, **frames)
+
+    fn.__name__ = name.split(".", 1)[-1]
+    return view(name, inputs, comment, checks, partition_by, uses_as_of)(fn)
+
+
 def enforce(df: DataFrame, checks) -> DataFrame:
     """Keep rows passing every ``drop`` check (a plain, pushable filter)."""
     cond = None
