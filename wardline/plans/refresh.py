@@ -5,8 +5,9 @@ Chooses a refresh mode per table, the way a view host would:
 * ``unchanged``: no input row of the table changed; the table is kept.
 * ``by_key``: the table's rows for a key depend only on input rows with the
   same key (every silver view; the encounter fact, keyed by encounter). The
-  changed keys are found as the symmetric multiset difference of old and new
-  bronze (``exceptAll`` both ways, so duplicate rows are handled), and
+  changed keys are those whose per-key signature (row count and two hash
+  sums, so duplicate rows are handled) differs between old and new bronze,
+  and
   :func:`wardline.operators.incremental.refresh_by_key` recomputes only those
   keys and keeps every other row.
 * ``full``: everything else whose inputs changed (dimensions joined to other
@@ -25,8 +26,9 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.incremental import refresh_by_key
+from ..operators.incremental import key_signatures, refresh_by_key
 from ..sources.sinks import materialize, write_table
 from .pipeline import BRONZE_TABLES, _levels, register_table
 from .registry import VIEWS, Catalog, enforce
@@ -69,11 +71,14 @@ class _Given:
 
 
 def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Keys of rows that differ between two snapshots (inserted, deleted or
-    updated; duplicates counted), one row per key."""
+    """Keys whose rows differ between two snapshots (inserted, deleted or
+    updated; duplicate rows counted), one row per key. Only per-key
+    signatures (count and two hash sums, partially aggregated) are shuffled
+    and joined, never whole rows."""
     cols = new.columns
-    o, n = old.select(cols), new.select(cols)
-    return o.exceptAll(n).unionByName(n.exceptAll(o)).select(key).distinct()
+    so = key_signatures(old.select(cols), key).select(key, F.struct("_n", "_h1", "_h2").alias("_so"))
+    sn = key_signatures(new.select(cols), key).select(key, F.struct("_n", "_h1", "_h2").alias("_sn"))
+    return so.join(sn, key, "full_outer").where(~F.col("_so").eqNullSafe(F.col("_sn"))).select(key)
 
 
 def _overwrite(cat: Catalog, name: str, df: DataFrame, fmt: str) -> None:
