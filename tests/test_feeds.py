@@ -55,3 +55,9 @@ def test_hmo_feed_has_no_patient_name(spark, small_root):
         raise AssertionError("expected refusal")
     except ValueError:
         pass
+
+
+def test_removed_rows_by_key_digest(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 2), ("c", None)], "k string, v int")
+    new = spark.createDataFrame([("a", 1), ("b", 3), ("c", None), ("d", 4)], "k string, v int")
+    assert [tuple(r) for r in feeds.removed_rows(old, new, key="k").collect()] == [("b", 2)]

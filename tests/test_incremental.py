@@ -54,3 +54,11 @@ def test_changed_keys_with_duplicate_rows(spark):
     old = spark.createDataFrame([("p1", "a"), ("p1", "a"), ("p2", "b"), ("p3", None)], "k string, v string")
     new = spark.createDataFrame([("p1", "a"), ("p2", "b"), ("p3", None), ("p4", "d")], "k string, v string")
     assert sorted(r.k for r in changed_keys(old, new, "k").collect()) == ["p1", "p4"]
+
+
+def test_distinct_on_key_keeps_keys_whose_order_values_are_all_null(spark):
+    from wardline.operators.dedup import distinct_on_key
+    df = spark.createDataFrame([("p1", "x", None), ("p1", "y", "2001"), ("p2", "z", None)],
+                               "k string, v string, o string")
+    got = sorted(tuple(r) for r in distinct_on_key(df, "k", order_by="o").collect())
+    assert got == [("p1", "y", "2001"), ("p2", "z", None)]

@@ -34,9 +34,9 @@ def distinct_on_key(df: DataFrame, keys, order_by=None) -> DataFrame:
 
     Without ``order_by`` this is ``dropDuplicates`` (an aggregate with a
     map-side partial step; which row survives is up to Spark). With
-    ``order_by`` the survivor is the smallest ``order_by`` value, picked by
-    ``min_by`` — also a partial aggregate, so hot keys shrink before the
-    shuffle.
+    ``order_by`` the survivor is the smallest ``order_by`` value (NULLs
+    last, never dropped), picked by ``min_by`` — also a partial aggregate,
+    so hot keys shrink before the shuffle.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if order_by is None:
@@ -44,5 +44,5 @@ def distinct_on_key(df: DataFrame, keys, order_by=None) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in rest])
     return (df.groupBy(*keys)
-              .agg(F.min_by(packed, as_col(order_by)).alias("__row"))
+              .agg(F.min_by(packed, F.struct(as_col(order_by).isNull(), as_col(order_by))).alias("__row"))
               .select(*keys, *[F.col("__row")[c].alias(c) for c in rest]))

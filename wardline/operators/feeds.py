@@ -52,14 +52,21 @@ def next_cursor(page: DataFrame, ts_col: str, tie_col: str | None = None, previo
     return previous if r is None else (r[0], r[1])
 
 
-def removed_rows(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows of ``old`` missing from ``new`` (multiset difference).
+def removed_rows(old: DataFrame, new: DataFrame, key: str | None = None) -> DataFrame:
+    """Rows of ``old`` missing from ``new`` (changed or gone).
 
     An append-only feed must return no rows here: published rows never
-    change or disappear.
+    change or disappear. With a unique ``key`` only ``(key, row digest)``
+    pairs are shuffled (a left-anti join); without one, the multiset
+    difference of whole rows (``exceptAll``).
     """
     cols = old.columns
-    return old.select(*cols).exceptAll(new.select(*cols))
+    if key is None:
+        return old.select(*cols).exceptAll(new.select(*cols))
+    from .incremental import row_digest  # noqa: PLC0415
+    o = old.select(*cols, row_digest(cols).alias("_d"))
+    n = new.select(key, row_digest(cols).alias("_d"))
+    return o.join(n, [key, "_d"], "left_anti").select(*cols)
 
 
 def scope_to_tenant(df: DataFrame, col: str, value) -> DataFrame:

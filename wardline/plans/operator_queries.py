@@ -358,7 +358,7 @@ def feed_append_only_check(spark, root):
     """Published snapshot at a cutoff vs the current feed: nothing may vanish."""
     new = catalog(spark, root).table("graphql.abnormal_lab_alerts")
     old = new.where(F.col("RESULTED_TS") <= F.lit(APPEND_ONLY_CUTOFF))
-    removed = feeds.removed_rows(old, new)
+    removed = feeds.removed_rows(old, new, key="ALERT_BK")
     # One aggregate over the current feed; the removed-row count rides along
     # as a scalar subquery.
     return new.agg(
