@@ -51,3 +51,12 @@ def test_calendar_fixed_range(spark):
     assert cal.count() == 1461
     first = cal.orderBy("DATE_VALUE").first()
     assert first.WEEK_OF_YEAR == 52 and first.IS_WEEKEND and first.DAY_NAME == "Sunday"
+
+
+def test_pipeline_fixed_calendar(spark, small_root, tmp_path):
+    audit = run_pipeline(spark, small_root, str(tmp_path / "wh"), as_of=QUERY_AS_OF, register=False,
+                         views=["gold.dim_date"], with_bronze=False,
+                         calendar=(dt.date(2023, 1, 1), dt.date(2026, 12, 31)))
+    assert [a["table"] for a in audit][-1] == "gold.dim_date"
+    cal = Catalog(spark, small_root, warehouse=str(tmp_path / "wh")).table("gold.dim_date")
+    assert cal.count() == 1461

@@ -69,7 +69,7 @@ def _levels(names) -> list[list[str]]:
 
 def run_pipeline(spark: SparkSession, root: str, warehouse: str, as_of=None, fmt: str = "parquet",
                  views=None, with_bronze: bool = True, register: bool = True,
-                 parallel: int = 4) -> list[dict]:
+                 parallel: int = 4, calendar=None) -> list[dict]:
     """Materialize bronze and the selected views under ``warehouse``.
 
     Tables of one dependency level are independent, so up to ``parallel``
@@ -106,7 +106,7 @@ def run_pipeline(spark: SparkSession, root: str, warehouse: str, as_of=None, fmt
                 "seconds": round(time.time() - start, 3)}
 
     def run_level(fn, names):
-        cat = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt)
+        cat = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt, calendar=calendar)
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             done = list(pool.map(lambda n: fn(cat, n), names))
         audit.extend(done)

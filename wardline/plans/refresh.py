@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..operators.incremental import key_signatures, refresh_by_key
 from ..sources.sinks import materialize, write_table
 from .pipeline import BRONZE_TABLES, _levels, register_table
-from .registry import VIEWS, Catalog, enforce
+from .registry import VIEWS, Catalog, Given, enforce
 
 BRONZE_KEYS = {
     "raw_patients": "patient_bk",
@@ -56,20 +56,6 @@ SILVER_BY_KEY = {
 }
 
 
-class _Given:
-    """A catalog stand-in serving fixed DataFrames to a view function."""
-
-    def __init__(self, frames: dict, as_of_col):
-        self.frames = frames
-        self._as_of_col = as_of_col
-
-    def table(self, name):
-        return self.frames[name]
-
-    def as_of_col(self):
-        return self._as_of_col
-
-
 def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Keys whose rows differ between two snapshots (inserted, deleted or
     updated; duplicate rows counted), one row per key. Only per-key
@@ -128,7 +114,7 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
         bronze_key = BRONZE_KEYS[t]
 
         def view_fn(raw, spec=spec, t=t):
-            return enforce(spec.fn(_Given({f"bronze.{t}": raw}, fresh.as_of_col())), spec.checks)
+            return enforce(spec.fn(Given({f"bronze.{t}": raw}, fresh.as_of_col())), spec.checks)
 
         new_silver[name] = refresh_by_key(
             view_fn, old.table(name), {"raw": fresh.table(f"bronze.{t}")},
@@ -160,7 +146,7 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
             start = time.time()
             if name == "gold.fact_encounter":
                 def fact_fn(enc, labs, spec=spec):
-                    g = _Given({"silver.encounter_silver": enc, "silver.lab_order_silver": labs},
+                    g = Given({"silver.encounter_silver": enc, "silver.lab_order_silver": labs},
                                cur.as_of_col())
                     return enforce(spec.fn(g), spec.checks)
                 df = refresh_by_key(fact_fn, old.table(name),

@@ -106,14 +106,17 @@ class Catalog:
     names found there are read back instead of rebuilt.
     ``as_of``: the date that stands in for ``current_date()`` so results are
     reproducible; ``None`` means ``current_date()`` of each execution.
+    ``calendar``: fixed ``(start, end)`` of the date dimension; by default it
+    covers whole years around the data.
     """
 
     def __init__(self, spark: SparkSession, root: str, warehouse: str | None = None,
-                 as_of: _dt.date | None = None, fmt: str = "parquet"):
+                 as_of: _dt.date | None = None, fmt: str = "parquet", calendar=None):
         self.spark = spark
         self.inputs = Tables(spark, root)
         self.warehouse = warehouse
         self.as_of = as_of
+        self.calendar = calendar  # (start, end) for gold.dim_date; None: cover the data
         self.fmt = fmt
         self._cache: dict[str, DataFrame] = {}
 
@@ -137,7 +140,7 @@ class Catalog:
         if fp is None:
             return None
         return (self.spark.sparkContext.applicationId, self.inputs.root, fp, str(self.as_of),
-                str(getattr(self, "calendar", None)), name)
+                str(self.calendar), name)
 
     def table(self, name: str) -> DataFrame:
         if name in self._cache:
@@ -166,6 +169,22 @@ class Catalog:
         return enforce(spec.fn(self), spec.checks)
 
 
+class Given:
+    """A catalog stand-in that serves fixed DataFrames to a view function
+    (used to run a view on a subset of its inputs)."""
+
+    def __init__(self, frames: dict, as_of_col=None, calendar=None):
+        self.frames = frames
+        self._as_of_col = as_of_col
+        self.calendar = calendar
+
+    def table(self, name: str) -> DataFrame:
+        return self.frames[name]
+
+    def as_of_col(self):
+        return F.current_date() if self._as_of_col is None else self._as_of_col
+
+
 def topo_order(names=None) -> list[str]:
     """Views in dependency order (inputs first)."""
     names = list(names or VIEWS)
