@@ -105,19 +105,22 @@ def run_pipeline(spark: SparkSession, root: str, warehouse: str, as_of=None, fmt
                 "violations": {c.name: vals.get(c.name, 0) for c in spec.checks},
                 "seconds": round(time.time() - start, 3)}
 
+    def publish(cat: Catalog, rec: dict) -> dict:
+        """Register a written table in the session catalog (catalog calls
+        are synchronized; running them in the worker overlaps other writes)."""
+        if register:
+            spec = VIEWS.get(rec["table"])
+            checks = "; ".join(f"{c.name}: {c.predicate}" for c in spec.checks) if spec else ""
+            register_table(spark, rec["table"], cat.location(rec["table"]), fmt,
+                           spec.comment if spec else "",
+                           {"wardline.checks": checks} if checks else None,
+                           spec.partition_by if spec else ())
+        return rec
+
     def run_level(fn, names):
         cat = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt, calendar=calendar)
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            done = list(pool.map(lambda n: fn(cat, n), names))
-        audit.extend(done)
-        if register:
-            for rec in done:
-                spec = VIEWS.get(rec["table"])
-                checks = "; ".join(f"{c.name}: {c.predicate}" for c in spec.checks) if spec else ""
-                register_table(spark, rec["table"], cat.location(rec["table"]), fmt,
-                               spec.comment if spec else "",
-                               {"wardline.checks": checks} if checks else None,
-                               spec.partition_by if spec else ())
+            audit.extend(pool.map(lambda n: publish(cat, fn(cat, n)), names))
 
     if with_bronze:
         run_level(write_bronze, [t for t in BRONZE_TABLES if t != "raw_patient_coverage"])
