@@ -24,3 +24,29 @@ def test_alert_stream_equals_batch_feed(spark, small_root, tmp_path):
     assert got.count() == want.count()
     assert got.select("ALERT_BK").distinct().count() == got.count()
     assert got.select(want.columns).exceptAll(want).count() == 0
+
+
+def test_stream_dedups_within_watermark_and_drops_late_rows(spark, small_root, tmp_path):
+    import datetime as dt
+
+    cat = catalog(spark, small_root)
+    labs = cat.table("silver.lab_order_silver")
+    enc = cat.table("silver.encounter_silver").where("STATUS <> 'Cancelled'").select("ENCOUNTER_BK").first()[0]
+    schema = labs.schema
+
+    def lab(key, day):
+        return (key, enc, "CBC", None, "Abnormal", dt.datetime(2000, 1, day, 12, 0))
+
+    src = str(tmp_path / "labs")
+    args = dict(encounters=cat.table("silver.encounter_silver"), providers=cat.table("silver.provider_silver"),
+                departments=cat.table("silver.department_silver"), diagnoses=cat.table("silver.diagnosis_silver"))
+    sink, ck = str(tmp_path / "alerts"), str(tmp_path / "ck")
+    arrivals = [[lab("L1", 10)],
+                [lab("L1", 10), lab("L2", 11)],   # L1 re-delivered inside the watermark
+                [lab("L0", 1), lab("L3", 12)]]    # L0 is 10 days late (> 3-day watermark)
+    for i, rows in enumerate(arrivals):
+        spark.createDataFrame(rows, schema).write.parquet(os.path.join(src, f"part{i}"))
+        q = start_alert_stream(spark, os.path.join(src, "*"), schema, sink_dir=sink, checkpoint=ck, **args)
+        q.awaitTermination(300)
+    got = sorted(r.ALERT_BK for r in read_alert_feed(spark, sink).collect())
+    assert got == ["L1", "L2", "L3"]
