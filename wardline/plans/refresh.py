@@ -11,8 +11,9 @@ Chooses a refresh mode per table, the way a view host would:
   :func:`wardline.operators.incremental.refresh_by_key` recomputes only those
   keys and keeps every other row.
 * ``full``: everything else whose inputs changed (dimensions joined to other
-  dimensions, the calendar, the serving tables, which also depend on the
-  current date).
+  dimensions, the calendar, the serving tables), and every view that
+  depends on the current date (patient ages, the ward board), which is
+  rebuilt on every refresh.
 
 A refreshed table is first written to scratch storage and then copied over
 its location (a table cannot be overwritten by a plan that still reads it).
@@ -107,21 +108,27 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
     new_silver: dict[str, DataFrame] = {}
     dirty: set[str] = set()
     for name, (t, key) in SILVER_BY_KEY.items():
-        if not counts[t]:
-            continue
         spec = VIEWS[name]
+        if not counts[t] and not spec.uses_as_of:
+            continue
         start = time.time()
         bronze_key = BRONZE_KEYS[t]
 
         def view_fn(raw, spec=spec, t=t):
             return enforce(spec.fn(Given({f"bronze.{t}": raw}, fresh.as_of_col())), spec.checks)
 
-        new_silver[name] = refresh_by_key(
-            view_fn, old.table(name), {"raw": fresh.table(f"bronze.{t}")},
-            changed[t].withColumnRenamed(bronze_key, key), key, input_keys={"raw": bronze_key})
+        if spec.uses_as_of:
+            # Depends on the current date (ages): every row may change, so
+            # the view is rebuilt in full from the new bronze.
+            new_silver[name] = view_fn(fresh.table(f"bronze.{t}"))
+            mode = {"mode": "full"}
+        else:
+            new_silver[name] = refresh_by_key(
+                view_fn, old.table(name), {"raw": fresh.table(f"bronze.{t}")},
+                changed[t].withColumnRenamed(bronze_key, key), key, input_keys={"raw": bronze_key})
+            mode = {"mode": "by_key", "changed_keys": counts[t]}
         dirty.add(name)
-        audit.append({"table": name, "mode": "by_key", "changed_keys": counts[t],
-                      "seconds": round(time.time() - start, 3)})
+        audit.append({"table": name, **mode, "seconds": round(time.time() - start, 3)})
 
     # Land bronze and silver (silver results were planned against the old
     # bronze/silver files, so stage them before anything is overwritten).
@@ -140,7 +147,7 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
             if name in SILVER_BY_KEY:
                 continue  # done above
             spec = VIEWS[name]
-            if not (set(spec.inputs) & dirty):
+            if not (set(spec.inputs) & dirty) and not spec.uses_as_of:
                 audit.append({"table": name, "mode": "unchanged", "seconds": 0.0})
                 continue
             start = time.time()
@@ -164,6 +171,8 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
         for rec in audit:
             if rec["mode"] != "unchanged":
                 spec = VIEWS.get(rec["table"])
+                checks = "; ".join(f"{c.name}: {c.predicate}" for c in spec.checks) if spec else ""
                 register_table(spark, rec["table"], cur.location(rec["table"]), fmt,
-                               spec.comment if spec else "", None, spec.partition_by if spec else ())
+                               spec.comment if spec else "", {"wardline.checks": checks} if checks else None,
+                               spec.partition_by if spec else ())
     return audit
