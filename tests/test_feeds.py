@@ -61,3 +61,16 @@ def test_removed_rows_by_key_digest(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2), ("c", None)], "k string, v int")
     new = spark.createDataFrame([("a", 1), ("b", 3), ("c", None), ("d", 4)], "k string, v int")
     assert [tuple(r) for r in feeds.removed_rows(old, new, key="k").collect()] == [("b", 2)]
+
+
+def test_until_keeps_the_cursor_behind_the_clock(spark):
+    now = T + dt.timedelta(minutes=30)
+    df = feed(spark)
+    page = feeds.read_since(df, "ts", "k", cursor=None, limit=10, until=now)
+    assert [r.k for r in page.collect()] == ["a", "b", "c"]  # "d" is in the future
+    cursor = feeds.next_cursor(page, "ts", "k")
+    assert cursor[0] <= now
+    # a row that arrives later with a time before "d" but after the cursor is not lost
+    late = df.unionByName(spark.createDataFrame([("c2", T + dt.timedelta(minutes=40))], "k string, ts timestamp_ntz"))
+    nxt = feeds.read_since(late, "ts", "k", cursor=cursor, limit=10, until=T + dt.timedelta(hours=2))
+    assert [r.k for r in nxt.collect()] == ["c2", "d"]

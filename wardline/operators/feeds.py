@@ -23,15 +23,22 @@ def after_cursor(ts_col: str, tie_col: str | None, cursor) -> Column:
 
 
 def read_since(df: DataFrame, ts_col: str, tie_col: str | None = None, cursor=None,
-               limit: int | None = None) -> DataFrame:
+               limit: int | None = None, until=None) -> DataFrame:
     """Rows after ``cursor`` (all rows when ``cursor`` is None), oldest first.
 
     ``limit`` makes it a page: the first ``limit`` rows in ``(ts, tie)``
     order, planned as a top-k (each task keeps ``limit`` rows, one merge),
     so a page never needs a global sort of the feed. NULL times are never
     delivered (they cannot be placed after any cursor).
+
+    ``until`` caps the times delivered (e.g. now minus a safety lag). Event
+    times can lie in the future, and a cursor that jumps to such a time would
+    skip rows that arrive later with earlier times; with ``until`` the cursor
+    never passes the cap, and future rows wait for a later read.
     """
     rows = df.where(F.col(ts_col).isNotNull())
+    if until is not None:
+        rows = rows.where(F.col(ts_col) <= F.lit(until))
     if cursor is not None:
         rows = rows.where(after_cursor(ts_col, tie_col, cursor))
     order = [F.col(ts_col).asc()] + ([F.col(tie_col).asc()] if tie_col else [])
