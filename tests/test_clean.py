@@ -72,6 +72,8 @@ def test_age_years(spark):
 
 def test_keys(spark):
     assert one(spark, keys.surrogate_key("x"), None) == 42
+    assert one(spark, keys.surrogate_key("x", null_if_null=True), None) is None
+    assert one(spark, keys.surrogate_key("x", null_if_null=True), "PAT1") == one(spark, keys.surrogate_key("x"), "PAT1")
     assert one(spark, keys.business_key("PAT", F.col("x"), 6), 5, "x long") == "PAT000005"
     # never truncates
     assert one(spark, keys.business_key("PAT", F.col("x"), 6), 12345678, "x long") == "PAT12345678"

@@ -24,13 +24,21 @@ def key_number(bk, prefix_len: int) -> Column:
     return F.substring(as_col(bk), prefix_len + 1, 1 << 20).try_cast("long")
 
 
-def surrogate_key(*cols) -> Column:
+def surrogate_key(*cols, null_if_null: bool = False) -> Column:
     """``xxhash64`` of the business key(s): deterministic and refresh-stable.
 
-    Note: ``xxhash64(NULL)`` is the seed (42), not NULL, so a NULL business
-    key still yields a value; guard with a check where that matters.
+    ``xxhash64(NULL)`` is the seed (42), not NULL, so by default a NULL
+    business key still yields a value that looks like a valid key.
+    ``null_if_null=True`` returns NULL instead when any key part is NULL.
     """
-    return F.xxhash64(*[as_col(c) for c in cols])
+    cs = [as_col(c) for c in cols]
+    h = F.xxhash64(*cs)
+    if not null_if_null:
+        return h
+    any_null = cs[0].isNull()
+    for c in cs[1:]:
+        any_null = any_null | c.isNull()
+    return F.when(~any_null, h)
 
 
 def date_key(c) -> Column:
