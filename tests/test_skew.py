@@ -54,3 +54,19 @@ def test_hot_key_dedup_limits_before_shuffle(spark):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2  # partial (map side) and final
     assert one.count() == 5000
+
+
+def test_hot_group_of_identical_copies(spark):
+    from wardline.operators.dedup import dropped_duplicates
+    # a third of the rows are identical copies of one row
+    hot = spark.range(30_000).select(F.lit("K0").alias("k"), F.lit("x").alias("v"), F.lit(None).cast("string").alias("n"))
+    rest = spark.range(60_000).select(F.format_string("K%d", F.col("id") % 7000 + 1).alias("k"),
+                                      (F.col("id") % 3).cast("string").alias("v"),
+                                      F.when(F.col("id") % 5 == 0, F.lit("a")).alias("n"))
+    nulls = spark.range(50).select(F.lit(None).cast("string").alias("k"), (F.col("id") % 2).cast("string").alias("v"),
+                                   F.lit(None).cast("string").alias("n"))
+    df = hot.unionByName(rest).unionByName(nulls)
+    got = dropped_duplicates(df, "k", [F.col("v").asc_nulls_last()], tie_break=["n"], chunk=1000)
+    want = df.exceptAll(keep_first(df, "k", [F.col("v").asc_nulls_last()], tie_break=["n"]))
+    assert got.count() == want.count() == 90_050 - 7002
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, gen, keys
 from ..operators import feeds, incremental, quality
-from ..operators.dedup import distinct_on_key, keep_first
+from ..operators.dedup import distinct_on_key, dropped_duplicates, keep_first
 from ..sources import bronze
 from ..sources.sinks import materialize
 from . import gold, serving, silver
@@ -135,8 +135,8 @@ def dedup_latest(spark: SparkSession, root: str) -> DataFrame:
 
 def dup_inject_dedup(spark: SparkSession, root: str) -> DataFrame:
     """The injected duplicates the dedup removed (input minus survivors)."""
-    raw = _raw_pat(spark, root)
-    return raw.exceptAll(dedup_latest(spark, root))
+    return dropped_duplicates(_raw_pat(spark, root), "patient_bk", [F.col("dob").asc_nulls_last()],
+                              tie_break=["full_name"])
 
 
 def distinct_on_key_q(spark: SparkSession, root: str) -> DataFrame:
