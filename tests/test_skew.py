@@ -70,3 +70,16 @@ def test_hot_group_of_identical_copies(spark):
     want = df.exceptAll(keep_first(df, "k", [F.col("v").asc_nulls_last()], tie_break=["n"]))
     assert got.count() == want.count() == 90_050 - 7002
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_multiset_minus_matches_except_all_with_hot_copies(spark):
+    from wardline.operators.incremental import multiset_minus
+    a = (spark.range(40_000).select(F.lit("hot").alias("k"), F.lit(None).cast("int").alias("v"))
+         .unionByName(spark.range(5000).select(F.format_string("k%d", F.col("id") % 900).alias("k"),
+                                               (F.col("id") % 4).cast("int").alias("v"))))
+    b = (spark.range(15_000).select(F.lit("hot").alias("k"), F.lit(None).cast("int").alias("v"))
+         .unionByName(spark.range(3000).select(F.format_string("k%d", F.col("id") % 700).alias("k"),
+                                               (F.col("id") % 4).cast("int").alias("v"))))
+    got, want = multiset_minus(a, b, chunk=1000), a.exceptAll(b)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

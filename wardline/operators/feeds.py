@@ -65,12 +65,12 @@ def removed_rows(old: DataFrame, new: DataFrame, key: str | None = None) -> Data
     An append-only feed must return no rows here: published rows never
     change or disappear. With a unique ``key`` only ``(key, row digest)``
     pairs are shuffled (a left-anti join); without one, the multiset
-    difference of whole rows (``exceptAll``).
+    difference of whole rows (skew-safe ``exceptAll``).
     """
+    from .incremental import multiset_minus, row_digest  # noqa: PLC0415
     cols = old.columns
     if key is None:
-        return old.select(*cols).exceptAll(new.select(*cols))
-    from .incremental import row_digest  # noqa: PLC0415
+        return multiset_minus(old.select(*cols), new.select(*cols))
     o = old.select(*cols, row_digest(cols).alias("_d"))
     n = new.select(key, row_digest(cols).alias("_d"))
     return o.join(n, [key, "_d"], "left_anti").select(*cols)

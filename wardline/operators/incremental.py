@@ -143,3 +143,27 @@ def refresh_by_key(view_fn: Callable[..., DataFrame], old: DataFrame, inputs: di
         scoped[name] = df.join(touched.withColumnRenamed(key, k), k, "left_semi")
     fresh = view_fn(**scoped)
     return old.join(touched, key, "left_anti").unionByName(fresh)
+
+
+def multiset_minus(a: DataFrame, b: DataFrame, chunk: int = 100_000) -> DataFrame:
+    """``a.exceptAll(b)`` (rows of ``a`` not matched one-for-one in ``b``),
+    safe when a group of identical rows holds a large share of the data.
+
+    Identical rows are counted per row digest on both sides (partial
+    aggregates, so a hot group is combined map-side); the surplus copies are
+    then regenerated in chunks of at most ``chunk`` rows spread over tasks,
+    instead of being emitted from one aggregated row by one task.
+    """
+    cols = a.columns
+    da = a.select(row_digest(cols).alias("_d"), F.struct(*cols).alias("_r"))
+    db = b.select(*cols).select(row_digest(cols).alias("_d"))
+    ca = da.groupBy("_d").agg(F.count(F.lit(1)).alias("_na"), F.any_value("_r").alias("_r"))
+    cb = db.groupBy("_d").agg(F.count(F.lit(1)).alias("_nb"))
+    diff = (ca.join(cb, "_d", "left")
+              .select("_d", "_r", (F.col("_na") - F.coalesce(F.col("_nb"), F.lit(0))).alias("_n"))
+              .where(F.col("_n") > 0))
+    n_chunks = ((F.col("_n") - 1) / F.lit(chunk)).cast("long") + 1
+    parts = (diff.select("_d", "_r", "_n", F.explode(F.sequence(F.lit(0).cast("long"), n_chunks - 1)).alias("_c"))
+                 .repartition("_d", "_c"))
+    size = F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_c") * chunk)
+    return parts.select(F.explode(F.array_repeat("_r", size.cast("int"))).alias("_r")).select("_r.*")
