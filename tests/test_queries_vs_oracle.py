@@ -1,7 +1,7 @@
 """Every registered query against its SQL oracle (DuckDB) on the small tables."""
 import pytest
 
-from wardline.compare import compare, duckdb_conn
+from oracle_compare import compare, duckdb_conn
 from wardline.plans.oracle import oracle_queries
 from wardline.plans.queries import all_queries
 
