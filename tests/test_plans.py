@@ -46,9 +46,8 @@ def test_over_written_silver_checks_and_scoping_reach_the_scan(spark, small_root
     cat = Catalog(spark, small_root, warehouse=wh, as_of=QUERY_AS_OF)
     fact = cat.build("gold.fact_encounter")  # rebuilt over the written silver tables
     pushed = [ln for ln in formatted(fact).splitlines() if ln.startswith("PushedFilters")]
-    # the two range checks become parquet row-group filters; the status check
-    # (NULL-passing inequality on text) runs right after the scan, same stage
-    assert any("BILLED_AMOUNT" in ln and "LENGTH_OF_STAY_DAYS" in ln for ln in pushed), pushed
+    # all three checks, NULL-passing, become parquet filters
+    assert any("BILLED_AMOUNT" in ln and "LENGTH_OF_STAY_DAYS" in ln and "STATUS" in ln for ln in pushed), pushed
     # a year filter on the stored fact is a partition prune
     p = plan(cat.table("gold.fact_encounter").where("ADMIT_YEAR = 1998"))
     assert "PartitionFilters: [isnotnull(ADMIT_YEAR" in p

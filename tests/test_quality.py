@@ -52,3 +52,11 @@ def test_violation_counts(spark):
             for r in violation_counts(frame(spark), [Check("pos", "v >= 0"),
                                                      Check("nn", "v IS NOT NULL")]).collect()}
     assert rows == {"pos": (1, 3), "nn": (1, 3)}
+
+
+def test_null_columns_form_is_equivalent(spark):
+    a = Check("pos", "v >= 0")
+    b = Check("pos", "v >= 0", null_columns=("v",))
+    df = frame(spark)
+    assert sorted(r.id for r in df.where(a.passes).collect()) == sorted(r.id for r in df.where(b.passes).collect())
+    assert df.where(a.violates).count() == df.where(b.violates).count() == 1

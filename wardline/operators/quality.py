@@ -29,6 +29,10 @@ class Check:
     predicate: str | Column
     action: str = "drop"
     null_policy: str = "pass"
+    # Columns whose NULL is exactly what makes the predicate NULL (true for a
+    # comparison of one column with a literal). Lets the NULL test be written
+    # on the columns, which parquet can evaluate, instead of on the predicate.
+    null_columns: tuple = ()
 
     def __post_init__(self):
         if self.action not in ACTIONS:
@@ -50,6 +54,11 @@ class Check:
         """
         p = self.condition
         if self.null_policy == "pass":
+            if self.null_columns:
+                is_null = None
+                for c in self.null_columns:
+                    is_null = F.col(c).isNull() if is_null is None else (is_null | F.col(c).isNull())
+                return p | is_null
             return p | p.isNull()
         return p & p.isNotNull()
 

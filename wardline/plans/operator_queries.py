@@ -318,7 +318,7 @@ def dq_violation_counts(spark, root):
 
 
 def dq_null_policy_drop(spark, root):
-    strict = [quality.Check(c.name, c.predicate, c.action, "drop") for c in FACT_CHECKS]
+    strict = [quality.Check(c.name, c.predicate, c.action, "drop", c.null_columns) for c in FACT_CHECKS]
     kept, _ = quality.split_by_checks(_fact_input(spark, root), strict)
     return kept
 
