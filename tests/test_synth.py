@@ -13,6 +13,8 @@ def test_generator_is_deterministic_and_sized(spark):
         assert a[t].exceptAll(b[t]).count() == 0  # same rows for any partitioning
     # whole line rows are unique (the lab key relies on it)
     assert a["lineitem"].distinct().count() == n_lines
+    c = synth.generate_inputs(spark, n_patients=300, n_encounters=2000, seed=7)
+    assert c["customer"].exceptAll(a["customer"]).count() > 0
 
 
 def test_pipeline_runs_on_generated_inputs(spark, tmp_path):

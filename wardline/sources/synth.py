@@ -32,19 +32,23 @@ REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 RETURN_FLAGS = ["A", "N", "R"]
 
 
-def _h(id_col: Column, salt: int) -> Column:
-    """Non-negative 63-bit hash of (id, salt)."""
-    return F.abs(F.xxhash64(id_col, F.lit(salt)) % F.lit(1 << 62))
+class _Hasher:
+    """Column helpers bound to one seed."""
 
+    def __init__(self, seed: int):
+        self.seed = seed
 
-def _pick(values, id_col: Column, salt: int) -> Column:
-    arr = F.array(*[F.lit(v) for v in values])
-    return F.element_at(arr, (F.pmod(_h(id_col, salt), F.lit(len(values))) + 1).cast("int"))
+    def h(self, id_col: Column, salt: int) -> Column:
+        """Non-negative 62-bit hash of (id, salt, seed)."""
+        return F.abs(F.xxhash64(id_col, F.lit(salt), F.lit(self.seed)) % F.lit(1 << 62))
 
+    def pick(self, values, id_col: Column, salt: int) -> Column:
+        arr = F.array(*[F.lit(v) for v in values])
+        return F.element_at(arr, (F.pmod(self.h(id_col, salt), F.lit(len(values))) + 1).cast("int"))
 
-def _uniform(id_col: Column, salt: int, lo: float, hi: float, scale: int = 2) -> Column:
-    frac = F.pmod(_h(id_col, salt), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    return F.round(F.lit(lo) + frac * F.lit(hi - lo), scale)
+    def uniform(self, id_col: Column, salt: int, lo: float, hi: float, scale: int = 2) -> Column:
+        frac = F.pmod(self.h(id_col, salt), F.lit(1_000_000)) / F.lit(1_000_000.0)
+        return F.round(F.lit(lo) + frac * F.lit(hi - lo), scale)
 
 
 def _spine(spark: SparkSession, n: int, name: str, partitions: int | None) -> DataFrame:
@@ -54,8 +58,12 @@ def _spine(spark: SparkSession, n: int, name: str, partitions: int | None) -> Da
 def generate_inputs(spark: SparkSession, n_patients: int = 3000, n_providers: int = 150,
                     n_departments: int = 15, n_diagnoses: int = 120, n_encounters: int = 25000,
                     start: str = "2023-01-01", span_days: int = 700,
-                    partitions: int | None = None) -> dict[str, DataFrame]:
-    """The input tables as lazy DataFrames (nothing is computed here)."""
+                    partitions: int | None = None, seed: int = 42) -> dict[str, DataFrame]:
+    """The input tables as lazy DataFrames (nothing is computed here).
+    Same ``seed``, same data; another seed gives other, equally
+    deterministic values."""
+    hs = _Hasher(seed)
+    _h, _pick, _uniform = hs.h, hs.pick, hs.uniform
     id_ = F.col
     region = _spine(spark, len(REGIONS), "r_regionkey", 1).select(
         F.col("r_regionkey").cast("int").alias("r_regionkey"),
