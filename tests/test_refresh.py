@@ -47,6 +47,8 @@ def test_incremental_refresh_equals_full_run(spark, tmp_path):
     assert audit["bronze.raw_departments"]["mode"] == "unchanged"
     assert audit["silver.encounter_silver"]["mode"] == "by_key"
     assert audit["gold.fact_encounter"]["mode"] == "by_key"
+    assert 0 < audit["gold.fact_encounter"]["partitions_rewritten"] <= 3  # years of the changed keys
+    assert audit["silver.encounter_silver"]["partitions_rewritten"] > 0
     assert audit["gold.dim_provider"]["mode"] == "unchanged"
     assert audit["silver.patient_silver"]["mode"] == "full"  # ages depend on the date
     assert audit["graphql.current_ward_census"]["mode"] == "full"

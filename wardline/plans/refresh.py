@@ -17,9 +17,10 @@ Chooses a refresh mode per table, the way a view host would:
 
 A refreshed table is first written to scratch storage and then copied over
 its location (a table cannot be overwritten by a plan that still reads it).
-Parquet has no in-place update, so I/O stays proportional to the table; the
-saving is in computation. With a transactional table format the copy step
-goes away.
+For a partitioned table refreshed by key, only the partitions holding a
+changed key are staged and replaced (dynamic partition overwrite), so I/O
+follows the change, not the table; unpartitioned tables are rewritten
+whole (parquet has no in-place update).
 """
 
 from __future__ import annotations
@@ -68,6 +69,39 @@ def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return so.join(sn, key, "full_outer").where(~F.col("_so").eqNullSafe(F.col("_sn"))).select(key)
 
 
+def _semi_null_safe(df: DataFrame, keys: DataFrame, cols) -> DataFrame:
+    """Rows of ``df`` whose ``cols`` values occur in ``keys`` (NULL matches NULL)."""
+    k = keys.select(*[F.col(c).alias(f"__p_{i}") for i, c in enumerate(cols)])
+    cond = None
+    for i, c in enumerate(cols):
+        e = df[c].eqNullSafe(k[f"__p_{i}"])
+        cond = e if cond is None else cond & e
+    return df.join(k, cond, "left_semi")
+
+
+def _stage_partitions(name: str, new: DataFrame, old: DataFrame, touched: DataFrame, key: str,
+                      fmt: str):
+    """Stage only the partitions of ``new`` that hold a changed key (in the
+    old or the new rows). Returns ``(staged rows, number of partitions)``, or
+    ``None`` when an affected partition ends up empty (a dynamic overwrite
+    cannot remove it, so the caller rewrites the table instead)."""
+    pcols = list(VIEWS[name].partition_by)
+    affected = materialize(old.join(touched, key, "left_semi").select(*pcols)
+                           .unionByName(new.join(touched, key, "left_semi").select(*pcols)).distinct(),
+                           name.replace(".", "-") + "-parts", fmt=fmt)
+    n_affected = affected.count()
+    staged = materialize(_semi_null_safe(new, affected, pcols), name.replace(".", "-") + "-partial", fmt=fmt)
+    if staged.select(*pcols).distinct().count() < n_affected:
+        return None
+    return staged, n_affected
+
+
+def _write_partitions(staged: DataFrame, path: str, partition_by, fmt: str) -> None:
+    """Replace only the partitions present in ``staged`` (dynamic overwrite)."""
+    (staged.hint("rebalance", *partition_by).write.mode("overwrite").format(fmt)
+           .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
+
+
 def _overwrite(cat: Catalog, name: str, df: DataFrame, fmt: str) -> None:
     staged = materialize(df, name.replace(".", "-") + "-refresh", fmt=fmt)
     spec = VIEWS.get(name)
@@ -132,13 +166,27 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
 
     # Land bronze and silver (silver results were planned against the old
     # bronze/silver files, so stage them before anything is overwritten).
-    staged = {n: materialize(df, n.replace(".", "-") + "-staged", fmt=fmt) for n, df in new_silver.items()}
+    staged, partial = {}, {}
+    for n, df in new_silver.items():
+        t, key = SILVER_BY_KEY[n]
+        if VIEWS[n].partition_by and not VIEWS[n].uses_as_of:
+            got = _stage_partitions(n, df, old.table(n),
+                                    changed[t].withColumnRenamed(BRONZE_KEYS[t], key), key, fmt)
+            if got is not None:
+                partial[n] = got
+                continue
+        staged[n] = materialize(df, n.replace(".", "-") + "-staged", fmt=fmt)
     for t in BRONZE_TABLES:
         if counts[t]:
             write_table(materialize(fresh.table(f"bronze.{t}"), f"bronze-{t}-staged", fmt=fmt),
                         old.location(f"bronze.{t}"), fmt=fmt)
     for n, df in staged.items():
         write_table(df, old.location(n), fmt=fmt, partition_by=VIEWS[n].partition_by)
+    for n, (df, n_parts) in partial.items():
+        _write_partitions(df, old.location(n), VIEWS[n].partition_by, fmt)
+        for rec in audit:
+            if rec["table"] == n:
+                rec["partitions_rewritten"] = n_parts
 
     # 3. Gold and serving over the refreshed silver.
     cur = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt)
@@ -161,6 +209,13 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
                                      "labs": cur.table("silver.lab_order_silver")},
                                     fact_keys, "ENCOUNTER_BK")
                 mode = {"mode": "by_key", "changed_keys": n_fact}
+                got = _stage_partitions(name, df, old.table(name), fact_keys, "ENCOUNTER_BK", fmt)
+                if got is not None:
+                    _write_partitions(got[0], cur.location(name), spec.partition_by, fmt)
+                    dirty.add(name)
+                    audit.append({"table": name, **mode, "partitions_rewritten": got[1],
+                                  "seconds": round(time.time() - start, 3)})
+                    continue
             else:
                 df = cur.build(name)
                 mode = {"mode": "full"}
