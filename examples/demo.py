@@ -72,7 +72,8 @@ def main() -> None:
                        .otherwise(F.col("o_totalprice")))
            .unionByName(fresh).write.parquet(os.path.join(changed, "orders.parquet")))
     for rec in refresh_incremental(spark, changed, warehouse, as_of=AS_OF):
-        print(f"{rec['table']:<36} {rec['mode']:<9} {rec.get('changed_keys', '')}")
+        parts = f" partitions rewritten: {rec['partitions_rewritten']}" if "partitions_rewritten" in rec else ""
+        print(f"{rec['table']:<36} {rec['mode']:<9} {rec.get('changed_keys', '')}{parts}")
 
 
 if __name__ == "__main__":
