@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import tempfile
+import zipfile
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import materialize
@@ -12,10 +16,32 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package's code, once per application, as a zip
+    that the driver serves: tasks import it wherever they run."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="wardline-code-"), "wardline_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """The columns an operator works on, under fixed names: ``doc_id`` long,
     ``text`` string (NULL becomes empty) and ``more`` as they are. All other
     columns are left behind, so their names cannot clash with an operator's."""
+    ship(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("doc_id"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                      *[F.col(c) for c in more])
