@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, extraction, lines, packing, quality, simhash, toxicity
+from . import decontamination, extraction, lines, packing, quality, simhash, substrings, toxicity
 
 
 def tokenizer_path() -> str:
@@ -42,6 +42,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed_words", "n_removed_lines")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.duplicate_lines(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_toxicity": op10_toxicity,
