@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, extraction, lines, packing, quality, simhash, substrings, toxicity
+from . import decontamination, extraction, lines, packing, quality, simhash, substrings, suffixes, toxicity
 
 
 def tokenizer_path() -> str:
@@ -36,6 +36,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -61,6 +66,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,

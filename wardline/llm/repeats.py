@@ -78,7 +78,10 @@ def selected(h: np.ndarray, w: int) -> np.ndarray:
 def runs(h: np.ndarray, usable: np.ndarray, window: int, gram: int, chunk: int = CHUNK):
     """Yields (begin, count, at, key) arrays: windows begin .. begin + count - 1
     select the gram at ``at``. ``h`` are element hashes; ``usable`` says which
-    windows count (one flag per position)."""
+    windows count (one flag per position). A run is at most window - gram + 1
+    long, which the packed entries hold up to 255."""
+    if window - gram >= 255:
+        raise ValueError("window - gram must be under 255")
     total = len(h) - window + 1
     for s in range(0, max(total, 0), chunk):
         part = h[s: min(s + chunk, total) + window - 1]
@@ -89,7 +92,7 @@ def runs(h: np.ndarray, usable: np.ndarray, window: int, gram: int, chunk: int =
         if not len(where):
             continue
         new = np.ones(len(where), dtype=bool)
-        new[1:] = (np.diff(where) > 1) | (np.diff(sel[where]) != 0) | (np.diff(where // 200) != 0)
+        new[1:] = (np.diff(where) > 1) | (np.diff(sel[where]) != 0)
         begin = np.flatnonzero(new)
         count = np.diff(np.concatenate([begin, [len(where)]]))
         first = where[begin]
