@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, extraction, lines, packing, quality, simhash, substrings, suffixes, toxicity
+from . import chat, decontamination, extraction, lines, packing, quality, simhash, substrings, suffixes, toxicity
 
 
 def tokenizer_path() -> str:
@@ -32,6 +32,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -65,6 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_decontamination": op3_decontamination,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_quality_rules": op5_quality_rules,
@@ -76,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 # DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_chat_formatting": chat.ORACLE_SQL}
