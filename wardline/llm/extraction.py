@@ -34,6 +34,7 @@ NEVER_NAMED = frozenset("ad ads advert adverts advertisement advertising banner
                         "reply replies respond share sharing sidebar social sponsor sponsored subscribe toolbar "
                         "widget alert".split())
 NEVER_ROLE = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
+UNSEEN = frozenset(("script", "style", "template", "noscript"))  # do not even end a block
 MAIN = frozenset(("article", "main"))
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
                      "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
@@ -165,7 +166,7 @@ def _blocks(root: Node, chosen: set | None) -> list[str]:
                 flush()
                 stack.append((iter(part.text), wanted or id(part) in chosen))
                 break
-            else:
+            elif part.tag not in UNSEEN:
                 flush()
         else:
             flush()

@@ -34,8 +34,9 @@ BITS = 18
 FOLDS = 5
 MARK_LOG_ODDS = 3.0
 MARK_SHARE = 0.01
+MARK_EVIDENCE = 10.0  # a mark by chance alone is no likelier than exp of minus this
 CACHE_WORDS = 300_000
-STRIP = ".,!?;:\"'()[]|*-_"
+STRIP = ".,!?;:\"'()[]|*-_#$%&@+=<>/"
 FLOOR = 1e-9
 
 
@@ -250,8 +251,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_mark
                   .select("copy", "toxic", F.explode(F.array(F.concat("w", F.lit("$")), F.substring("w", 1, 4),
                                                              F.substring("w", 1, 5))).alias("mark")).distinct()
                   .groupBy("mark").agg(F.sum("toxic").alias("n1"), F.count("*").alias("n")))
+    least = max(MARK_SHARE * tox, MARK_EVIDENCE / -np.log(tox / all_))
     odds = (F.log((F.col("n1") + 0.5) / (tox + 1)) - F.log((F.col("n") - F.col("n1") + 0.5) / (all_ - tox + 1)))
-    marks = (each.where(F.col("n1") >= max(3, MARK_SHARE * tox)).where(odds >= MARK_LOG_ODDS)
+    marks = (each.where(F.col("n1") >= least).where(odds >= MARK_LOG_ODDS)
                  .orderBy(F.desc("n1"), "mark").limit(max_marks))
     lexicon = frozenset(r[0] for r in marks.collect())
     if not lexicon:
