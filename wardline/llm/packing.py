@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +49,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer  # noqa: PLC0415
         self.tok = Tokenizer.from_file(path)
         self.cache_words = cache_words
-        self.plain = re.compile(f"([{self.LETTERS}]+)([.,!?|;:]*)")
+        self.plain = re.compile(f"([{self.LETTERS}]*)([.,!?|;:]*)")
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.by_word = self._per_word(spec)
@@ -105,57 +105,64 @@ class WordTokenizer:
 
     def _learn(self, new: list[bytes]) -> None:
         """Put the ids of words not seen before into the cache."""
-        found, tails, runs, odd = [], {}, {}, {}
-        for w in new:
-            s = w.decode("utf-8")
-            m = self.plain.fullmatch(s)
-            if m and unicodedata.is_normalized("NFC", s):
-                found.append((runs.setdefault(m[1].lower(), len(runs)), m[2]))
-                if m[2] and m[2] not in tails:
-                    tails[m[2]] = self._exact(m[2])
+        plain, marked, bulk, odd = self.plain.fullmatch, self.MARK, [], []
+        for k, w in enumerate(new):
+            m = plain(w.decode("utf-8"))
+            if m:
+                bulk.append(f"{m[1].lower()}{marked}{m[2]}{marked}" if m[1] and m[2] else f"{m[0].lower()}{marked}")
             else:
-                found.append((-1, s))
-                odd[s] = self._exact(s)
-        parts = []
-        if runs:
-            out = np.array(self.bulk._core_bpe.encode_ordinary(self.MARK.join(runs) + self.MARK), dtype=np.int64)
-            cuts = np.flatnonzero(self.ends[out]) + 1
-            parts = np.split(self.ids[out], cuts[:-1])
-            if len(parts) != len(runs):  # never seen; the tokenizer itself is always right
-                parts = [self._exact(r) for r in runs]
-        got = [odd[s] if k < 0 else (np.concatenate([parts[k], tails[s]]) if s else parts[k]) for k, s in found]
-        n, lens = len(self.index), np.array([len(g) for g in got], dtype=np.int64)
-        total = int(lens.sum())
-        while n + len(got) > len(self.starts):
+                odd.append(k)
+        is_odd = np.zeros(len(new), dtype=bool)
+        is_odd[odd] = True
+        parts = [self._exact(new[k].decode("utf-8")) for k in odd]
+        lens = np.zeros(len(new), dtype=np.int64)
+        lens[odd] = [len(p) for p in parts]
+        if bulk:
+            out = np.array(self.bulk._core_bpe.encode_ordinary("".join(bulk)), dtype=np.int64)
+            to = np.cumsum([t.count(marked) for t in bulk])  # marks up to the end of each word
+            ends = np.flatnonzero(self.ends[out])[to - 1] + 1
+            lens[~is_odd] = np.diff(np.concatenate([[0], ends]))
+            parts.insert(0, self.ids[out])
+        at = np.empty(len(new), dtype=np.int64)  # the plain words come first in the pool
+        for which, base in ((~is_odd, 0), (is_odd, int(lens[~is_odd].sum()))):
+            at[which] = base + np.cumsum(lens[which]) - lens[which]
+        n, total = len(self.index), int(lens.sum())
+        while n + len(new) > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
         while self.used + total > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.sizes[n:n + len(got)] = lens
-        self.starts[n:n + len(got)] = self.used + np.cumsum(lens) - lens
-        self.pool[self.used:self.used + total] = np.concatenate(got)
+        self.sizes[n:n + len(new)] = lens
+        self.starts[n:n + len(new)] = self.used + at
+        self.pool[self.used:self.used + total] = np.concatenate(parts)
         self.used += total
-        for k, w in enumerate(new):
-            self.index[w] = n + k
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of one whole text, without special tokens, as uint32."""
-        if not self.by_word or "\x00" in text:
-            return self._exact(text)
-        ws = text.encode("utf-8", "replace").split()
+        self.index.update(zip(new, range(n, n + len(new)), strict=True))
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts, without special tokens, as uint32."""
+        if not self.by_word:
+            return [self._exact(t) for t in texts]
+        per = [t.encode("utf-8", "replace").split() for t in texts]
+        counts = np.array([len(w) for w in per], dtype=np.int64)
+        ws = list(chain.from_iterable(per))
         if not ws:
-            return np.zeros(0, dtype=np.uint32)
+            return [np.zeros(0, dtype=np.uint32) for _ in texts]
         if len(self.index) > self.cache_words:
             self._reset()
         get = self.index.get
-        at = [get(w, -1) for w in ws]
-        if -1 in at:
-            self._learn(list(dict.fromkeys(w for w, k in zip(ws, at, strict=True) if k < 0)))
-            at = [self.index[w] for w in ws]
-        k = np.array(at, dtype=np.int64)
+        k = np.array([get(w, -1) for w in ws], dtype=np.int64)
+        missing = np.flatnonzero(k < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys([ws[i] for i in missing])))
+            k[missing] = [self.index[ws[i]] for i in missing]
         size, start = self.sizes[k], self.starts[k]
         to = np.cumsum(size)
-        return self.pool[np.arange(to[-1]) + np.repeat(start - (to - size), size)]
+        ids = self.pool[np.arange(to[-1]) + np.repeat(start - (to - size), size)]
+        ends = np.concatenate([[0], to])[np.cumsum(counts)]
+        return np.split(ids, ends[:-1])
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_all([text])[0]
 
 
 class Rooms:
@@ -230,6 +237,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
     """Each document's ids (with the end id) cut into pieces of at most
     ``window``; ``ids`` are little-endian unsigned 32-bit."""
 
+    def documents(tok, b):
+        for at in range(0, b.num_rows, 200):
+            part = b.slice(at, 200)
+            yield from zip(part.column(0).to_pylist(), tok.encode_all(part.column(1).to_pylist()), strict=True)
+
     def run(batches):
         tok = _tokenizer(tokenizer_path)
         tail = np.array([end_id], dtype=np.uint32)
@@ -237,8 +249,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for b in batches:
             out: list[list] = [[], [], [], [], []]
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ids = np.concatenate([tok.encode(text), tail]).astype("<u4")
+            for doc, ids in documents(tok, b):
+                ids = np.concatenate([ids, tail]).astype("<u4")
                 n = len(ids)
                 for s in range(0, n, window):
                     part = ids[s:s + window]
