@@ -21,7 +21,7 @@ def test_pipeline_writes_every_layer_and_matches_query_mode(spark, small_root, t
     stored = Catalog(spark, small_root, warehouse=wh, as_of=QUERY_AS_OF).table("gold.fact_encounter")
     # registered in the session catalog with its comment and check list
     assert spark.table("gold.fact_encounter").count() == stored.count()
-    assert "conformed" in spark.catalog.getTable("gold.fact_encounter").description
+    assert "hashed dimension keys" in spark.catalog.getTable("gold.fact_encounter").description
     props = {r[0]: r[1] for r in spark.sql("SHOW TBLPROPERTIES gold.fact_encounter").collect()}
     assert "not_cancelled" in props["wardline.checks"]
     live = catalog(spark, small_root).table("gold.fact_encounter")

@@ -10,7 +10,6 @@ the depth of the pipeline. Check violation counts are collected by
 from __future__ import annotations
 
 import json
-import os
 import time
 from concurrent.futures import ThreadPoolExecutor
 
@@ -18,8 +17,9 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import apply_checks
+from ..sources import fs
 from ..sources.sinks import write_table
-from .registry import LAYERS, VIEWS, Catalog, topo_order
+from .registry import VIEWS, Catalog, topo_order
 
 BRONZE_TABLES = ("raw_patients", "raw_departments", "raw_providers", "raw_diagnoses",
                  "raw_encounters", "raw_lab_orders", "raw_bed_assignments", "raw_patient_coverage")
@@ -80,9 +80,6 @@ def run_pipeline(spark: SparkSession, root: str, warehouse: str, as_of=None, fmt
     Returns one audit record per table: rows written, check violations,
     seconds. The audit is also written as ``<warehouse>/_audit.json``.
     """
-    os.makedirs(warehouse, exist_ok=True)
-    for layer in LAYERS:
-        os.makedirs(os.path.join(warehouse, layer), exist_ok=True)
     audit: list[dict] = []
 
     def write_bronze(cat: Catalog, t: str) -> dict:
@@ -90,7 +87,8 @@ def run_pipeline(spark: SparkSession, root: str, warehouse: str, as_of=None, fmt
         start = time.time()
         o = Observation(name)
         df = cat.table(name)  # derived from the inputs
-        write_table(df.observe(o, F.count(F.lit(1)).alias("rows")), cat.location(name), fmt=fmt)
+        write_table(df.observe(o, F.count(F.lit(1)).alias("rows")), cat.location(name), fmt=fmt,
+                    change_feed=True)
         return {"table": name, "rows": o.get["rows"], "violations": {},
                 "seconds": round(time.time() - start, 3)}
 
@@ -127,6 +125,5 @@ def run_pipeline(spark: SparkSession, root: str, warehouse: str, as_of=None, fmt
         run_level(write_bronze, ["raw_patient_coverage"])  # derived from raw_patients
     for level in _levels(views):
         run_level(write_view, level)
-    with open(os.path.join(warehouse, "_audit.json"), "w") as f:
-        json.dump(audit, f, indent=1, default=str)
+    fs.write_text(spark, fs.join(warehouse, "_audit.json"), json.dumps(audit, indent=1, default=str))
     return audit

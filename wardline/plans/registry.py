@@ -10,7 +10,6 @@ upstream view built lazily in the same plan.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import Check
+from ..sources import fs
 from ..sources.bronze import bronze_table
 from ..sources.tables import Tables
 
@@ -40,11 +40,6 @@ class ViewSpec:
 
 
 VIEWS: dict[str, ViewSpec] = {}
-# Built (lazy) plans of views and bronze tables computed from the inputs,
-# shared by every Catalog of the same session, input folder and as_of.
-# Building a plan costs thousands of driver-to-JVM calls; the plan itself
-# holds no data, so reusing it across refreshes only saves that cost.
-_PLANS: dict = {}
 
 
 def view(name: str, inputs=(), comment: str = "", checks=(), partition_by=(), uses_as_of=False):
@@ -122,33 +117,21 @@ class Catalog:
 
     def location(self, name: str) -> str:
         layer, tbl = name.split(".", 1)
-        return os.path.join(self.warehouse, layer, tbl)
+        return fs.join(self.warehouse, layer, tbl)
 
     def is_written(self, name: str) -> bool:
         if not self.warehouse:
             return False
-        return os.path.exists(os.path.join(self.location(name), "_SUCCESS"))
+        mark = "_delta_log" if self.fmt == "delta" else "_SUCCESS"
+        return fs.exists(self.spark, fs.join(self.location(name), mark))
 
     def as_of_col(self):
         """``as_of`` as a date Column (``current_date()`` when unset)."""
         return F.current_date() if self.as_of is None else F.lit(str(self.as_of)).cast("date")
 
-    def _plan_key(self, name: str):
-        if self.warehouse:
-            return None  # written tables change between runs; never shared
-        fp = self.inputs.fingerprint()
-        if fp is None:
-            return None
-        return (self.spark.sparkContext.applicationId, self.inputs.root, fp, str(self.as_of),
-                str(self.calendar), name)
-
     def table(self, name: str) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
-        key = self._plan_key(name)
-        if key is not None and key in _PLANS:
-            self._cache[name] = _PLANS[key]
-            return _PLANS[key]
         if self.is_written(name):
             df = self.spark.read.format(self.fmt).load(self.location(name))
         elif name.startswith("bronze."):
@@ -159,8 +142,6 @@ class Catalog:
         else:
             raise KeyError(name)
         self._cache[name] = df
-        if key is not None:
-            _PLANS[key] = df
         return df
 
     def build(self, name: str) -> DataFrame:

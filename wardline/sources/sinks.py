@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
+from . import fs
 
 
 def delta_available(spark: SparkSession) -> bool:
@@ -49,7 +49,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's checkpoint folder (shared storage
     on a cluster), for intermediate tables that cut lineage."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+    return fs.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def materialize(df: DataFrame, name: str, partition_by=(), fmt: str = "parquet") -> DataFrame:

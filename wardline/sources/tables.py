@@ -1,54 +1,23 @@
-"""Readers for the input tables and the layer tables written by the pipeline."""
+"""Readers for the input tables."""
 
 from __future__ import annotations
 
-import os
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
+from . import fs
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations")
 
 
-_SPREAD: dict = {}
-
-
-def spread(df: DataFrame, key: str, min_rows: int = 100_000) -> DataFrame:
-    """Give a scan at least one split per core when its files offer fewer.
-
-    A parquet file with a single row group is read by one task however
-    large it is, so every per-row expression after it runs on one core, and
-    a round-robin repartition does not help: Catalyst pushes the filters
-    above it back into that one scan task. So when a scan has fewer splits
-    than the cluster has cores and enough rows to matter, it is rewritten
-    once into ``cores`` files under the session's checkpoint folder (shared
-    storage on a cluster) and that copy is scanned instead, with the usual
-    parquet column pruning and filter pushdown.
-
-    On a large input (more splits than cores) this returns ``df`` untouched:
-    no extra shuffle, no copy. Row counts come from parquet footers.
-    """
-    spark = df.sparkSession
-    cache_key = (spark.sparkContext.applicationId, key)
-    if cache_key in _SPREAD:
-        return _SPREAD[cache_key]
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or df.count() < min_rows:
-        out = df
-    else:
-        from .sinks import materialize  # noqa: PLC0415
-        out = materialize(df.repartition(cores), "spread-" + os.path.basename(key).split(".")[0])
-    _SPREAD[cache_key] = out
-    return out
-
-
 class Tables:
-    """Lazy, cached-by-name access to ``<dir>/<name>.parquet``.
+    """Lazy access to ``<root>/<name>.parquet`` (or ``<root>/<name>``).
 
-    Reading is lazy in Spark anyway; the cache only avoids re-resolving the
-    same file listing when a plan uses a table several times, so Catalyst
-    sees one relation and can reuse its exchanges.
+    ``root`` may be any path Spark can read. A table is resolved once per
+    instance, so a plan that uses it several times sees one relation and can
+    reuse its exchanges; nothing is kept beyond the instance.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -57,38 +26,18 @@ class Tables:
         self._dfs: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
-        p = os.path.join(self.root, f"{name}.parquet")
-        return p if os.path.exists(p) or "://" in p else os.path.join(self.root, name)
+        p = fs.join(self.root, f"{name}.parquet")
+        return p if fs.exists(self.spark, p) else fs.join(self.root, name)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._dfs:
-            p = self.path(name)
-            st = os.stat(p) if os.path.exists(p) else None
-            key = f"{p}:{st.st_mtime_ns}:{st.st_size}" if st else p
-            known = _SPREAD.get((self.spark.sparkContext.applicationId, key))
-            self._dfs[name] = known if known is not None else spread(self.spark.read.parquet(p), key)
+            self._dfs[name] = self.spark.read.parquet(self.path(name))
         return self._dfs[name]
 
-    def fingerprint(self):
-        """(name, mtime, size) of every input under ``root`` (local folders
-        only; None elsewhere): plans built for one state of the inputs are
-        not reused once any input file changes."""
-        if "://" in self.root or not os.path.isdir(self.root):
-            return None
-        out = []
-        for n in sorted(os.listdir(self.root)):
-            st = os.stat(os.path.join(self.root, n))
-            out.append((n, st.st_mtime_ns, st.st_size))
-        return tuple(out)
-
-    def count(self, name: str) -> int:
-        """Row count of an input table, computed once per file (parquet
-        footers only) and reused as a plan literal."""
-        df = self[name]
-        key = (self.spark.sparkContext.applicationId, "count", self.path(name))
-        if key not in _SPREAD:
-            _SPREAD[key] = df.count()
-        return _SPREAD[key]
+    def count(self, name: str) -> Column:
+        """Row count of an input table as a scalar subquery: taken when the
+        query runs, from the files it reads then."""
+        return self[name].agg(F.count(F.lit(1))).scalar()
 
     def register(self, *names: str) -> None:
         """Expose tables as temp views for ``spark.sql``."""
