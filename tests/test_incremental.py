@@ -62,3 +62,19 @@ def test_distinct_on_key_keeps_keys_whose_order_values_are_all_null(spark):
                                "k string, v string, o string")
     got = sorted(tuple(r) for r in distinct_on_key(df, "k", order_by="o").collect())
     assert got == [("p1", "y", "2001"), ("p2", "z", None)]
+
+
+def test_null_keys_are_keys(spark):
+    before = spark.createDataFrame([(1, "a"), (None, "x"), (2, "b")], "k int, v string")
+    after = spark.createDataFrame([(1, "a"), (None, "y"), (3, "c")], "k int, v string")
+    want = sorted([(None, "x", "update_preimage"), (None, "y", "update_postimage"), (2, "b", "delete"), (3, "c", "insert")], key=str)
+    for by_digest in (True, False):
+        got = inc.change_feed(before, after, "k", by_digest=by_digest)
+        assert sorted(map(tuple, got.collect()), key=str) == want
+    view = lambda df: df.select("k", F.upper("v").alias("u"))
+    ch = inc.change_feed(before, after, "k")
+    got = inc.refresh_rowwise(view, view(before), ch, "k")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, view(after).collect()), key=str)
+    totals = lambda lines: lines.groupBy("k").agg(F.max("v").alias("m"))
+    got = inc.refresh_by_key(lambda lines: totals(lines), totals(before), {"lines": after}, ch.select("k"), "k")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, totals(after).collect()), key=str)

@@ -18,6 +18,25 @@ INSERT, DELETE, PRE, POST = "insert", "delete", "update_preimage", "update_posti
 CHANGE_COL = "_change_type"
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner", right_keys=None) -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL. The right side's keys are
+    dropped; in a full outer join a key is taken from the side that has it."""
+    keys, right_keys = list(keys), list(right_keys or keys)
+    r = right.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(right_keys)],
+                     *[c for c in right.columns if c not in right_keys])
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & left[k].eqNullSafe(r[f"__k{i}"])
+    j = left.join(r, cond, how)
+    if how in ("left_semi", "left_anti"):
+        return j
+    for i, k in enumerate(keys):
+        if how == "full_outer":
+            j = j.withColumn(k, F.coalesce(F.col(k), F.col(f"__k{i}")))
+        j = j.drop(f"__k{i}")
+    return j
+
+
 def row_digest(cols) -> "F.Column":
     """128-bit digest of a row's values (md5 of their JSON form; field names
     keep NULLs and empty strings apart). Two rows with equal values always
@@ -31,7 +50,7 @@ def change_feed(before: DataFrame, after: DataFrame, keys, compare=None, by_dige
     Output: the snapshot columns plus ``_change_type`` in
     ``insert | delete | update_preimage | update_postimage``; unchanged rows
     are not emitted. Values are compared over ``compare`` columns (default:
-    all non-key columns), NULL-safely.
+    all non-key columns), NULL-safely; a NULL key is a key like any other.
 
     ``by_digest`` (default): only ``(key, digest)`` pairs go through the full
     outer join, so the shuffle carries a key and 32 bytes per row instead of
@@ -50,7 +69,7 @@ def change_feed(before: DataFrame, after: DataFrame, keys, compare=None, by_dige
         return _change_feed_by_digest(before, after, keys, cols, compare)
     b = before.select(*keys, F.struct(*cols).alias("_b"), F.lit(True).alias("_in_b"))
     a = after.select(*keys, F.struct(*cols).alias("_a"), F.lit(True).alias("_in_a"))
-    j = b.join(a, keys, "full_outer")
+    j = join_null_safe(b, a, keys, "full_outer")
     same = F.struct(*[F.col("_b")[c] for c in compare]).eqNullSafe(
         F.struct(*[F.col("_a")[c] for c in compare]))
     in_b, in_a = F.col("_in_b").isNotNull(), F.col("_in_a").isNotNull()
@@ -70,7 +89,7 @@ def change_feed(before: DataFrame, after: DataFrame, keys, compare=None, by_dige
 def _change_feed_by_digest(before, after, keys, cols, compare) -> DataFrame:
     hb = before.select(*keys, row_digest(compare).alias("_hb"))
     ha = after.select(*keys, row_digest(compare).alias("_ha"))
-    changed = hb.join(ha, keys, "full_outer").where(~F.col("_hb").eqNullSafe(F.col("_ha")))
+    changed = join_null_safe(hb, ha, keys, "full_outer").where(~F.col("_hb").eqNullSafe(F.col("_ha")))
     # Stage the changed keys (narrow: key and two digests) in the checkpoint
     # folder: the digest join runs once, and the next join sees the set's real
     # size, so it is broadcast when small instead of re-shuffling full rows.
@@ -79,7 +98,7 @@ def _change_feed_by_digest(before, after, keys, cols, compare) -> DataFrame:
     # One join of both snapshots' rows (tagged by side) with the changed keys.
     rows = (before.select(*cols, F.lit(True).alias("_old"))
                   .unionByName(after.select(*cols, F.lit(False).alias("_old"))))
-    j = rows.join(changed, keys, "inner")
+    j = join_null_safe(rows, changed, keys)
     kind = (F.when(F.col("_old") & F.col("_ha").isNull(), F.lit(DELETE))
              .when(F.col("_old"), F.lit(PRE))
              .when(F.col("_hb").isNull(), F.lit(INSERT))
@@ -118,7 +137,7 @@ def refresh_rowwise(view_fn: Callable[[DataFrame], DataFrame], old: DataFrame, c
     touched = changed_keys(changes, in_keys)
     for i, o in zip(in_keys, out_keys):
         touched = touched.withColumnRenamed(i, o)
-    kept = old.join(touched, out_keys, "left_anti")
+    kept = join_null_safe(old, touched, out_keys, "left_anti")
     post = changes.where(F.col(CHANGE_COL).isin(INSERT, POST)).drop(CHANGE_COL)
     return kept.unionByName(view_fn(post))
 
@@ -140,9 +159,9 @@ def refresh_by_key(view_fn: Callable[..., DataFrame], old: DataFrame, inputs: di
     scoped = {}
     for name, df in inputs.items():
         k = input_keys.get(name, key)
-        scoped[name] = df.join(touched.withColumnRenamed(key, k), k, "left_semi")
+        scoped[name] = join_null_safe(df, touched, [k], "left_semi", right_keys=[key])
     fresh = view_fn(**scoped)
-    return old.join(touched, key, "left_anti").unionByName(fresh)
+    return join_null_safe(old, touched, [key], "left_anti").unionByName(fresh)
 
 
 def multiset_minus(a: DataFrame, b: DataFrame, chunk: int = 100_000) -> DataFrame:

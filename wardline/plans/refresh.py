@@ -30,7 +30,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import key_signatures, refresh_by_key
+from ..operators.incremental import join_null_safe, key_signatures, refresh_by_key
 from ..sources.sinks import materialize, write_table
 from .pipeline import BRONZE_TABLES, _levels, register_table
 from .registry import VIEWS, Catalog, Given, enforce
@@ -66,7 +66,7 @@ def changed_keys(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     cols = new.columns
     so = key_signatures(old.select(cols), key).select(key, F.struct("_n", "_h1", "_h2").alias("_so"))
     sn = key_signatures(new.select(cols), key).select(key, F.struct("_n", "_h1", "_h2").alias("_sn"))
-    return so.join(sn, key, "full_outer").where(~F.col("_so").eqNullSafe(F.col("_sn"))).select(key)
+    return join_null_safe(so, sn, [key], "full_outer").where(~F.col("_so").eqNullSafe(F.col("_sn"))).select(key)
 
 
 def _semi_null_safe(df: DataFrame, keys: DataFrame, cols) -> DataFrame:
@@ -86,8 +86,8 @@ def _stage_partitions(name: str, new: DataFrame, old: DataFrame, touched: DataFr
     ``None`` when an affected partition ends up empty (a dynamic overwrite
     cannot remove it, so the caller rewrites the table instead)."""
     pcols = list(VIEWS[name].partition_by)
-    affected = materialize(old.join(touched, key, "left_semi").select(*pcols)
-                           .unionByName(new.join(touched, key, "left_semi").select(*pcols)).distinct(),
+    affected = materialize(join_null_safe(old, touched, [key], "left_semi").select(*pcols)
+                           .unionByName(join_null_safe(new, touched, [key], "left_semi").select(*pcols)).distinct(),
                            name.replace(".", "-") + "-parts", fmt=fmt)
     n_affected = affected.count()
     staged = materialize(_semi_null_safe(new, affected, pcols), name.replace(".", "-") + "-partial", fmt=fmt)
@@ -109,11 +109,12 @@ def _overwrite(cat: Catalog, name: str, df: DataFrame, fmt: str) -> None:
 
 
 def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=None,
-                        fmt: str = "parquet", register: bool = True) -> list[dict]:
+                        fmt: str = "parquet", register: bool = True, calendar=None) -> list[dict]:
     """Bring ``warehouse`` (written by ``run_pipeline``) up to date with the
-    inputs under ``root``; returns one audit record per table."""
-    old = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt)
-    fresh = Catalog(spark, root, as_of=as_of, fmt=fmt)
+    inputs under ``root``; returns one audit record per table. ``calendar``
+    must be the range that the warehouse was built with."""
+    old = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt, calendar=calendar)
+    fresh = Catalog(spark, root, as_of=as_of, fmt=fmt, calendar=calendar)
     audit: list[dict] = []
     changed: dict[str, DataFrame] = {}
     counts: dict[str, int] = {}
@@ -133,7 +134,8 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
     lab_keys = changed["raw_lab_orders"]
     lab_enc = (old.table("bronze.raw_lab_orders").select("lab_order_bk", "encounter_bk")
                .unionByName(fresh.table("bronze.raw_lab_orders").select("lab_order_bk", "encounter_bk"))
-               .join(lab_keys, "lab_order_bk", "left_semi").select("encounter_bk"))
+               )
+    lab_enc = join_null_safe(lab_enc, lab_keys, ["lab_order_bk"], "left_semi").select("encounter_bk")
     fact_keys = materialize(changed["raw_encounters"].unionByName(lab_enc).distinct()
                             .withColumnRenamed("encounter_bk", "ENCOUNTER_BK"), "changed-fact")
     n_fact = fact_keys.count()
@@ -189,7 +191,7 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
                 rec["partitions_rewritten"] = n_parts
 
     # 3. Gold and serving over the refreshed silver.
-    cur = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt)
+    cur = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt, calendar=calendar)
     for level in _levels([n for n in VIEWS if not n.startswith("silver.")]):
         for name in level:
             if name in SILVER_BY_KEY:
