@@ -50,8 +50,8 @@ def main() -> None:
     board.where("NEEDS_ATTENTION").orderBy(F.desc("CURRENT_LOS_DAYS")).select(
         "WARD_NO", "BED_NO", "FULL_NAME", "CURRENT_LOS_DAYS", "NUM_ABNORMAL_LABS").show(5)
 
-    axa = feeds.scope_to_tenant_sql(spark.table("graphql.hmo_encounter_summary"), "HMO_CODE", "HMO-AXA")
-    print("HMO-AXA rows:", axa.count())
+    south = feeds.scope_to_tenant_sql(spark.table("graphql.hmo_encounter_summary"), "HMO_CODE", "HMO-SOUTH")
+    print("HMO-SOUTH rows:", south.count())
 
     alerts = spark.table("graphql.abnormal_lab_alerts")
     cursor, pages = None, 0

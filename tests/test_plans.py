@@ -51,5 +51,5 @@ def test_over_written_silver_checks_and_scoping_reach_the_scan(spark, small_root
     # a year filter on the stored fact is a partition prune
     p = plan(cat.table("gold.fact_encounter").where("ADMIT_YEAR = 1998"))
     assert "PartitionFilters: [isnotnull(ADMIT_YEAR" in p
-    p = plan(scope_to_tenant(cat.table("graphql.hmo_encounter_summary"), "HMO_CODE", "HMO-AXA"))
+    p = plan(scope_to_tenant(cat.table("graphql.hmo_encounter_summary"), "HMO_CODE", "HMO-SOUTH"))
     assert "PartitionFilters: [isnotnull(HMO_CODE" in p

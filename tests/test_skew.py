@@ -83,3 +83,39 @@ def test_multiset_minus_matches_except_all_with_hot_copies(spark):
     got, want = multiset_minus(a, b, chunk=1000), a.exceptAll(b)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_ward_board_splits_a_hot_patient(spark, tmp_path):
+    """The real view over stored silver in which one patient has a third of the encounters."""
+    from wardline.plans.pipeline import run_pipeline
+    from wardline.plans.queries import QUERY_AS_OF
+    from wardline.plans.registry import Catalog
+    from wardline.sources import synth
+    root = synth.write_inputs(spark, str(tmp_path / "in"), n_patients=400, n_providers=30, n_departments=9, n_diagnoses=20,
+                              n_encounters=30_000)
+    orders = spark.read.parquet(f"{root}/orders.parquet")
+    orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(7).cast(orders.schema["o_custkey"].dataType))
+                      .otherwise(F.col("o_custkey"))).write.parquet(f"{root}/hot.parquet")
+    spark.read.parquet(f"{root}/hot.parquet").write.mode("overwrite").parquet(f"{root}/orders.parquet")
+    wh = str(tmp_path / "wh")
+    run_pipeline(spark, root, wh, as_of=QUERY_AS_OF, register=False, views=[v for v in _silver_views()])
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        board = Catalog(spark, root, warehouse=wh, as_of=QUERY_AS_OF).build("graphql.current_ward_census")
+        assert board.collect()
+        assert "isSkewJoin=true" in (p := board._jdf.queryExecution().executedPlan().toString()) or "skew=true" in p
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _silver_views():
+    from wardline.plans.registry import VIEWS
+    return [v for v in VIEWS if v.startswith("silver.")]

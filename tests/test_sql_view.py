@@ -1,50 +1,33 @@
 """A view written as SQL text equals the DataFrame-built view."""
+from pyspark.sql import functions as F
+
 from wardline.operators.quality import Check
 from wardline.plans.queries import catalog
 from wardline.plans.registry import VIEWS, sql_view
 
-WARD_SQL = """
-WITH admitted AS (
-  SELECT * FROM silver.encounter_silver
-  WHERE DISCHARGE_TS IS NULL AND STATUS <> 'Cancelled'),
-active_bed AS (
-  SELECT ENCOUNTER_BK, WARD_NO, BED_NO FROM silver.bed_assignment_silver WHERE IS_ACTIVE),
-admission_counts AS (
-  SELECT PATIENT_BK, count(*) AS ADMISSION_COUNT FROM silver.encounter_silver GROUP BY PATIENT_BK),
-abnormal_labs AS (
-  SELECT ENCOUNTER_BK, count(*) AS NUM_ABNORMAL_LABS FROM silver.lab_order_silver
-  WHERE RESULT_FLAG = 'Abnormal' GROUP BY ENCOUNTER_BK)
-SELECT e.ENCOUNTER_BK, e.PATIENT_BK, xxhash64(e.PATIENT_BK) AS PATIENT_SK, p.FULL_NAME, p.GENDER, p.AGE,
-       b.WARD_NO, b.BED_NO, d.DEPARTMENT_NAME, pr.PROVIDER_NAME AS ATTENDING_PROVIDER,
-       dx.DIAGNOSIS_DESC, dx.DIAGNOSIS_CATEGORY, e.ENCOUNTER_TYPE, e.ADMIT_TS, e.ADMIT_DATE,
-       datediff(:as_of, e.ADMIT_DATE) AS CURRENT_LOS_DAYS,
-       coalesce(ac.ADMISSION_COUNT, 1) AS ADMISSION_COUNT,
-       coalesce(ac.ADMISSION_COUNT, 1) >= 3 AS IS_RECURRING,
-       coalesce(al.NUM_ABNORMAL_LABS, 0) AS NUM_ABNORMAL_LABS,
-       coalesce(ac.ADMISSION_COUNT, 1) >= 3 OR coalesce(al.NUM_ABNORMAL_LABS, 0) > 0 AS NEEDS_ATTENTION
-FROM admitted e
-JOIN active_bed b ON e.ENCOUNTER_BK = b.ENCOUNTER_BK
-LEFT JOIN silver.patient_silver p ON e.PATIENT_BK = p.PATIENT_BK
-LEFT JOIN silver.provider_silver pr ON e.PROVIDER_BK = pr.PROVIDER_BK
-LEFT JOIN silver.department_silver d ON e.DEPARTMENT_BK = d.DEPARTMENT_BK
-LEFT JOIN silver.diagnosis_silver dx ON e.DIAGNOSIS_BK = dx.DIAGNOSIS_BK
-LEFT JOIN admission_counts ac ON e.PATIENT_BK = ac.PATIENT_BK
-LEFT JOIN abnormal_labs al ON e.ENCOUNTER_BK = al.ENCOUNTER_BK
+SPEND_SQL = """
+SELECT d.BUILDING, l.TEST_NAME, datediff(:as_of, max(e.ADMIT_DATE)) AS DAYS_QUIET,
+       count(DISTINCT e.PROVIDER_BK) AS PROVIDERS, sum(l.TEST_COST) AS SPENT
+FROM silver.lab_order_silver l, silver.encounter_silver e, silver.department_silver d
+WHERE l.ENCOUNTER_BK = e.ENCOUNTER_BK AND e.DEPARTMENT_BK = d.DEPARTMENT_BK AND e.LENGTH_OF_STAY_DAYS > 2
+GROUP BY ALL
 """
 
 
 def test_sql_view_equals_dataframe_view(spark, small_root):
-    name = "graphql.ward_census_sql_test"
+    name = "graphql.lab_spend_test"
     try:
-        sql_view(name, WARD_SQL,
-                 inputs=["silver.encounter_silver", "silver.bed_assignment_silver", "silver.patient_silver",
-                         "silver.provider_silver", "silver.department_silver", "silver.diagnosis_silver",
-                         "silver.lab_order_silver"],
-                 checks=[Check("has_ward", "WARD_NO IS NOT NULL"), Check("has_bed", "BED_NO IS NOT NULL")],
-                 uses_as_of=True)
+        sql_view(name, SPEND_SQL,
+                 inputs=["silver.encounter_silver", "silver.lab_order_silver", "silver.department_silver"],
+                 checks=[Check("spent_something", "SPENT > 1000")], uses_as_of=True)
         cat = catalog(spark, small_root)
         a = cat.table(name)
-        b = cat.table("graphql.current_ward_census")
+        long = cat.table("silver.encounter_silver").where("LENGTH_OF_STAY_DAYS > 2")
+        b = (cat.table("silver.lab_order_silver").join(long, "ENCOUNTER_BK")
+                .join(cat.table("silver.department_silver"), "DEPARTMENT_BK").groupBy("BUILDING", "TEST_NAME")
+                .agg(F.datediff(cat.as_of_col(), F.max("ADMIT_DATE")).alias("DAYS_QUIET"),
+                     F.count_distinct("PROVIDER_BK").alias("PROVIDERS"), F.sum("TEST_COST").alias("SPENT"))
+                .where("SPENT > 1000"))
         assert a.columns == b.columns
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
