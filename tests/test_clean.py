@@ -108,3 +108,29 @@ def test_timestamp_parse_is_strict_and_zone_free(spark):
         assert one(spark, clean.ts("x"), "2001-04-01 02:30:00") == dt.datetime(2001, 4, 1, 2, 30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_free_form_dates_are_read_day_first(spark):
+    for text in ("2001-3-4", "4 Mar 2001", "04-03-2001", "2001/03/04", "04.03.2001", "March 4, 2001", "4/3/01", "4 March 2001"):
+        assert one(spark, clean.mixed_date("x"), text) == dt.date(2001, 3, 4), text
+        year_first = text.startswith("2001")
+        want = dt.date(2001, 4, 3) if year_first else dt.date(2001, 3, 4)
+        assert one(spark, clean.mixed_date("x", dayfirst_compat=True), text) == want, text
+    assert one(spark, clean.mixed_date("x", dayfirst_compat=True), "2001-3-25") == dt.date(2001, 3, 25)
+    assert [one(spark, clean.unparsed_date("x"), t) for t in ("31/02/2001", "4 Mar 2001", "", None)] == [True, False, False, False]
+
+
+def test_md5_bucket_fills_any_number_of_buckets(spark):
+    df = spark.range(16_000).select(keys.md5_bucket(F.col("id"), 64).alias("b"), keys.md5_bucket(F.col("id"), 6).alias("c"))
+    assert df.select("b").distinct().count() == 64
+    sizes = [r["count"] for r in df.groupBy("c").count().collect()]
+    assert len(sizes) == 6 and max(sizes) < 1.1 * 16_000 / 6
+
+
+def test_surrogate_keys_are_pinned(spark):
+    """Values from the xxhash library: XXH64 with seed 42."""
+    import xxhash
+    for key in ("PAT000001", "ENC00000042", ""):
+        want = xxhash.xxh64_intdigest(key, seed=42)
+        assert one(spark, keys.surrogate_key("x"), key) == want - (1 << 64 if want >> 63 else 0)
+    assert one(spark, keys.surrogate_key("x"), "PAT000001") == -5524248755977903872

@@ -98,24 +98,40 @@ def date(c, fmt: str = DATE_FORMAT) -> Column:
     return F.try_to_date(as_col(c), fmt)
 
 
-def mixed_date(c, formats=("yyyy-MM-dd", "dd/MM/yyyy"), dayfirst_compat: bool = False) -> Column:
-    """Parse date text that arrives in several formats; first format that fits wins.
-
-    ``dayfirst_compat=True`` reproduces a day-first free-text parser: ISO text
-    whose day is 12 or less has its month and day swapped
-    (``2001-03-04`` -> 2001-04-03), other text parses as usual.
+# FIXED VALUES: layouts of free-text dates. Year-first and day-first layouts
+# never fit the same text, so their order does not matter; single letters also
+# fit two digits.
+YEAR_FIRST = ("yyyy-M-d", "yyyy/M/d", "yyyy.M.d")
+DAY_FIRST = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy",
+             "MMM d yyyy", "MMMM d yyyy", "d/M/yy", "d-M-yy", "d.M.yy")
+
+
+def mixed_date(c, formats=YEAR_FIRST + DAY_FIRST, dayfirst_compat: bool = False) -> Column:
+    """Parse date text that arrives in many layouts, day before month; first
+    layout that fits wins. Text that fits none is NULL (count them with
+    :func:`unparsed_date`).
+
+    ``dayfirst_compat=True`` reproduces a day-first free-text parser: text
+    that begins with the year and whose day is 12 or less has its month and
+    day swapped (``2001-03-04`` -> 2001-04-03), other text parses as usual.
     """
     x = F.trim(as_col(c))
     parsed = F.coalesce(*[F.try_to_date(x, f) for f in formats])
     if not dayfirst_compat:
         return parsed
-    iso = F.try_to_date(x, "yyyy-MM-dd")
+    iso = F.coalesce(*[F.try_to_date(x, f) for f in YEAR_FIRST])
     # Only swapped when the day is <= 12, so the new month is always valid
     # and the new day (the old month) fits every month.
     swapped = F.make_date(F.year(iso), F.dayofmonth(iso), F.month(iso))
     return F.when(iso.isNotNull() & (F.dayofmonth(iso) <= 12), swapped).otherwise(parsed)
 
 
+def unparsed_date(c, formats=YEAR_FIRST + DAY_FIRST) -> Column:
+    """True where there is text but no layout fits it."""
+    x = F.trim(as_col(c))
+    return x.isNotNull() & (x != "") & mixed_date(c, formats).isNull()
+
+
 def phone(c, country: str = "234") -> Column:
     """Keep ASCII digits, drop one leading country code, drop leading zeros, re-prefix.
 

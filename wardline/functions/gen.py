@@ -55,10 +55,15 @@ def plus_days(c, days) -> Column:
     return as_col(c) + F.make_dt_interval(as_col(days).cast("int"))
 
 
+# FIXED VALUES: date layouts that birth dates arrive in.
+DATE_LAYOUTS = ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy-M-d", "d MMM yyyy", "dd-MM-yyyy", "yyyy/MM/dd", "dd.MM.yyyy",
+                "MMMM d, yyyy")
+
+
 def mixed_date_text(d, selector) -> Column:
-    """ISO or ``dd/MM/yyyy`` text, chosen by the parity of ``selector``."""
-    return F.when(F.pmod(as_col(selector), F.lit(2)) == 0, date_text(d, "yyyy-MM-dd")) \
-            .otherwise(date_text(d, "dd/MM/yyyy"))
+    """Date text in one of ``DATE_LAYOUTS``, chosen by ``selector`` modulo their number."""
+    texts = F.array(*[date_text(d, f) for f in DATE_LAYOUTS])
+    return F.element_at(texts, (F.pmod(as_col(selector), F.lit(len(DATE_LAYOUTS))) + F.lit(1)).cast("int"))
 
 
 def line_numbers(n) -> Column:

@@ -21,7 +21,13 @@ def business_key(prefix: str, n, width: int) -> Column:
 
 def key_number(bk, prefix_len: int) -> Column:
     """Numeric part of a business key (``PAT000123`` -> 123)."""
-    return F.substring(as_col(bk), prefix_len + 1, 1 << 20).try_cast("long")
+    return key_text(bk, prefix_len).try_cast("long")
+
+
+def key_text(bk, prefix_len: int) -> Column:
+    """All of a business key after its prefix."""
+    c = as_col(bk)
+    return F.substring(c, F.lit(prefix_len + 1), F.length(c))
 
 
 def surrogate_key(*cols, null_if_null: bool = False) -> Column:
@@ -58,10 +64,10 @@ def pick_stable(values, c) -> Column:
 
 
 def md5_bucket(c, n: int) -> Column:
-    """Portable stable bucket: the low hex digit of ``md5(key)`` mod ``n``.
+    """Portable stable bucket: the low 15 hex digits of ``md5(key)`` mod ``n``.
 
     Any SQL engine with ``md5`` computes the same bucket, which keeps the
     generated data checkable by an independent engine.
     """
-    last = F.substring(F.md5(as_col(c).cast("string")), 32, 1)
-    return F.pmod(F.conv(last, 16, 10).cast("int"), F.lit(n))
+    low = F.substring(F.md5(as_col(c).cast("string")), 18, 15)
+    return F.pmod(F.conv(low, 16, 10).cast("long"), F.lit(n)).cast("int")

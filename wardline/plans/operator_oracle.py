@@ -31,6 +31,14 @@ def _money_text(cents: str) -> str:
     return f"'₦' || format('{{:,.2f}}', {_cents_dec(cents)})"
 
 
+# The layouts of birth-date text, in the order of the generator's.
+_LAYOUTS = ["%Y-%m-%d", "%d/%m/%Y", "%Y-%-m-%-d", "%-d %b %Y", "%d-%m-%Y", "%Y/%m/%d", "%d.%m.%Y", "%B %-d, %Y"]
+
+
+def layout(k: str) -> str:
+    return f"CASE ({k}) % 8 " + " ".join(f"WHEN {i} THEN strftime(d, '{f}')" for i, f in enumerate(_LAYOUTS)) + " END"
+
+
 RAW = {
     "raw_patients_base": f"""
 SELECT c_custkey, c_name, {_D} AS d, printf('PAT%06d', c_custkey) AS patient_bk,
@@ -41,15 +49,14 @@ SELECT c_custkey, c_name, {_D} AS d, printf('PAT%06d', c_custkey) AS patient_bk,
        CASE WHEN c_custkey % 50 = 7 THEN NULL ELSE {_list(B.CITY_RAW)}[(c_custkey * 11 + 5) % 10 + 1] END AS city,
        {_INS} AS insurance_type
 FROM customer""",
-    "raw_patients": """
+    "raw_patients": f"""
 SELECT patient_bk, full_name, gender, blood_group, phone, city, insurance_type,
-       CASE WHEN c_custkey % 2 = 0 THEN strftime(d, '%Y-%m-%d') ELSE strftime(d, '%d/%m/%Y') END AS dob,
+       {layout('c_custkey')} AS dob, c_custkey % 8 AS _lay,
        c_custkey AS _k, d AS _d, FALSE AS _dup
 FROM raw_patients_base
 UNION ALL
 SELECT patient_bk, upper(c_name), gender, blood_group, phone, city, insurance_type,
-       CASE WHEN c_custkey % 40 = 0 THEN NULL
-            WHEN (c_custkey + 1) % 2 = 0 THEN strftime(d, '%Y-%m-%d') ELSE strftime(d, '%d/%m/%Y') END,
+       CASE WHEN c_custkey % 40 = 0 THEN NULL ELSE {layout('c_custkey + 1')} END, (c_custkey + 1) % 8,
        c_custkey, d, TRUE
 FROM raw_patients_base WHERE c_custkey % 20 = 0""",
     "raw_encounters": f"""
@@ -87,6 +94,11 @@ SELECT l.LAB_ORDER_BK AS ALERT_BK, l.RESULTED_TS
 FROM lab_order_silver l JOIN encounter_silver e ON l.ENCOUNTER_BK = e.ENCOUNTER_BK
 WHERE l.RESULT_FLAG = 'Abnormal' AND e.STATUS <> 'Cancelled' AND l.RESULTED_TS IS NOT NULL"""
 
+# Rows that dq_every_check breaks, and the ward board before its checks.
+_SEVENTH = "CAST(substr({}, 4) AS BIGINT) % 7 = 0"
+_IN_BED = """SELECT b.WARD_NO, b.BED_NO FROM encounter_silver e JOIN bed_assignment_silver b ON e.ENCOUNTER_BK = b.ENCOUNTER_BK
+WHERE b.IS_ACTIVE AND e.DISCHARGE_TS IS NULL AND e.STATUS <> 'Cancelled'"""
+
 OPERATOR_SQL = {
     "src_range_spine": """
 SELECT n, printf('PAT%06d', n) AS PATIENT_BK
@@ -116,6 +128,12 @@ FROM customer""",
 SELECT c_custkey, CASE WHEN c_custkey % 50 = 7 THEN NULL
                        ELSE {_list(B.CITY_RAW)}[(c_custkey * 11 + 5) % 10 + 1] END AS CITY_RAW
 FROM customer""",
+    "gen_stable_bucket": """
+SELECT CAST(count(*) AS BIGINT) AS N_KEYS, CAST(count(*) AS BIGINT) AS N_PAIRS, CAST(4 AS BIGINT) AS N_INSURERS,
+       CAST(0 AS BIGINT) AS N_MOVED, TRUE AS EVEN FROM customer""",
+    "sample_duplicates": """
+SELECT count(*) AS N_FEED, TRUE AS SHARE_RIGHT, CAST(0 AS BIGINT) AS N_FOREIGN, CAST(0 AS BIGINT) AS N_UNSTABLE
+FROM raw_patients""",
     "gen_modulo_lookup": None,  # filled below (needs the fixed list)
     "dedup_latest": _SURVIVORS,
     "dup_inject_dedup": """
@@ -130,7 +148,7 @@ SELECT patient_bk, dob, CASE WHEN dob IS NULL THEN NULL ELSE _d END AS DATE_OF_B
     "dob_parse_dayfirst_compat": """
 SELECT patient_bk, dob,
        CASE WHEN dob IS NULL THEN NULL
-            WHEN dob LIKE '____-__-__' AND day(_d) <= 12 THEN make_date(year(_d), day(_d), month(_d))
+            WHEN _lay IN (0, 2, 5) AND day(_d) <= 12 THEN make_date(year(_d), day(_d), month(_d))
             ELSE _d END AS DATE_OF_BIRTH
 FROM raw_patients""",
     "money_roundtrip": """
@@ -233,6 +251,25 @@ SELECT ENCOUNTER_BK,
                                     CASE WHEN STATUS = 'Cancelled' THEN 'not_cancelled' END],
                                    lambda x: x IS NOT NULL), ',') AS FAILED_CHECKS
 FROM ({_FACT_INPUT}) WHERE NOT ({_PASS_ALL})""",
+    "dq_every_check": f"""
+SELECT 'silver.patient_silver' AS view_name, 'valid_patient_bk' AS check_name,
+       count(*) FILTER (WHERE {_SEVENTH.format('PATIENT_BK')}) AS violations, count(*) AS input_rows FROM patient_silver
+UNION ALL SELECT 'silver.lab_order_silver', 'non_negative_cost',
+       count(*) FILTER (WHERE (l_partkey * 3 + l_suppkey + l_linenumber) % 97 = 0 AND l_extendedprice > 0), count(*) FROM lineitem
+UNION ALL SELECT 'silver.bed_assignment_silver', 'valid_assignment', count(*) FILTER (WHERE o_orderkey % 7 = 0), count(*) FROM orders
+UNION ALL SELECT 'silver.patient_coverage_silver', 'valid_coverage', count(*) FILTER (WHERE c_custkey % 7 = 0), count(*) FROM customer
+UNION ALL SELECT 'gold.dim_patient', 'valid_patient', count(*) FILTER (WHERE {_SEVENTH.format('PATIENT_BK')}), count(*) FROM patient_silver
+UNION ALL SELECT 'gold.fact_encounter', 'non_negative_billed', count(*) FILTER (WHERE BILLED_AMOUNT < 0), count(*) FROM encounter_silver
+UNION ALL SELECT 'gold.fact_encounter', 'non_negative_los', count(*) FILTER (WHERE {_SEVENTH.format('ENCOUNTER_BK')}), count(*) FROM encounter_silver
+UNION ALL SELECT 'gold.fact_encounter', 'not_cancelled', count(*) FILTER (WHERE STATUS = 'Cancelled'), count(*) FROM encounter_silver
+UNION ALL SELECT 'graphql.current_ward_census', 'has_ward', count(*) FILTER (WHERE WARD_NO IS NULL), count(*) FROM ({_IN_BED})
+UNION ALL SELECT 'graphql.current_ward_census', 'has_bed', count(*) FILTER (WHERE BED_NO IS NULL), count(*) FROM ({_IN_BED})
+UNION ALL SELECT 'graphql.hmo_encounter_summary', 'has_hmo_code', count(*) FILTER (WHERE {_SEVENTH.format('PATIENT_BK')}), count(*)
+FROM (SELECT e.PATIENT_BK FROM encounter_silver e JOIN patient_coverage_silver c ON e.PATIENT_BK = c.PATIENT_BK AND c.IS_HMO
+      WHERE e.STATUS <> 'Cancelled')
+UNION ALL SELECT 'graphql.abnormal_lab_alerts', 'is_resulted', count(*) FILTER (WHERE {_SEVENTH.format('ENCOUNTER_BK')}), count(*)
+FROM (SELECT l.ENCOUNTER_BK FROM lab_order_silver l JOIN encounter_silver e ON l.ENCOUNTER_BK = e.ENCOUNTER_BK
+      WHERE l.RESULT_FLAG = 'Abnormal' AND e.STATUS <> 'Cancelled')""",
     "feed_since": f"SELECT * FROM ({_ALERTS}) WHERE RESULTED_TS > TIMESTAMP '2000-01-01 00:00:00'",
     "feed_since_composite": f"""
 SELECT * FROM ({_ALERTS})
@@ -245,7 +282,10 @@ WHERE ts > TIMESTAMP '2024-01-02 00:00:00' OR (ts = TIMESTAMP '2024-01-02 00:00:
 ORDER BY ts, event_id LIMIT 1000""",
     "feed_append_only_check": f"""
 SELECT count(*) FILTER (WHERE RESULTED_TS <= TIMESTAMP '1999-01-01 00:00:00') AS OLD_ROWS,
-       count(*) AS NEW_ROWS, CAST(0 AS BIGINT) AS REMOVED_ROWS
+       count(*) AS NEW_ROWS,
+       (SELECT count(*) FROM lab_order_silver l JOIN encounter_silver e ON l.ENCOUNTER_BK = e.ENCOUNTER_BK
+        WHERE l.RESULT_FLAG = 'Abnormal' AND l.RESULTED_TS <= TIMESTAMP '1999-01-01 00:00:00'
+          AND (e.STATUS = 'Cancelled' OR (e.STATUS <> 'Cancelled' AND substr(l.LAB_ORDER_BK, 12, 6) = '-LAB02'))) AS REMOVED_ROWS
 FROM ({_ALERTS})""",
     "tenant_scope": """
 SELECT c.HMO_CODE, c.POLICY_NO, e.ENCOUNTER_BK, e.PATIENT_BK, e.ADMIT_DATE, e.STATUS, e.ENCOUNTER_TYPE,
@@ -253,7 +293,7 @@ SELECT c.HMO_CODE, c.POLICY_NO, e.ENCOUNTER_BK, e.PATIENT_BK, e.ADMIT_DATE, e.ST
 FROM encounter_silver e
 JOIN patient_coverage_silver c ON e.PATIENT_BK = c.PATIENT_BK AND c.IS_HMO
 LEFT JOIN diagnosis_silver dx ON e.DIAGNOSIS_BK = dx.DIAGNOSIS_BK
-WHERE e.STATUS <> 'Cancelled' AND c.HMO_CODE = 'HMO-AXA'""",
+WHERE e.STATUS <> 'Cancelled' AND c.HMO_CODE = 'HMO-SOUTH'""",
     "partition_pruned_year": """
 SELECT e.ENCOUNTER_BK, CAST(strftime(e.ADMIT_DATE, '%Y%m%d') AS INTEGER) AS ADMIT_DATE_SK, e.ADMIT_DATE,
        e.ENCOUNTER_TYPE, e.STATUS, e.LENGTH_OF_STAY_DAYS,
@@ -307,9 +347,9 @@ FROM orders""",
 
 
 def _modulo_lookup() -> str:
-    from .operator_queries import CONDITION_NAMES  # noqa: PLC0415
+    from .operator_queries import LOOKUP_WORDS  # noqa: PLC0415
     return (f"SELECT printf('DX-%04d', p_partkey) AS DIAGNOSIS_BK, "
-            f"{_list(CONDITION_NAMES)}[p_partkey % {len(CONDITION_NAMES)} + 1] AS CONDITION FROM part")
+            f"{_list(LOOKUP_WORDS)}[p_partkey % {len(LOOKUP_WORDS)} + 1] AS LOOKED_UP FROM part")
 
 
 OPERATOR_SQL["gen_modulo_lookup"] = _modulo_lookup()

@@ -20,17 +20,17 @@ from ..sources import bronze
 from ..sources.sinks import materialize
 from . import gold, serving, silver
 from .queries import catalog
-from .registry import Given
+from .registry import VIEWS, Given
 
-# FIXED VALUES: condition names looked up by code number (modulo lookup demo).
-CONDITION_NAMES = ["Malaria", "Typhoid Fever", "Pneumonia", "Sepsis", "Asthma", "Migraine",
-                   "Epilepsy", "Hepatitis B", "Cholera", "Dengue Fever", "Otitis Media", "Cellulitis"]
+# Words looked up by code number (modulo lookup).
+LOOKUP_WORDS = ["amber", "birch", "cobalt", "dune", "ember", "flint", "grove", "harbor", "iris", "juniper",
+                "kelp", "lichen"]
 
 FEED_CURSOR_TS = _dt.datetime(2000, 1, 1, 0, 0, 0)
 FEED_PAGE_CURSOR = (_dt.datetime(2000, 1, 1, 5, 0, 0), "ENC00005000")
 FEED_PAGE_SIZE = 500
 APPEND_ONLY_CUTOFF = _dt.datetime(1999, 1, 1, 0, 0, 0)
-TENANT = "HMO-AXA"
+TENANT = "HMO-SOUTH"
 PRUNE_YEAR = 1998
 FACT_CHECKS = gold.fact_encounter.spec.checks
 
@@ -46,23 +46,27 @@ def _silver(spark, root, name):
 # --- sources, sinks, generators --------------------------------------------
 
 def src_range_spine(spark: SparkSession, root: str) -> DataFrame:
-    """Distributed row spine 1..N, N = number of customers (one scalar read)."""
-    n = catalog(spark, root).inputs["customer"].count()
-    return (spark.range(1, n + 1).withColumnRenamed("id", "n")
+    """Distributed row spine over the customer keys, kept where the customer
+    table has the key, and numbered from 1 (keys begin at 0)."""
+    c = catalog(spark, root).inputs["customer"].select(F.col("c_custkey").alias("id"))
+    top = c.agg(F.max("id")).first()[0]
+    return (spark.range(0, -1 if top is None else top + 1).join(c, "id", "left_semi")
+                 .select((F.col("id") + 1).alias("n"))
                  .select("n", keys.business_key("PAT", F.col("n"), 6).alias("PATIENT_BK")))
 
 
 def audit_row_counts(spark: SparkSession, root: str) -> DataFrame:
-    """Rows per bronze table plus the active-bed count (one aggregate each)."""
+    """Rows per bronze table plus the active-bed count: one aggregate, and so
+    one scan, per table."""
     cat = catalog(spark, root)
-    parts = [cat.table(f"bronze.{t}").agg(F.count(F.lit(1)).alias("ROW_COUNT"))
-                .select(F.lit(t).alias("TABLE_NAME"), "ROW_COUNT")
-             for t in ("raw_patients", "raw_departments", "raw_providers", "raw_diagnoses",
-                       "raw_encounters", "raw_lab_orders", "raw_bed_assignments",
-                       "raw_patient_coverage")]
-    parts.append(cat.table("bronze.raw_bed_assignments").where(F.col("released_ts").isNull())
-                    .agg(F.count(F.lit(1)).alias("ROW_COUNT"))
-                    .select(F.lit("active_beds").alias("TABLE_NAME"), "ROW_COUNT"))
+    more = {"raw_bed_assignments": [("active_beds", F.count_if(F.col("released_ts").isNull()))]}
+    parts = []
+    for t in ("raw_patients", "raw_departments", "raw_providers", "raw_diagnoses", "raw_encounters",
+              "raw_lab_orders", "raw_bed_assignments", "raw_patient_coverage"):
+        counts = [(t, F.count(F.lit(1))), *more.get(t, [])]
+        one = cat.table(f"bronze.{t}").agg(*[c.alias(n) for n, c in counts])
+        parts.append(one.select(F.explode(F.array(*[
+            F.struct(F.lit(n).alias("TABLE_NAME"), F.col(n).alias("ROW_COUNT")) for n, _ in counts])).alias("r")).select("r.*"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -104,23 +108,45 @@ def gen_null_injection(spark: SparkSession, root: str) -> DataFrame:
 
 
 def gen_stable_bucket(spark: SparkSession, root: str) -> DataFrame:
-    """``pmod(xxhash64(key), n)`` insurer pick (no SQL twin of xxhash64)."""
+    """``pmod(xxhash64(key), n)`` insurer pick over the duplicated patient feed,
+    as the facts that must hold for it: each key gets one insurer, computed
+    in another plan the same one, all insurers occur, and none gets over
+    twice its even share. (The hash has no SQL twin; the tests pin values.)"""
+    raw = _bronze(spark, root, "raw_patients").select("patient_bk")
+    picked = raw.select("patient_bk", keys.pick_stable(bronze.HMO_CODES, "patient_bk").alias("hmo"))
     c = catalog(spark, root).inputs["customer"]
     bk = keys.business_key("PAT", F.col("c_custkey"), 6)
-    return c.select(bk.alias("PATIENT_BK"), keys.pick_stable(bronze.HMO_CODES, bk).alias("HMO_CODE"))
+    again = c.select(bk.alias("patient_bk"), keys.pick_stable(bronze.HMO_CODES, bk).alias("again"))
+    per_key = (picked.groupBy("patient_bk").agg(F.count_distinct("hmo").alias("n"), F.min("hmo").alias("hmo"))
+                     .join(again, "patient_bk", "full_outer"))
+    per_hmo = per_key.groupBy("hmo").agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("pairs"),
+                                         F.count_if(~F.col("hmo").eqNullSafe(F.col("again"))).alias("moved"))
+    return per_hmo.agg(F.sum("keys").alias("N_KEYS"), F.sum("pairs").alias("N_PAIRS"),
+                       F.count_distinct("hmo").alias("N_INSURERS"), F.sum("moved").alias("N_MOVED"),
+                       (F.max("keys") * len(bronze.HMO_CODES) <= 2 * F.sum("keys")).alias("EVEN"))
 
 
 def gen_modulo_lookup(spark: SparkSession, root: str) -> DataFrame:
     p = catalog(spark, root).inputs["part"]
-    arr = F.array(*[F.lit(v) for v in CONDITION_NAMES])
+    arr = F.array(*[F.lit(v) for v in LOOKUP_WORDS])
     return p.select(keys.business_key("DX-", F.col("p_partkey"), 4).alias("DIAGNOSIS_BK"),
-                    F.element_at(arr, (F.pmod(F.col("p_partkey"), F.lit(len(CONDITION_NAMES))) + 1)
-                                 .cast("int")).alias("CONDITION"))
+                    F.element_at(arr, (F.pmod(F.col("p_partkey"), F.lit(len(LOOKUP_WORDS))) + 1)
+                                 .cast("int")).alias("LOOKED_UP"))
 
 
 def sample_duplicates(spark: SparkSession, root: str) -> DataFrame:
-    """Seeded Bernoulli sample of the patient feed (a sampling operator)."""
-    return _bronze(spark, root, "raw_patients").sample(fraction=0.05, seed=42)
+    """Seeded Bernoulli sample of the patient feed, as the facts that must
+    hold for it: no row that the feed lacks, a second draw with the seed is
+    the same, and its share lies within five standard deviations."""
+    raw = _bronze(spark, root, "raw_patients")
+    one, two = raw.sample(fraction=0.05, seed=42), raw.sample(fraction=0.05, seed=42)
+    drawn = one.agg(F.count(F.lit(1))).scalar()
+    n = F.count(F.lit(1))
+    return raw.agg(
+        n.alias("N_FEED"),
+        (F.abs(drawn - 0.05 * n) <= 5 * F.sqrt(n * 0.05 * 0.95) + 1).alias("SHARE_RIGHT"),
+        incremental.multiset_minus(one, raw).agg(F.count(F.lit(1))).scalar().alias("N_FOREIGN"),
+        incremental.multiset_minus(one, two).agg(F.count(F.lit(1))).scalar().alias("N_UNSTABLE"))
 
 
 def _raw_pat(spark, root):
@@ -163,12 +189,11 @@ def money_roundtrip(spark: SparkSession, root: str) -> DataFrame:
 
 def business_keys_q(spark: SparkSession, root: str) -> DataFrame:
     e = _bronze(spark, root, "raw_encounters")
-    bed = _bronze(spark, root, "raw_bed_assignments").select("encounter_bk", "bed_assignment_bk")
     return (e.select("encounter_bk", "patient_bk", "provider_bk", "department_bk", "diagnosis_bk")
-             .join(bed, "encounter_bk", "inner")
              .select("*",
-                     F.concat(F.lit("COV"), F.substring("patient_bk", 4, 1 << 20)).alias("coverage_bk"),
-                     F.concat(F.lit("POL-"), F.substring("patient_bk", 4, 1 << 20)).alias("policy_no")))
+                     F.concat("encounter_bk", F.lit("-BED01")).alias("bed_assignment_bk"),
+                     F.concat(F.lit("COV"), keys.key_text("patient_bk", 3)).alias("coverage_bk"),
+                     F.concat(F.lit("POL-"), keys.key_text("patient_bk", 3)).alias("policy_no")))
 
 
 def explode_sequence_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -329,6 +354,36 @@ def dq_quarantine(spark, root):
     return dropped.select("ENCOUNTER_BK", F.array_join("failed_checks", ",").alias("FAILED_CHECKS"))
 
 
+# For each view with checks: a column to break, in rows whose key number is
+# divisible by seven, and the value put there. The other checks of these views
+# are broken by the input itself.
+BROKEN = {
+    "silver.patient_silver": ("PATIENT_BK", None, "PATIENT_BK"),
+    "silver.lab_order_silver": (None, None, None),
+    "silver.bed_assignment_silver": ("ENCOUNTER_BK", None, "ENCOUNTER_BK"),
+    "silver.patient_coverage_silver": ("PATIENT_BK", None, "PATIENT_BK"),
+    "gold.dim_patient": ("PATIENT_BK", None, "PATIENT_BK"),
+    "gold.fact_encounter": ("LENGTH_OF_STAY_DAYS", -1, "ENCOUNTER_BK"),
+    "graphql.current_ward_census": (None, None, None),
+    "graphql.hmo_encounter_summary": ("HMO_CODE", None, "PATIENT_BK"),
+    "graphql.abnormal_lab_alerts": ("RESULTED_TS", None, "ENCOUNTER_BK"),
+}
+
+
+def dq_every_check(spark, root):
+    """Violations of every check of every view, over rows that break it."""
+    cat = catalog(spark, root)
+    parts = []
+    for name, (column, value, key) in BROKEN.items():
+        rows = VIEWS[name].fn(cat)
+        if column:
+            bad = F.pmod(keys.key_number(key, 3), F.lit(7)) == 0
+            kind = rows.schema[column].dataType
+            rows = rows.withColumn(column, F.when(bad, F.lit(value).cast(kind)).otherwise(F.col(column)))
+        parts.append(quality.violation_counts(rows, VIEWS[name].checks).select(F.lit(name).alias("view_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- feeds -------------------------------------------------------------------
 
 def _alerts(spark, root):
@@ -356,10 +411,22 @@ def feed_since_events(spark, root):
 
 
 def feed_append_only_check(spark, root):
-    """Published snapshot at a cutoff vs the current feed: nothing may vanish."""
-    new = catalog(spark, root).table("graphql.abnormal_lab_alerts")
-    old = new.where(F.col("RESULTED_TS") <= F.lit(APPEND_ONLY_CUTOFF))
-    removed = feeds.removed_rows(old, new, key="ALERT_BK")
+    """Published snapshot at a cutoff vs the current feed: what has vanished.
+
+    The snapshot also holds alerts of encounters cancelled since (status code
+    9 of 11) under their own keys, and shows another test name for line 2 of
+    an encounter, so both kinds of loss have a known number."""
+    cat = catalog(spark, root)
+    new = cat.table("graphql.abnormal_lab_alerts")
+    shown = F.when(F.substring("ALERT_BK", 12, 6) == "-LAB02", F.lit("Renamed")).otherwise(F.col("TEST_NAME"))
+    cut = F.col("RESULTED_TS") <= F.lit(APPEND_ONLY_CUTOFF)
+    old = new.where(cut).withColumn("TEST_NAME", shown)
+    gone = (cat.table("silver.lab_order_silver").where(F.col("RESULT_FLAG") == "Abnormal").where(cut)
+               .join(cat.table("silver.encounter_silver").where(F.col("STATUS") == "Cancelled").select("ENCOUNTER_BK"),
+                     "ENCOUNTER_BK", "left_semi")
+               .select(F.col("LAB_ORDER_BK").alias("ALERT_BK"), "TEST_NAME", "RESULTED_TS"))
+    cols = ["ALERT_BK", "TEST_NAME", "RESULTED_TS"]
+    removed = feeds.removed_rows(old.select(cols).unionByName(gone), new.select(cols), key="ALERT_BK")
     # One aggregate over the current feed; the removed-row count rides along
     # as a scalar subquery.
     return new.agg(
@@ -423,14 +490,25 @@ def incr_rowwise_equals_full(spark, root):
 
 
 def incr_aggregate_equals_full(spark, root):
-    """Lab roll-up per encounter computed without every 7th lab line, then
-    refreshed for the encounters whose labs changed; must equal a full run."""
+    """Lab roll-up per encounter stored before labs came, changed and went, then
+    refreshed for the encounters that the change feed names; must equal a
+    full run."""
     cat = catalog(spark, root)
     enc = cat.table("silver.encounter_silver")
     labs = cat.table("silver.lab_order_silver")
-    missing = F.pmod(F.xxhash64("LAB_ORDER_BK"), F.lit(7)) == 0
-    old = _labs_joined(enc, labs.where(~missing))
-    touched = labs.where(missing).select("ENCOUNTER_BK")
+    # The state before: labs of part 0 (mod 7) had not come yet, those of part 1
+    # cost one more, and encounters of part 2 had a line that is gone now.
+    part = F.pmod(F.crc32("LAB_ORDER_BK"), F.lit(7))
+    was = labs.where(part != 0).withColumn("TEST_COST", F.when(part == 1, F.col("TEST_COST") + 1).otherwise(F.col("TEST_COST"))
+                                           .cast("decimal(18,2)"))
+    gone = (enc.where(F.pmod(F.crc32("ENCOUNTER_BK"), F.lit(7)) == 2)
+               .select(F.concat("ENCOUNTER_BK", F.lit("-GONE")).alias("LAB_ORDER_BK"), "ENCOUNTER_BK",
+                       F.lit(1).cast("decimal(18,2)").alias("TEST_COST")))
+    cols = ["LAB_ORDER_BK", "ENCOUNTER_BK", "TEST_COST"]
+    before = was.select(cols).unionByName(gone)
+    old = materialize(_labs_joined(enc, before), "labs-per-encounter")
+    touched = incremental.changed_keys(
+        incremental.change_feed(before, labs.select(cols), ["LAB_ORDER_BK", "ENCOUNTER_BK"]), "ENCOUNTER_BK")
     return incremental.refresh_by_key(lambda enc, labs: _labs_joined(enc, labs), old,
                                       {"enc": enc, "labs": labs}, touched, "ENCOUNTER_BK")
 
@@ -534,6 +612,7 @@ OPERATOR_QUERIES = {
     "dq_violation_counts": dq_violation_counts,
     "dq_null_policy_drop": dq_null_policy_drop,
     "dq_quarantine": dq_quarantine,
+    "dq_every_check": dq_every_check,
     "feed_since": feed_since,
     "feed_since_composite": feed_since_composite,
     "feed_since_events": feed_since_events,

@@ -35,13 +35,13 @@ _BLOOD = _list(["A+", "A+", "O-", "O+", "B+", "AB-", "AB+"])
 _CITY = _list(["Lagos", "Lagos", "Abuja", "Kano", "Ibadan", "Port Harcourt", "Port Harcourt", "Kaduna",
                "Benin", "Benin"])
 _WARD_TYPE = _list(["Inpatient", "Inpatient", "Outpatient", "Outpatient", "ICU", "ICU"])
-_BUILDING = _list(["Block A", "Block B", "Annex", "Block A"])
-_SPECIALTY = _list(["Cardiologist", "Cardiologist", "Pediatrician", "Oncologist", "Neurologist",
-                    "General Physician", "Radiologist", "Surgeon"])
+_BUILDING = _list(["Tower 1", "Tower 2", "Pavilion", "Tower 1"])
+_SPECIALTY = _list(["Dermatologist", "Dermatologist", "Urologist", "Nephrologist", "Hematologist",
+                    "Family Physician", "Anesthetist", "Podiatrist"])
 _ETYPE = _list(["Inpatient", "Inpatient", "Outpatient", "Outpatient", "Emergency", "Emergency"])
 _STATUS = _list(["Discharged"] * 6 + ["Admitted", "Admitted", "Admitted", "Cancelled", "Admitted"])
-_TEST = _list(["CBC", "Malaria RDT", "Lipid Panel", "LFT", "Urinalysis", "Blood Glucose", "X-Ray", "MRI"])
-_HMO = _list(["HMO-HYGEIA", "HMO-AXA", "HMO-AVON", "HMO-RELIANCE"])
+_TEST = _list(["Ferritin", "Sodium", "Potassium", "Creatinine", "Bilirubin", "Troponin", "Cortisol", "Insulin"])
+_HMO = _list(["HMO-NORTH", "HMO-SOUTH", "HMO-EAST", "HMO-WEST"])
 
 _ADMIT = ("o_orderdate + to_seconds(((o_orderkey * 7) % 24) * 3600 + ((o_orderkey * 13) % 60) * 60 "
           "+ (o_orderkey * 17) % 60)")
