@@ -24,7 +24,6 @@ MARKS = r"^[ \t]*((?:>[ \t]?)+)"  # a line's quote marks
 SAID = r"(?i)\b(wrote|writes|schrieb|escribió|écrit)\b[^:]*:[ \t]*$"  # says whom a quotation is from
 STRETCH = 1024
 PART = 64
-TASKS = 64
 
 
 def level_of(line: Column) -> Column:
@@ -54,7 +53,7 @@ def ranked_messages(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
                      F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     msgs = msgs.withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
-    return rank_within(msgs, ["conv"], ["turn", "role", "text"], "position", TASKS)
+    return rank_within(msgs, ["conv"], ["turn", "role", "text"], "position")
 
 
 def quotation_links(ranked: DataFrame) -> DataFrame:
@@ -108,7 +107,7 @@ def conversations(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
                   .select("conv", "conv_id", "position", "turn", "role", F.col("answers").isNotNull().cast("int").alias("linked"),
                           F.coalesce("answers", F.col("position") - 1).alias("answers"),
                           unquoted(F.split("text", "\n", -1)).alias("own")))
-    placed = rank_within(told, ["conv"], ["answers", "position"], "place", TASKS)
+    placed = rank_within(told, ["conv"], ["answers", "position"], "place")
     said = F.when(F.col("own") == "", "").otherwise(F.concat(F.lit("<|"), "role", F.lit("|>\n"), "own", F.lit("\n<|end|>\n")))
     one = F.struct("place", "turn", said.alias("said"))
     return (placed.withColumn("part", F.floor(F.col("place") / part))

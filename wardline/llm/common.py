@@ -6,9 +6,10 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from ..sources.sinks import materialize
 
 # Words are maximal runs of characters other than ASCII white space.
@@ -21,7 +22,9 @@ _SHIPPED: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Give the workers this package's code, once per application, as a zip
-    that the driver serves: tasks import it wherever they run."""
+    that the driver serves: tasks import it wherever they run. Also sees to it
+    that the checkpoint folder is set."""
+    ensure_checkpoint_dir(spark)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
@@ -57,7 +60,7 @@ def words(col):
     return F.filter(F.split(col, SPACE, -1), lambda w: w != "")
 
 
-def rank_within(df: DataFrame, group: list[str], order: list[str], name: str, tasks: int) -> DataFrame:
+def rank_within(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
     """``df`` with a long column ``name``: 0, 1, ... within each ``group`` by
     ``order``. Rows are dealt by range over group and order together, so a
     group of any size is ranked by many tasks: each task numbers its own rows,
@@ -65,11 +68,10 @@ def rank_within(df: DataFrame, group: list[str], order: list[str], name: str, ta
 
     NULL keys form a group of their own; ties get distinct ranks in any order.
     """
-    ranged = (df.repartitionByRange(tasks, *group, *order).sortWithinPartitions(*group, *order)
+    ranged = (df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
                 .withColumn("_part", F.spark_partition_id())
                 .withColumn("_row", F.monotonically_increasing_id())
                 .checkpoint())
-    from pyspark.sql import Window  # noqa: PLC0415
     per_task = ranged.groupBy(*group, "_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_task.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
