@@ -1,4 +1,5 @@
 """Incremental refresh after inserts, updates and deletes equals a full run."""
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
@@ -40,9 +41,11 @@ def test_incremental_refresh_equals_full_run(spark, tmp_path):
     b = str(tmp_path / "b")
     changed_copy(spark, a, b)
     inc_wh, full_wh = str(tmp_path / "inc"), str(tmp_path / "full")
-    run_pipeline(spark, a, inc_wh, as_of=QUERY_AS_OF, register=False)
-    audit = {r["table"]: r for r in refresh_incremental(spark, b, inc_wh, as_of=QUERY_AS_OF, register=False)}
-    run_pipeline(spark, b, full_wh, as_of=QUERY_AS_OF, register=False)
+    cal = (dt.date(1990, 1, 1), dt.date(1993, 12, 31))
+    run_pipeline(spark, a, inc_wh, as_of=QUERY_AS_OF, register=False, calendar=cal)
+    audit = {r["table"]: r for r in refresh_incremental(spark, b, inc_wh, as_of=QUERY_AS_OF, register=False, calendar=cal)}
+    run_pipeline(spark, b, full_wh, as_of=QUERY_AS_OF, register=False, calendar=cal)
+    assert Catalog(spark, b, warehouse=inc_wh).table("gold.dim_date").count() == 1461
 
     assert audit["bronze.raw_departments"]["mode"] == "unchanged"
     assert audit["silver.encounter_silver"]["mode"] == "by_key"
