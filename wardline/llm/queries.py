@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontamination, extraction, lines, packing, quality, simhash, substrings, suffixes, toxicity
+from .oracle import ORACLE  # noqa: F401
 
 
 def tokenizer_path() -> str:
@@ -80,5 +81,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-# DuckDB SQL of the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {"op2_chat_formatting": chat.ORACLE_SQL}
