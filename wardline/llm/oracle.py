@@ -58,8 +58,39 @@ SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_remo
 FROM d LEFT JOIN kept ON d.r = kept.r
 """
 
+def _shingles(ws: str) -> str:
+    """Five-word shingles of a list of words; of fewer words, all as one."""
+    return (f"CASE WHEN len({ws}) >= 5 THEN list_transform(range(len({ws}) - 4), lambda i: array_to_string({ws}[i + 1:i + 5], ' ')) "
+            f"WHEN len({ws}) > 0 THEN [chr(1) || array_to_string({ws}, ' ')] ELSE [] END")
+
+
+# Every window of an item's size that shares a shingle with it, by brute force.
+DECONTAMINATION = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '{_WORD}') AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS it, item_id, regexp_extract_all(lower(coalesce(text, '')), '{_WORD}') AS ws FROM benchmark),
+ds AS (
+  SELECT r, doc_id, len(hs) AS len, unnest(hs) AS h, unnest(range(len(hs))) AS p
+  FROM (SELECT r, doc_id, {_shingles('ws')} AS hs FROM d)),
+bs AS (
+  SELECT it, item_id, n, h, count(*) AS tf
+  FROM (SELECT it, item_id, len(hs) AS n, unnest(hs) AS h FROM (SELECT it, item_id, {_shingles('ws')} AS hs FROM b))
+  GROUP BY ALL),
+spread AS (
+  SELECT r, doc_id, len, it, item_id, n, h, tf,
+         unnest(range(least(greatest(p - n + 1, 0), greatest(len - n, 0)), least(p, greatest(len - n, 0)) + 1)) AS s
+  FROM ds JOIN bs USING (h)),
+shared AS (SELECT r, doc_id, len, it, item_id, n, s, least(count(*), tf) AS c FROM spread GROUP BY r, doc_id, len, it, item_id, n, s, h, tf),
+scored AS (
+  SELECT doc_id, item_id, n, s, CAST(sum(c) AS BIGINT) AS c, least(n, len) + n AS total
+  FROM shared GROUP BY r, doc_id, len, it, item_id, n, s)
+SELECT doc_id, item_id, s AS start, n + 4 AS n_words, c / (total - c) AS similarity
+FROM scored WHERE c / (total - c) >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY c / (total - c) DESC, s, n) = 1
+"""
+
 ORACLE = {
     "op2_chat_formatting": chat.ORACLE_SQL,
+    "op3_decontamination": DECONTAMINATION,
     "op5_quality_rules": QUALITY,
     "op7_substring_dedup": SUBSTRINGS,
 }
