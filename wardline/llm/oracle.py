@@ -88,9 +88,32 @@ FROM scored WHERE c / (total - c) >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY c / (total - c) DESC, s, n) = 1
 """
 
+# Bytes as hexadecimal text, two characters each.
+BYTE_STRINGS = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS win
+  FROM (SELECT r, doc_id, h, unnest(range(length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+hits AS (SELECT r, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY win) < doc_id),
+steps AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 50, TRUE) AS new FROM hits),
+runs AS (
+  SELECT r, min(i) AS a, max(i) + 50 AS e
+  FROM (SELECT r, i, sum(CAST(new AS INT)) OVER (PARTITION BY r ORDER BY i) AS run FROM steps) GROUP BY r, run),
+pieces AS (
+  SELECT d.r, runs.a, substr(h, 2 * coalesce(lag(e) OVER (PARTITION BY d.r ORDER BY a), 0) + 1,
+                             2 * (a - coalesce(lag(e) OVER (PARTITION BY d.r ORDER BY a), 0))) AS piece
+  FROM runs JOIN d ON runs.r = d.r),
+totals AS (SELECT r, sum(e - a) AS n_removed, count(*) AS n_spans, max(e) AS e FROM runs GROUP BY r),
+kept AS (SELECT r, string_agg(piece, '' ORDER BY a) AS t FROM pieces GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(t, '') || substr(h, 2 * coalesce(e, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN totals ON d.r = totals.r LEFT JOIN kept ON d.r = kept.r
+"""
+
 ORACLE = {
     "op2_chat_formatting": chat.ORACLE_SQL,
     "op3_decontamination": DECONTAMINATION,
+    "op4_suffix_array_dedup": BYTE_STRINGS,
     "op5_quality_rules": QUALITY,
     "op7_substring_dedup": SUBSTRINGS,
 }
