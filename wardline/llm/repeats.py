@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from .common import id_text
 
 PART_BYTES = 4 << 20  # text bytes per part aimed at
-CHUNK = 1 << 21  # elements worked on at a time
+CHUNK = 1 << 20  # elements worked on at a time
+ROWS = 1000  # texts held as Python objects at a time
 LAST = (1 << 63) - 1
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _POS = np.uint64((1 << 24) - 1)
@@ -32,10 +33,16 @@ MARKER, SURE = 64, 128
 
 
 def documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, ord, rid, text): ord is the doc_id that documents are ordered
-    by (NULL after all others), rid tells rows with one doc_id apart."""
+    """(ord, rid, text): ord is the doc_id that documents are ordered by, the
+    largest long for NULL; rid, a hash of the text, tells rows with one doc_id
+    apart. Every join uses these columns and ord, so the texts are shuffled
+    once for all of them."""
     return id_text(df, id_col, text_col).select(
-        "doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("ord"), F.xxhash64("text").alias("rid"), "text")
+        F.coalesce("doc_id", F.lit(LAST)).alias("ord"), F.hash("text").alias("rid"), "text")
+
+
+def doc_id() -> "F.Column":
+    return F.when(F.col("ord") != LAST, F.col("ord")).alias("doc_id")
 
 
 def parts_for(docs: DataFrame, of: int = PART_BYTES) -> int:
@@ -75,68 +82,67 @@ def selected(h: np.ndarray, w: int) -> np.ndarray:
     return (v & _POS).astype(np.int64)
 
 
-def runs(h: np.ndarray, usable: np.ndarray, window: int, gram: int, chunk: int = CHUNK):
+def runs(h: np.ndarray, ends: np.ndarray, window: int, gram: int, chunk: int = CHUNK, mask=None, table=None):
     """Yields (begin, count, at, key) arrays: windows begin .. begin + count - 1
-    select the gram at ``at``. ``h`` are element hashes; ``usable`` says which
-    windows count (one flag per position). A run is at most window - gram + 1
-    long, which the packed entries hold up to 255."""
+    select the gram at ``at``. ``h`` are the element hashes of texts laid end
+    to end (or bytes that ``table`` gives the hashes of), ``ends`` where each
+    text ends; a window stays in its text. ``mask``: the windows that count. A
+    run is at most window - gram + 1 long; packed entries hold up to 255.
+
+    Only ``chunk`` elements are expanded at a time, however long a text is."""
     if window - gram >= 255:
         raise ValueError("window - gram must be under 255")
     total = len(h) - window + 1
     for s in range(0, max(total, 0), chunk):
         part = h[s: min(s + chunk, total) + window - 1]
-        g = gram_hashes(part, gram)
-        sel = selected(g, window - gram + 1)
-        ok = usable[s: s + len(sel)]
+        sel_count = len(part) - window + 1
+        at = np.arange(s, s + sel_count)
+        ok = at + window <= ends[np.searchsorted(ends, at, side="right")]
+        if mask is not None:
+            ok &= mask[s: s + sel_count]
         where = np.flatnonzero(ok)
         if not len(where):
             continue
+        g = gram_hashes(part if table is None else table[part], gram)
+        sel = selected(g, window - gram + 1)
         new = np.ones(len(where), dtype=bool)
         new[1:] = (np.diff(where) > 1) | (np.diff(sel[where]) != 0)
         begin = np.flatnonzero(new)
         count = np.diff(np.concatenate([begin, [len(where)]]))
         first = where[begin]
-        at = sel[first]
-        yield first + s, count, at + s, g[at]
+        yield first + s, count, sel[first] + s, g[sel[first]]
 
 
-# One packed row: what one batch has for one part.
+# One packed row: what one batch has for one part. ``wide`` rows carry rid and
+# whole 64-bit keys, others 32 bits of the key: with the part, which grows in
+# number with the input, enough to tell which grams may repeat.
 
-def pack_part(order, rid, pos, n, off, key) -> bytes:
+def pack_part(order, rid, pos, n, off, key, wide: bool) -> bytes:
     """Entries sorted by document and position, as bytes."""
     import zstandard  # noqa: PLC0415
     k = np.lexsort((pos, rid, order))
     order, rid, pos, n, off, key = order[k], rid[k], pos[k], n[k], off[k], key[k]
-    new = np.ones(len(k), dtype=bool)
-    new[1:] = (np.diff(order) != 0) | (np.diff(rid) != 0)
-    begin = np.flatnonzero(new)
-    size = np.diff(np.concatenate([begin, [len(k)]])).astype("<u4")
-    short = zstandard.ZstdCompressor(level=1).compress(b"".join((
-        size.tobytes(), order[begin].astype("<i8").tobytes(), rid[begin].astype("<i8").tobytes(),
-        pos.astype("<u4").tobytes(), n.astype(np.uint8).tobytes(), off.astype(np.uint8).tobytes())))
-    head = np.array([len(k), len(begin), len(short)], dtype="<u4").tobytes()
-    return b"".join((head, short, (key >> np.uint64(32)).astype("<u4").tobytes(),
-                     (key >> np.uint64(16)).astype("<u2").tobytes()))
+    steps = np.diff(order, prepend=np.int64(0))
+    parts = [steps.astype("<i8").tobytes(), pos.astype("<u4").tobytes(), n.astype(np.uint8).tobytes(),
+             off.astype(np.uint8).tobytes()]
+    if wide:
+        parts.append(rid.astype("<i4").tobytes())
+    short = zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+    keys = key.astype("<u8") if wide else (key >> np.uint64(32)).astype("<u4")
+    return b"".join((np.array([len(k), len(short)], dtype="<u4").tobytes(), short, keys.tobytes()))
 
 
-def unpack_part(data: bytes) -> tuple:
+def unpack_part(data: bytes, wide: bool) -> tuple:
     import zstandard  # noqa: PLC0415
-    count, docs, size = np.frombuffer(data, "<u4", 3).tolist()
-    raw = zstandard.ZstdDecompressor().decompress(data[12:12 + size])
-    at = 0
-
-    def take(kind, k):
-        nonlocal at
-        out = np.frombuffer(raw, kind, k, at)
-        at += out.nbytes
-        return out
-
-    sizes = take("<u4", docs)
-    order, rid = take("<i8", docs), take("<i8", docs)
-    pos, n, off = take("<u4", count), take(np.uint8, count), take(np.uint8, count)
-    key = (np.frombuffer(data, "<u4", count, 12 + size).astype(np.uint64) << np.uint64(16)) | np.frombuffer(
-        data, "<u2", count, 12 + size + 4 * count).astype(np.uint64)
-    return np.repeat(order, sizes), np.repeat(rid, sizes), pos.astype(np.int64), n.astype(np.int64), off.astype(np.int64), key
+    count, size = np.frombuffer(data, "<u4", 2).tolist()
+    raw = zstandard.ZstdDecompressor().decompress(data[8:8 + size])
+    order = np.cumsum(np.frombuffer(raw, "<i8", count))
+    pos = np.frombuffer(raw, "<u4", count, 8 * count).astype(np.int64)
+    n = np.frombuffer(raw, np.uint8, count, 12 * count).astype(np.int64)
+    off = np.frombuffer(raw, np.uint8, count, 13 * count).astype(np.int64)
+    rid = np.frombuffer(raw, "<i4", count, 14 * count) if wide else np.zeros(count, dtype=np.int32)
+    key = np.frombuffer(data, "<u8" if wide else "<u4", count, 8 + size).astype(np.uint64)
+    return order, rid, pos, n, off, key
 
 
 def deal(order, rid, pos, n, off, key, parts: int, later: bool) -> pa.RecordBatch:
@@ -160,25 +166,25 @@ def deal(order, rid, pos, n, off, key, parts: int, later: bool) -> pa.RecordBatc
         off = np.concatenate([off, np.full(len(mark), MARKER)])
         sure[len(k):] = False
     off = off | np.where(sure, SURE, 0)
-    spread = mix(key ^ rid.astype(np.uint64), pos.astype(np.uint64))
+    spread = mix(key ^ order.astype(np.uint64), pos.astype(np.uint64))
     part = (np.where(sure, spread, mix(key, key)) >> np.uint64(11)) % np.uint64(parts)
     k = np.argsort(part, kind="stable")
     ids, first = np.unique(part[k], return_index=True)
     to = [*first[1:].tolist(), len(k)]
-    data = [pack_part(*(x[k[a:b]] for x in (order, rid, pos, n, off, key))) for a, b in zip(first.tolist(), to, strict=True)]
+    data = [pack_part(*(x[k[a:b]] for x in (order, rid, pos, n, off, key)), later) for a, b in zip(first.tolist(), to, strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(data, pa.binary())], ["part", "data"])
 
 
 DEALT = "part int, data binary"
-FOUND = "ord long, rid long, pos long, n long, off long"
 
 
 def shared(dealt: DataFrame, later: bool) -> DataFrame:
-    """The entries that repeat: under a key that two documents have, or with
-    ``later`` under one that a smaller document has."""
+    """(ord, at) of the entries that repeat: under a key that two documents
+    have, packed as pos << 16 | n << 8 | off, or with ``later`` under one that
+    a smaller document has, packed as pos << 32 | rid (single windows)."""
 
     def look(t: pa.Table) -> pa.Table:
-        got = [unpack_part(x) for c in t.column("data").chunks for x in c.to_pylist()]
+        got = [unpack_part(x, later) for c in t.column("data").chunks for x in c.to_pylist()]
         order, rid, pos, n, off, key = (np.concatenate(x) for x in zip(*got, strict=True))
         sure, marker = (off & SURE) > 0, (off & MARKER) > 0
         loose = np.flatnonzero(~sure)
@@ -193,31 +199,34 @@ def shared(dealt: DataFrame, later: bool) -> DataFrame:
             if later:
                 hit = order[k] > np.repeat(least, size)
             else:
-                hit = np.repeat(order[k][begin + size - 1] != least, size)
+                # a marker alone says that another batch has two documents
+                two = (order[k][begin + size - 1] != least) | np.logical_or.reduceat(marker[k], begin)
+                hit = np.repeat(two, size)
             keep = keep.copy()
             keep[k] = hit
         keep &= ~marker
-        return pa.table({"ord": order[keep], "rid": rid[keep], "pos": pos[keep], "n": n[keep], "off": off[keep] & (MARKER - 1)})
+        order, pos = order[keep], pos[keep]
+        if later:
+            at = pos << 32 | (rid[keep].astype(np.int64) & 0xFFFFFFFF)
+        else:
+            at = pos << 16 | n[keep] << 8 | (off[keep] & (MARKER - 1))
+        return pa.table({"ord": order, "at": at})
 
-    return dealt.groupBy("part").applyInArrow(look, FOUND)
+    return dealt.groupBy("part").applyInArrow(look, "ord long, at long")
 
 
 def per_document(found: DataFrame) -> DataFrame:
-    """(ord, rid, at): each document's entries packed as pos << 16 | n << 8 | off."""
-    at = F.shiftleft("pos", 16).bitwiseOR(F.shiftleft("n", 8)).bitwiseOR(F.col("off"))
-    return found.select("ord", "rid", at.alias("at")).groupBy("ord", "rid").agg(F.collect_list("at").alias("at"))
+    """(ord, at): each document's entries."""
+    return found.groupBy("ord").agg(F.collect_list("at").alias("at"))
 
 
 def unpack_at(at: np.ndarray) -> tuple:
     return at >> 16, (at >> 8) & 255, at & 255
 
 
-def usable_windows(sizes: np.ndarray, window: int) -> np.ndarray:
-    """For texts of ``sizes`` elements laid end to end: which positions begin a
-    window that stays in its text."""
-    ends = np.cumsum(sizes)
-    at = np.arange(int(ends[-1]) if len(ends) else 0)
-    return at + window <= np.repeat(ends, sizes)
+def starts_of(at: np.ndarray, rid: int) -> np.ndarray:
+    """The window starts of one row, in order, from entries of its doc_id."""
+    return np.unique(at[(at & 0xFFFFFFFF) == (rid & 0xFFFFFFFF)] >> 32)
 
 
 def groups_of(sizes: list[int], most: int):
@@ -232,6 +241,12 @@ def groups_of(sizes: list[int], most: int):
         yield slice(begin, len(sizes))
 
 
+def slices(b: pa.RecordBatch, rows: int = ROWS):
+    """A batch in smaller ones, so that few texts are Python objects at once."""
+    for at in range(0, b.num_rows, rows):
+        yield b.slice(at, rows)
+
+
 def lists(col) -> list[np.ndarray]:
     """A list<long> column as arrays (NULL: empty)."""
     return [np.array(x if x is not None else [], dtype=np.int64) for x in col.to_pylist()]

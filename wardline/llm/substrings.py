@@ -36,48 +36,47 @@ def word_hashes(ws: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, ws), dtype=np.uint64, count=len(ws))
 
 
-def _entries(words_of, order, rid, masks, window: int, gram: int, parts: int, last: bool):
-    """Rows (part, data) of some texts, given as lists of words; ``masks`` are
-    the windows that are still candidates (None: all)."""
-    out = []
+def _entries(words_of, order, rid, masks, window: int, gram: int):
+    """Entries (see ``repeats.deal``) of some texts, given as lists of words;
+    ``masks`` are the windows that are still candidates (None: all)."""
     sizes = [len(w) for w in words_of]
     for part in R.groups_of(sizes, R.CHUNK):
         own = np.array(sizes[part], dtype=np.int64)
         if not own.sum():
             continue
         h = word_hashes([w for ws in words_of[part] for w in ws])
-        ok = R.usable_windows(own, window)
-        begins = np.cumsum(own) - own
+        ends = np.cumsum(own)
+        begins, left = ends - own, None
         if masks is not None:
             left = np.zeros(len(h), dtype=bool)
             for b, spans in zip(begins.tolist(), masks[part], strict=True):
                 pos, n, _ = R.unpack_at(spans)
                 for p, k in zip(pos.tolist(), n.tolist(), strict=True):
-                    left[b + p: b + p + k] = True
-            ok &= left
-        doc = np.repeat(np.arange(len(own)), own)
-        for first, count, at, key in R.runs(h, ok, window, gram):
-            d = doc[first]
+                    left[b + p: b + p + k] = True  # may go beyond the text where rows share a doc_id
+        for first, count, _, key in R.runs(h, ends, window, gram, mask=left):
+            d = np.searchsorted(ends, first, side="right")
             pos = first - begins[d]
-            out.append((order[part][d], rid[part][d], pos, count, np.zeros(len(pos), dtype=np.int64), key))
-    if out:
-        yield R.deal(*(np.concatenate(x) for x in zip(*out, strict=True)), parts, last)
+            yield order[part][d], rid[part][d], pos, count, np.zeros(len(pos), dtype=np.int64), key
 
 
 def find(docs: DataFrame, window: int, parts: int) -> DataFrame:
-    """(ord, rid, at) of the windows that a smaller document has too."""
+    """(ord, at) of the windows that a smaller document has too."""
     lengths = levels(window)
     at = None
     for gram in lengths:
         last = gram == window
-        source = docs if at is None else docs.join(at, ["ord", "rid"])
+        source = docs if at is None else docs.join(at, "ord")
         cols = ["ord", "rid", "text"] + ([] if at is None else ["at"])
 
         def run(batches, gram=gram, last=last, narrowed=at is not None):
-            for b in batches:
-                words_of = [t.encode("utf-8", "replace").split() for t in b.column(2).to_pylist()]
-                yield from _entries(words_of, b.column(0).to_numpy(), b.column(1).to_numpy(),
-                                    R.lists(b.column(3)) if narrowed else None, window, gram, parts, last)
+            for whole in batches:
+                out = []
+                for b in R.slices(whole):
+                    words_of = [t.encode("utf-8", "replace").split() for t in b.column(2).to_pylist()]
+                    out += _entries(words_of, b.column(0).to_numpy(), b.column(1).to_numpy(),
+                                    R.lists(b.column(3)) if narrowed else None, window, gram)
+                if out:
+                    yield R.deal(*(np.concatenate(x) for x in zip(*out, strict=True)), parts, last)
 
         found = R.shared(source.select(*cols).mapInArrow(run, R.DEALT), last)
         at = R.per_document(found)
@@ -91,19 +90,19 @@ def remove(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col
 
     A word is removed if a window of ``window`` words that covers it also
     starts in a document with a smaller doc_id. NULL and empty texts have no
-    words. A NULL doc_id comes after all others; rows with one doc_id are never
+    words. A NULL doc_id comes after all others (as the largest long does); rows with one doc_id are never
     removed in favour of each other. An empty table gives no rows.
     """
     docs = R.documents(df, id_col, text_col)
     gone = find(docs, window, R.parts_for(docs))
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for b in batches:
+        for b in (part for whole in batches for part in R.slices(whole)):
             rows = []
-            for doc, text, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), R.lists(b.column(2)), strict=True):
+            for doc, rid, text, at in zip(*(b.column(k).to_pylist() for k in range(3)), R.lists(b.column(3)), strict=True):
                 ws = text.encode("utf-8", "replace").split()
-                spans = covered(at, window)
+                starts = R.starts_of(at, rid)
+                spans = merged(starts, starts + window) if len(starts) else []
                 kept, upto = [], 0
                 for s, e in spans:
                     kept += ws[upto:s]
@@ -117,19 +116,11 @@ def remove(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
                                              ["doc_id", "n_words", "n_removed", "spans", "kept_text", "kept_sha256"])
 
-    return (docs.join(gone, ["ord", "rid"], "left").select("doc_id", "text", "at")
-                .mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start:long,end:long>>, "
+    return (docs.join(gone, "ord", "left").select(R.doc_id(), "rid", "text", "at")
+                .mapInArrow(run, "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, "
                                  "kept_text string, kept_sha256 string"))
 
 
-def covered(at: np.ndarray, window: int) -> list[tuple[int, int]]:
-    """Maximal runs that windows beginning at the packed places cover."""
-    if not len(at):
-        return []
-    pos, n, _ = R.unpack_at(np.sort(at))
-    return merged(pos, pos + n - 1 + window)
-
-
 def merged(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     k = np.argsort(begin, kind="stable")
     begin, end = begin[k], np.maximum.accumulate(end[k])

@@ -118,61 +118,97 @@ def earliest(strings: list[tuple[bytes, int, int]], window: int) -> list[np.ndar
 def _selected(batches, window: int, gram: int, parts: int):
     """Rows (part, data) of the selected grams of texts (ord, rid, text)."""
     mixed = R.mix(np.arange(256, dtype=np.uint64), np.uint64(17) * np.ones(256, dtype=np.uint64))
-    for b in batches:
-        order, rid, out = b.column(0).to_numpy(), b.column(1).to_numpy(), []
-        raws = [t.encode("utf-8", "replace") for t in b.column(2).to_pylist()]
-        sizes = [len(r) for r in raws]
-        for part in R.groups_of(sizes, R.CHUNK):
-            own = np.array(sizes[part], dtype=np.int64)
-            if not own.sum():
-                continue
-            flat = np.frombuffer(b"".join(raws[part]), dtype=np.uint8)
-            begins, doc = np.cumsum(own) - own, np.repeat(np.arange(len(own)), own)
-            for first, count, at, key in R.runs(mixed[flat], R.usable_windows(own, window), window, gram):
-                d = doc[first]
-                out.append((order[part][d], rid[part][d], first - begins[d], count, at - first, key))
+    for whole in batches:
+        out = []
+        for b in R.slices(whole):
+            order, rid = b.column(0).to_numpy(), b.column(1).to_numpy()
+            raws = [t.encode("utf-8", "replace") for t in b.column(2).to_pylist()]
+            sizes = [len(r) for r in raws]
+            for part in R.groups_of(sizes, R.CHUNK):
+                own = np.array(sizes[part], dtype=np.int64)
+                if not own.sum():
+                    continue
+                flat = np.frombuffer(b"".join(raws[part]), dtype=np.uint8)
+                ends = np.cumsum(own)
+                begins = ends - own
+                for first, count, at, key in R.runs(flat, ends, window, gram, table=mixed):
+                    d = np.searchsorted(ends, first, side="right")
+                    out.append((order[part][d], rid[part][d], first - begins[d], count, at - first, key))
         if out:
             yield R.deal(*(np.concatenate(x) for x in zip(*out, strict=True)), parts, False)
 
 
-SNIPPETS = "shard int, ord long, rid long, pos long, n long, off long, snippet binary"
-_SNIPPET_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+# What a batch of texts has for a shard. ``settled``: stretches (ord, rid,
+# begin, length) that a smaller document of the batch has too. Else snippets
+# (ord, rid, pos, windows, offset of the gram, bytes laid end to end).
+SHARDS = "shard int, settled boolean, data binary"
+
+
+def _packed(cols, blob: bytes = b"") -> bytes:
+    import zstandard  # noqa: PLC0415
+    body = b"".join(np.array(c, dtype="<i8").tobytes() for c in cols)
+    return len(cols[0]).to_bytes(4, "little") + zstandard.ZstdCompressor(level=3).compress(body + blob)
+
+
+def _unpacked(data: bytes, width: int) -> tuple:
+    import zstandard  # noqa: PLC0415
+    n, raw = int.from_bytes(data[:4], "little"), zstandard.ZstdDecompressor().decompress(data[4:])
+    return [np.frombuffer(raw, "<i8", n, 8 * n * k) for k in range(width)], raw[8 * n * width:]
 
 
 def _snippets(batches, window: int, gram: int, shards: int):
-    """Snippets of texts (ord, rid, text, at), one class's smallest document
-    of a batch with its bytes; its other copies, settled here, without."""
+    """Rows (shard, settled, data) of texts (ord, rid, text, at)."""
     from xxhash import xxh3_64_intdigest  # noqa: PLC0415
-    names = [x.split()[0] for x in SNIPPETS.split(", ")]
-    for b in batches:
+    for b in (part for whole in batches for part in R.slices(whole, 2 * R.ROWS)):
         classes: dict[tuple, list] = {}
-        for order, rid, text, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(),
-                                        R.lists(b.column(3)), strict=True):
+        for order, rid, text, at in zip(*(b.column(k).to_pylist() for k in range(3)), R.lists(b.column(3)), strict=True):
             raw = text.encode("utf-8", "replace")
-            for pos, n, off in zip(*(x.tolist() for x in R.unpack_at(at)), strict=True):
-                classes.setdefault((off, raw[pos:pos + n + window - 1]), []).append((order, rid, pos, n))
-        cols: list[list] = [[] for _ in names]
+            for pos, n, off in zip(*(x.tolist() for x in R.unpack_at(np.sort(at))), strict=True):
+                if pos + n + window - 1 <= len(raw):  # places of another row with this doc_id may lie beyond
+                    classes.setdefault((off, raw[pos:pos + n + window - 1]), []).append((order, rid, pos, n))
+        settled: dict[tuple, list] = {}
+        homes: dict[int, list] = {}
         for (off, snippet), rows in classes.items():
             least = min(r[0] for r in rows)
-            home = xxh3_64_intdigest(snippet[off:off + gram]) % shards
+            home = homes.setdefault(xxh3_64_intdigest(snippet[off:off + gram]) % shards, [])
             for order, rid, pos, n in rows:
-                settled = order > least
-                vals = ((rid + pos) % shards if settled else home, order, rid, pos, n, off, None if settled else snippet)
-                for c, v in zip(cols, vals, strict=True):
-                    c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _SNIPPET_TYPES, strict=True)], names)
+                if order > least:
+                    settled.setdefault((order, rid), []).append((pos, pos + n + window - 1))
+                else:
+                    home.append((order, rid, pos, n, off, snippet))
+        out = []
+        if settled:
+            stretches = [(order, rid, s, e - s) for (order, rid), own in settled.items()
+                         for s, e in merged(*np.array(own, dtype=np.int64).T)]
+            out.append((stretches[0][2] % shards, True, _packed(list(zip(*stretches, strict=True)))))
+        for home, rows in homes.items():
+            if rows:
+                rows.sort(key=lambda r: r[:3])
+                *cols, snippets = zip(*rows, strict=True)
+                out.append((home, False, _packed(cols, b"".join(snippets))))
+        for k in range(0, len(out), 64):
+            part = list(zip(*out[k:k + 64], strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int32()), pa.array(part[1], pa.bool_()),
+                                              pa.array(part[2], pa.binary())], ["shard", "settled", "data"])
+
+
+STRETCHES = "ord long, rid int, begin long, length long"
 
 
 def _settle(t: pa.Table, window: int, gram: int) -> pa.Table:
-    """Removed stretches (ord, rid, at = begin << 16 | length) of one shard."""
+    """Stretches to remove of one shard."""
     out: list[tuple] = []
     classes: dict[tuple, list] = {}
-    for order, rid, pos, n, off, snippet in zip(*(t.column(c).to_pylist() for c in ("ord", "rid", "pos", "n", "off", "snippet")),
-                                                strict=True):
-        if snippet is None:
-            out.append((order, rid, pos << 16 | (n + window - 1)))
-        else:
-            classes.setdefault((off, snippet), []).append((order, rid, pos, n))
+    for settled, data in zip(t.column("settled").to_pylist(), t.column("data").to_pylist(), strict=True):
+        if settled:
+            cols, _ = _unpacked(data, 4)
+            out += zip(*(c.tolist() for c in cols), strict=True)
+            continue
+        cols, snippets = _unpacked(data, 5)
+        at = 0
+        for order, rid, pos, n, off in zip(*(c.tolist() for c in cols), strict=True):
+            classes.setdefault((off, snippets[at:at + n + window - 1]), []).append((order, rid, pos, n))
+            at += n + window - 1
     by_gram: dict[bytes, list] = {}
     for key, rows in classes.items():
         by_gram.setdefault(key[1][key[0]:key[0] + gram], []).append((key[1], rows))
@@ -183,7 +219,7 @@ def _settle(t: pa.Table, window: int, gram: int) -> pa.Table:
             first = []
             for order, rid, pos, n in rows:
                 if order > least:
-                    out.append((order, rid, pos << 16 | (n + window - 1)))
+                    out.append((order, rid, pos, n + window - 1))
                 else:
                     first.append((rid, pos))
             if len(own) > 1:
@@ -194,19 +230,20 @@ def _settle(t: pa.Table, window: int, gram: int) -> pa.Table:
             gone = np.flatnonzero(docs < least)
             if len(gone):
                 for s, e in merged(gone, gone + window):
-                    out += [(least, rid, (pos + s) << 16 | (e - s)) for rid, pos in first]
-    cols = list(zip(*out, strict=True)) if out else [[], [], []]
-    return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("ord", "rid", "at"), cols, strict=True)})
+                    out += [(least, rid, pos + s, e - s) for rid, pos in first]
+    cols = list(zip(*out, strict=True)) if out else [[], [], [], []]
+    return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
+                     pa.array(cols[3], pa.int64())], names=["ord", "rid", "begin", "length"])
 
 
 def find(docs: DataFrame, window: int, gram: int, parts: int) -> DataFrame:
-    """(ord, rid, at) of the stretches to remove, at = begin << 16 | length."""
-    dealt = docs.select("ord", "rid", "text").mapInArrow(lambda it: _selected(it, window, gram, parts), R.DEALT)
+    """(ord, at) with at a list of the stretches (rid, begin, length) to remove."""
+    dealt = docs.mapInArrow(lambda it: _selected(it, window, gram, parts), R.DEALT)
     places = R.per_document(R.shared(dealt, False))
-    snippets = (docs.join(places, ["ord", "rid"]).select("ord", "rid", "text", "at")
-                    .mapInArrow(lambda it: _snippets(it, window, gram, parts), SNIPPETS))
-    return (snippets.groupBy("shard").applyInArrow(lambda t: _settle(t, window, gram), "ord long, rid long, at long")
-                    .groupBy("ord", "rid").agg(F.collect_list("at").alias("at")))
+    snippets = (docs.join(places, "ord").select("ord", "rid", "text", "at")
+                    .mapInArrow(lambda it: _snippets(it, window, gram, parts), SHARDS))
+    return (snippets.groupBy("shard").applyInArrow(lambda t: _settle(t, window, gram), STRETCHES)
+                    .groupBy("ord").agg(F.collect_list(F.struct("rid", "begin", "length")).alias("at")))
 
 
 def remove(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -215,7 +252,7 @@ def remove(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str =
 
     A byte is removed if a string of ``window`` bytes that covers it also
     starts in a document with a smaller doc_id. NULL texts are empty; shorter
-    texts keep all. A NULL doc_id comes after all others; rows with one doc_id
+    texts keep all. A NULL doc_id comes after all others (as the largest long does); rows with one doc_id
     are never removed in favour of each other. An empty table gives no rows.
     """
     docs = R.documents(df, id_col, text_col)
@@ -224,11 +261,12 @@ def remove(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str =
     def run(batches):
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         types = [pa.int64(), pa.int64(), pa.int64(), span, pa.binary(), pa.string()]
-        for b in batches:
+        for b in (part for whole in batches for part in R.slices(whole)):
             rows = []
-            for doc, text, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), R.lists(b.column(2)), strict=True):
+            for doc, rid, text, at in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                 raw = text.encode("utf-8", "replace")
-                spans = merged(at >> 16, (at >> 16) + (at & 65535)) if len(at) else []
+                own = np.array([(x["begin"], x["begin"] + x["length"]) for x in at or () if x["rid"] == rid], dtype=np.int64)
+                spans = merged(*own.T) if len(own) else []
                 kept, upto = [], 0
                 for s, e in spans:
                     kept.append(raw[upto:s])
@@ -240,6 +278,6 @@ def remove(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str =
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
                                              ["doc_id", "n_bytes", "n_removed", "spans", "kept", "kept_sha256"])
 
-    return (docs.join(gone, ["ord", "rid"], "left").select("doc_id", "text", "at")
+    return (docs.join(gone, "ord", "left").select(R.doc_id(), "rid", "text", "at")
                 .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, "
                                  "kept binary, kept_sha256 string"))
