@@ -27,6 +27,7 @@ from .components import connected_components
 TAU = 2
 MIN_CHARS = 48  # shorter lines are left alone
 BLOCK = 256
+SEEN = 200_000
 
 
 def segments(n: int, tau: int = TAU) -> list[tuple[int, int]]:
@@ -126,11 +127,14 @@ def all_lines(docs: DataFrame) -> DataFrame:
 
 
 def _entries(lines: DataFrame, tau: int) -> DataFrame:
-    """(key, line_id, probe) of the index and probe substrings of distinct lines."""
+    """(key, line_id, probe) of the index and probe substrings of lines. A task
+    does a line that it meets again only once (``SEEN`` lines back); repeats
+    that are left are harmless."""
 
     def run(batches):
         from xxhash import xxh3_64_intdigest  # noqa: PLC0415
         plans: dict[int, tuple] = {}
+        seen: set[int] = set()
 
         def plan(n: int) -> tuple:
             if n not in plans:
@@ -143,6 +147,11 @@ def _entries(lines: DataFrame, tau: int) -> DataFrame:
         for batch in batches:
             keys, ids, sizes, firsts = [], [], [], []
             for line_id, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if line_id in seen:
+                    continue
+                if len(seen) > SEEN:
+                    seen.clear()
+                seen.add(line_id)
                 parts, n_index = plan(len(line))
                 keys += [xxh3_64_intdigest(line[b:e], seed) for b, e, seed in parts]
                 ids.append(line_id)
@@ -207,15 +216,15 @@ def _meeting(entries: DataFrame) -> DataFrame:
 
 def line_links(lines: DataFrame, tau: int = TAU, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between ids of different lines within ``tau`` edits, enough
-    of them to join all that belong together. ``lines`` has line_id and line,
-    each line once."""
+    of them to join all that belong together. ``lines`` has line_id and line."""
     met = _meeting(_entries(lines, tau)).distinct().checkpoint()
     sizes = met.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     spread = (met.join(sizes, "key").withColumn("nb", F.ceil(F.col("n") / block).cast("int"))
                  .withColumn("own", F.pmod(F.xxhash64("line_id", F.lit(3)), F.col("nb")).cast("int"))
                  .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
                  .select("key", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "own", "line_id"))
-    texts = lines.join(met.select("line_id").distinct(), "line_id", "left_semi").select("line_id", "line")
+    texts = (lines.join(met.select("line_id").distinct(), "line_id", "left_semi")
+                  .groupBy("line_id").agg(F.first("line").alias("line")))
     groups = spread.join(texts, "line_id")
 
     def verify(t: pa.Table) -> pa.Table:
@@ -260,9 +269,7 @@ def duplicate_lines(df: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS, i
     docs = id_text(df, id_col, text_col)
     long = all_lines(docs).where(F.col("size") >= min_chars)
     place = F.struct("doc_id", "line_no")
-    distinct = long.groupBy("line_id").agg(F.first("line").alias("line"))
-    links = line_links(distinct, tau)
-    classes = connected_components(links)
+    classes = connected_components(line_links(long.select("line_id", "line"), tau))
     first = long.groupBy("line_id").agg(F.min(place).alias("first"))
     named = first.join(classes.withColumnRenamed("node", "line_id"), "line_id", "left").select(
         "line_id", F.coalesce("component", "line_id").alias("class"), F.col("first").alias("own"))
