@@ -28,7 +28,7 @@ from .common import SPACE, WORD, id_text
 
 MAX_DOCS = 8192  # labelled documents that the model learns from, at most
 MAX_MARKS = 20_000  # words and beginnings that mark toxic documents, at most
-MAX_SEGMENTS = 6000  # training segments with and without a labelled token, each at most
+MAX_SEGMENTS = 4000  # training segments with and without a labelled token, each at most
 SEGMENT = 64
 BITS = 18
 FOLDS = 5
@@ -268,13 +268,14 @@ def learn(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_mark
                 tags = [int(bool(toxic) and any(x in lexicon for x in marks_of(w))) for w in ws]
                 for s in range(0, len(ws), SEGMENT):
                     own = tags[s:s + SEGMENT]
-                    vals = (copy, s, [f for w in ws[s:s + SEGMENT] for f in features(w)], own, any(own))
+                    feats = np.array([f for w in ws[s:s + SEGMENT] for f in features(w)], dtype="<i4")
+                    vals = (copy, s, feats.tobytes(), bytes(own), any(own))
                     for col, val in zip(out, vals, strict=True):
                         col.append(val)
-            types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int8()), pa.bool_()]
+            types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
 
-    segments = sample.mapInArrow(cut, "copy long, at long, feats array<int>, tags array<byte>, hit boolean")
+    segments = sample.mapInArrow(cut, "copy long, at long, feats binary, tags binary, hit boolean")
     rows = []
     for hit in (True, False):
         part = segments.where(F.col("hit") if hit else ~F.col("hit"))
@@ -282,9 +283,10 @@ def learn(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_mark
     if not rows:
         return flat
     per = len(features("a"))
-    feats = np.concatenate([np.array(r[0], dtype=np.int32) for r in rows]).reshape(-1, per)
-    y = np.concatenate([np.array(r[1], dtype=np.float64) for r in rows])
+    feats = np.frombuffer(b"".join(r[0] for r in rows), dtype="<i4").reshape(-1, per)
+    y = np.frombuffer(b"".join(r[1] for r in rows), dtype=np.int8).astype(np.float64)
     sizes = np.array([len(r[1]) for r in rows])
+    del rows
     start = np.zeros(len(y), dtype=bool)
     start[np.cumsum(sizes) - sizes] = True
     model = Model(*fit_field(feats, y, start), np.zeros(3))
