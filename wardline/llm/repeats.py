@@ -26,6 +26,7 @@ from .common import id_text
 PART_BYTES = 4 << 20  # text bytes per part aimed at
 CHUNK = 1 << 20  # elements worked on at a time
 ROWS = 1000  # texts held as Python objects at a time
+BATCH = 2500  # texts whose entries are sorted together
 LAST = (1 << 63) - 1
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _POS = np.uint64((1 << 24) - 1)
@@ -210,7 +211,10 @@ def shared(dealt: DataFrame, later: bool) -> DataFrame:
             at = pos << 32 | (rid[keep].astype(np.int64) & 0xFFFFFFFF)
         else:
             at = pos << 16 | n[keep] << 8 | (off[keep] & (MARKER - 1))
-        return pa.table({"ord": order, "at": at})
+        out = pa.table({"ord": order, "at": at})
+        del got, order, rid, pos, n, off, key, keep, k, loose, at
+        let_go()
+        return out
 
     return dealt.groupBy("part").applyInArrow(look, "ord long, at long")
 
@@ -247,6 +251,17 @@ def slices(b: pa.RecordBatch, rows: int = ROWS):
         yield b.slice(at, rows)
 
 
+def let_go() -> None:
+    """Give memory that a worker no longer uses back to the system; workers are
+    reused and would keep it beside the next stage's."""
+    import ctypes  # noqa: PLC0415
+    import ctypes.util  # noqa: PLC0415
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(ctypes.util.find_library("c")), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def lists(col) -> list[np.ndarray]:
     """A list<long> column as arrays (NULL: empty)."""
     return [np.array(x if x is not None else [], dtype=np.int64) for x in col.to_pylist()]

@@ -69,7 +69,7 @@ def find(docs: DataFrame, window: int, parts: int) -> DataFrame:
         cols = ["ord", "rid", "text"] + ([] if at is None else ["at"])
 
         def run(batches, gram=gram, last=last, narrowed=at is not None):
-            for whole in batches:
+            for whole in (part for b in batches for part in R.slices(b, R.BATCH)):
                 out = []
                 for b in R.slices(whole):
                     words_of = [t.encode("utf-8", "replace").split() for t in b.column(2).to_pylist()]
@@ -77,6 +77,8 @@ def find(docs: DataFrame, window: int, parts: int) -> DataFrame:
                                     R.lists(b.column(3)) if narrowed else None, window, gram)
                 if out:
                     yield R.deal(*(np.concatenate(x) for x in zip(*out, strict=True)), parts, last)
+                    out = []
+                    R.let_go()
 
         found = R.shared(source.select(*cols).mapInArrow(run, R.DEALT), last)
         at = R.per_document(found)

@@ -118,7 +118,7 @@ def earliest(strings: list[tuple[bytes, int, int]], window: int) -> list[np.ndar
 def _selected(batches, window: int, gram: int, parts: int):
     """Rows (part, data) of the selected grams of texts (ord, rid, text)."""
     mixed = R.mix(np.arange(256, dtype=np.uint64), np.uint64(17) * np.ones(256, dtype=np.uint64))
-    for whole in batches:
+    for whole in (part for b in batches for part in R.slices(b, R.BATCH)):
         out = []
         for b in R.slices(whole):
             order, rid = b.column(0).to_numpy(), b.column(1).to_numpy()
@@ -136,6 +136,8 @@ def _selected(batches, window: int, gram: int, parts: int):
                     out.append((order[part][d], rid[part][d], first - begins[d], count, at - first, key))
         if out:
             yield R.deal(*(np.concatenate(x) for x in zip(*out, strict=True)), parts, False)
+            del out
+            R.let_go()
 
 
 # What a batch of texts has for a shard. ``settled``: stretches (ord, rid,
@@ -190,6 +192,8 @@ def _snippets(batches, window: int, gram: int, shards: int):
             part = list(zip(*out[k:k + 64], strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int32()), pa.array(part[1], pa.bool_()),
                                               pa.array(part[2], pa.binary())], ["shard", "settled", "data"])
+        del classes, settled, homes, out
+        R.let_go()
 
 
 STRETCHES = "ord long, rid int, begin long, length long"
@@ -232,6 +236,8 @@ def _settle(t: pa.Table, window: int, gram: int) -> pa.Table:
                 for s, e in merged(gone, gone + window):
                     out += [(least, rid, pos + s, e - s) for rid, pos in first]
     cols = list(zip(*out, strict=True)) if out else [[], [], [], []]
+    del classes, by_gram, strings, members, out
+    R.let_go()
     return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
                      pa.array(cols[3], pa.int64())], names=["ord", "rid", "begin", "length"])
 
@@ -241,7 +247,7 @@ def find(docs: DataFrame, window: int, gram: int, parts: int) -> DataFrame:
     dealt = docs.mapInArrow(lambda it: _selected(it, window, gram, parts), R.DEALT)
     places = R.per_document(R.shared(dealt, False))
     snippets = (docs.join(places, "ord").select("ord", "rid", "text", "at")
-                    .mapInArrow(lambda it: _snippets(it, window, gram, parts), SHARDS))
+                    .mapInArrow(lambda it: _snippets(it, window, gram, 2 * parts), SHARDS))
     return (snippets.groupBy("shard").applyInArrow(lambda t: _settle(t, window, gram), STRETCHES)
                     .groupBy("ord").agg(F.collect_list(F.struct("rid", "begin", "length")).alias("at")))
 
