@@ -205,3 +205,13 @@ def test_main_text():
 
 def test_deep_pages_do_not_recurse():
     assert extraction.main_text("<div>" * 5000 + "deep words" + "</div>" * 5000) == "deep words"
+
+
+def test_density_search_inside_marked_elements():
+    text = [f"Sentence number {i} of the text, which is long enough to count as prose." for i in range(8)]
+    ps = "".join(f"<p>{t}</p>" for t in text)
+    links = "<ul>" + "".join(f"<li><a href=x>another page {i}</a></li>" for i in range(6)) + "</ul>"
+    assert extraction.main_text(f"<body><article><div>{ps}</div>{links}</article></body>") == "\n\n".join(text)
+    halves = "".join(f"<article>{''.join(f'<p>{t}</p>' for t in part)}</article>" for part in (text[:5], text[5:]))
+    assert extraction.main_text(f"<div>{links}{halves}</div><div><p>{'outside. ' * 40}</p></div>") == "\n\n".join(text)
+    assert extraction.main_text(f"<main>Opening words.<br>More of them.<div>{ps}</div></main>").startswith("Opening words. More of them.\n\n")

@@ -5,8 +5,9 @@ how much of both belongs to links. A node's score is the sum of its children's
 densities; the subtree with the highest score is the page's content, together
 with other subtrees that are as dense as the sparsest node on the way from that
 subtree up to the body. Parts that are never content (menus, forms, adverts,
-comments, ...) are cut before anything is counted, and where a page marks its
-article, the search stays inside it.
+comments, ...) are cut before anything is counted. Where a page marks articles,
+the search is the same but only looks at nodes inside the marked elements, all
+of them together.
 
 Pages are independent, so this is a map over Arrow batches with no shuffle.
 """
@@ -45,13 +46,14 @@ DECLARED = re.compile(r"<!\[[^>]*>")
 
 
 class Node:
-    __slots__ = ("tag", "up", "below", "text", "chars", "tags", "link_chars", "link_tags", "density", "score", "cut")
+    __slots__ = ("tag", "up", "below", "text", "chars", "tags", "link_chars", "link_tags", "density", "score", "cut", "prose")
 
     def __init__(self, tag, up, cut):
         self.tag, self.up, self.cut = tag, up, cut
         self.below, self.text = [], []  # text: strings and block nodes, in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.score = 0.0
+        self.prose = False  # its own text, without blocks below it, is not mostly links
 
 
 class Tree(HTMLParser):
@@ -126,6 +128,8 @@ class Tree(HTMLParser):
 
 def _score(nodes: list[Node]) -> None:
     """Densities and scores, from the leaves up (children come after parents)."""
+    for x in nodes:
+        x.prose = x.chars > 2 * x.link_chars
     for x in reversed(nodes):
         if x.up is not None and not x.cut:
             x.up.chars += x.chars
@@ -145,11 +149,12 @@ def _score(nodes: list[Node]) -> None:
             x.up.score += x.density
 
 
-def _blocks(root: Node, chosen: set | None) -> list[str]:
+def _blocks(root: Node, chosen: set, own: set) -> list[str]:
     """The texts of the blocks under ``root`` in page order, white space made
-    one; with ``chosen``, only what is in one of those subtrees."""
+    one: all that is in a subtree of ``chosen``, and of the nodes of ``own``
+    the text between their blocks."""
     out, run = [], []
-    stack = [(iter(root.text), chosen is None or id(root) in chosen)]
+    stack = [(iter(root.text), id(root) in chosen, id(root) in own)]
 
     def flush():
         if s := " ".join("".join(run).split()):
@@ -157,14 +162,14 @@ def _blocks(root: Node, chosen: set | None) -> list[str]:
         run.clear()
 
     while stack:
-        parts, wanted = stack[-1]
+        parts, whole, between = stack[-1]
         for part in parts:
             if isinstance(part, str):
-                if wanted:
+                if whole or between:
                     run.append(part)
             elif not part.cut:
                 flush()
-                stack.append((iter(part.text), wanted or id(part) in chosen))
+                stack.append((iter(part.text), whole or id(part) in chosen, id(part) in own))
                 break
             elif part.tag not in UNSEEN:
                 flush()
@@ -181,11 +186,12 @@ def main_text(html: str) -> str:
     tree.close()
     nodes = tree.nodes
     _score(nodes)
-    marked = [x for x in nodes if x.tag in MAIN and not x.cut and x.chars]
-    root = max(marked, key=lambda x: (x.score, x.chars)) if marked else nodes[0]
-    if marked:
-        return "\n\n".join(_blocks(root, None))
-    best = max((x for x in nodes if not x.cut), key=lambda x: x.score)
+    inside = set()  # parents come before children
+    for x in nodes:
+        if not x.cut and x.chars and (x.tag in MAIN or id(x.up) in inside):
+            inside.add(id(x))
+    searched = [x for x in nodes if not x.cut and (id(x) in inside or not inside)]
+    best = max(searched, key=lambda x: x.score)
     way, x = set(), best
     limit = best.density
     while x is not None:
@@ -193,10 +199,10 @@ def main_text(html: str) -> str:
         limit = min(limit, x.density)
         x = x.up
     chosen = {id(best)}
-    for x in nodes:
-        if not x.cut and id(x) not in way and x.density >= limit and x.chars > 2 * x.link_chars and x.chars:
+    for x in searched:
+        if id(x) not in way and x.density >= limit and x.chars > 2 * x.link_chars:
             chosen.add(id(x))
-    return "\n\n".join(_blocks(root, chosen))
+    return "\n\n".join(_blocks(nodes[0], chosen, {id(x) for x in searched if id(x) in way and x.prose}))
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
