@@ -244,6 +244,34 @@ def test_lines(spark, documents, odd_docs, no_docs):
     assert lines.without_lines(no_docs, found).count() == 0
 
 
+def test_short_lines(spark, documents):
+    def brute(docs, near=48):
+        """Like line_classes, of all lines: from ``near`` characters on within two edits, below it equal and not blank."""
+        key = lambda p: (p[0] is not None, p[0] or 0, p[1])
+        out, places = line_classes(docs), {}
+        for i, t in docs:
+            for n, line in enumerate((t or "").split("\n")):
+                if len(line) < near and words(line):
+                    places.setdefault(line, []).append((i, n))
+        for own in places.values():
+            out |= {p: min(own, key=key) for p in own if p != min(own, key=key)}
+        return out
+
+    plain = [d[:2] for d in documents]
+    want = brute(plain)
+    assert any(len(t.split("\n")[n]) < 48 for i, t in plain for d, n in want if d == i)
+    got = QUERIES["op8_line_dedup"](spark, ROOT).collect()
+    assert {tuple(r)[:2]: tuple(r)[2:4] for r in got} == want and len(got) == len(want)
+    near = "Subscribe to our newsletter for more stories,"
+    odd = [(1, "Menu\n\n \nstory one\nMenu"), (2, f"Menu\n\n \nstory two\n{near} a"), (None, "Menu\nmenu\n"), (3, None), (4, "\u3000\nx"),
+           (5, f"\u3000\nx \n{near} b"), (6, f"{near} b\n{near} now\n{near} new")]
+    found = lines.duplicate_lines(spark.createDataFrame(odd, "doc_id long, text string"))
+    want = brute(odd)
+    assert {tuple(r)[:2]: tuple(r)[2:4] for r in rows(found)} == want == {
+        (1, 0): (None, 0), (1, 4): (None, 0), (2, 0): (None, 0), (5, 0): (4, 0), (6, 0): (5, 2), (6, 2): (6, 1)}
+    assert all(r["exact"] == (tuple(r)[:2] != (6, 2)) for r in found.collect())
+
+
 def test_hot_segments_are_cut_into_blocks(spark):
     head = "a very common beginning that many different lines have in common "
     near = [f"{head}{i:04d} {'x' * (i % 5)} the end of the line" for i in range(60)] + [f"{head}0007 xx the end of the line."]

@@ -11,7 +11,9 @@ Keys travel as 64-bit hashes; text follows only for lines that met another
 one. Keys that many lines share are cut into pairs of blocks, so no task gets
 an unbounded group, and each task reports a spanning set of links, not all
 pairs. Lines linked directly or through others are one class; its first line
-by (doc_id, line number) stays.
+by (doc_id, line number) stays. Lines too short for two edits to mean a copy
+(``MIN_CHARS``) are classes of equal lines: they need no keys, as a line's hash
+is its class.
 """
 
 from __future__ import annotations
@@ -21,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import WORD, id_text
 from .components import connected_components
 
 TAU = 2
-MIN_CHARS = 48  # shorter lines are left alone
+MIN_CHARS = 48  # shorter lines must be equal
 BLOCK = 256
 SEEN = 200_000
 
@@ -260,22 +262,24 @@ def duplicate_lines(df: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS, i
     """The lines to remove, one row each: doc_id, line_no, kept_doc_id and
     kept_line_no (the first line of its class), and exact (the same text).
 
-    Lines of under ``min_chars`` characters are left alone. A NULL or empty
-    text has one empty line. Lines repeated within a document count like any
+    Lines of under ``min_chars`` characters are copies of equal lines only (no
+    edits), and left alone if they are blank (ASCII white space or nothing). A
+    NULL or empty text has one empty line. Lines repeated within a document count like any
     other. A NULL doc_id comes before all others; rows that repeat a doc_id are
     one document, whose equal lines at the same place are one line. An empty
     table gives no rows.
     """
     docs = id_text(df, id_col, text_col)
-    long = all_lines(docs).where(F.col("size") >= min_chars)
+    every = all_lines(docs).where((F.col("size") >= min_chars) | F.col("line").rlike(WORD))
+    long = every.where(F.col("size") >= min_chars)
     place = F.struct("doc_id", "line_no")
     classes = connected_components(line_links(long.select("line_id", "line"), tau))
-    first = long.groupBy("line_id").agg(F.min(place).alias("first"))
+    first = every.groupBy("line_id").agg(F.min(place).alias("first"))
     named = first.join(classes.withColumnRenamed("node", "line_id"), "line_id", "left").select(
         "line_id", F.coalesce("component", "line_id").alias("class"), F.col("first").alias("own"))
     kept = named.groupBy("class").agg(F.min("own").alias("kept"))
     named = named.join(kept, "class").select("line_id", "own", "kept")
-    at = long.select("line_id", "doc_id", "line_no").join(named, "line_id")
+    at = every.select("line_id", "doc_id", "line_no").join(named, "line_id")
     return (at.where(~place.eqNullSafe(F.col("kept")))
               .select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.col("kept.doc_id").alias("kept_doc_id"),
                       F.col("kept.line_no").cast("long").alias("kept_line_no"),
