@@ -215,3 +215,18 @@ def test_density_search_inside_marked_elements():
     halves = "".join(f"<article>{''.join(f'<p>{t}</p>' for t in part)}</article>" for part in (text[:5], text[5:]))
     assert extraction.main_text(f"<div>{links}{halves}</div><div><p>{'outside. ' * 40}</p></div>") == "\n\n".join(text)
     assert extraction.main_text(f"<main>Opening words.<br>More of them.<div>{ps}</div></main>").startswith("Opening words. More of them.\n\n")
+
+
+def test_names_do_not_cut_the_content():
+    text = [f"Sentence number {i} of the text, which is long enough to count as prose." for i in range(6)]
+    ps, want = "".join(f"<p>{t}</p>" for t in text), "\n\n".join(text)
+    for wrap in ("<div class='layout-with-sidebar'>{}</div>", "<div id='content-no-header'>{}</div>", "<div class='page hasComments'>{}</div>",
+                 "<form action=x>{}</form>", "<div class='Widget'><div id=header>{}</div></div>", "<div role=form>{}</div>", "<header>{}</header>"):
+        assert extraction.main_text(wrap.format(f"<article>{ps}</article>")) == want, wrap
+        assert extraction.main_text(wrap.format(f"<div>{ps}</div>")) == want, wrap
+        assert want in extraction.main_text("<div>" + wrap.format(f"<article>{ps}</article>") + f"<div>{ps}{ps}</div></div>"), wrap
+    assert extraction.main_text(f"<article class='post comments-open'>{ps}</article>") == want
+    beside = "<div class='box comments'><article><p>What a fine text this is, thank you.</p></article></div>"
+    for more in (beside, "<form><p>Your name and your address, please.</p></form>", "<nav>Where you are now</nav>"):
+        assert extraction.main_text(f"<main>{ps}{more}</main>") == want, more
+    assert extraction.main_text(f"<div>{ps}</div>{beside}").startswith(want)

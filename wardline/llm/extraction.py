@@ -4,8 +4,10 @@ Every block element of the DOM gets a density: characters per tag, adjusted by
 how much of both belongs to links. A node's score is the sum of its children's
 densities; the subtree with the highest score is the page's content, together
 with other subtrees that are as dense as the sparsest node on the way from that
-subtree up to the body. Parts that are never content (menus, forms, adverts,
-comments, ...) are cut before anything is counted. Where a page marks articles,
+subtree up to the body. Parts that are never content (scripts, buttons, ...) are
+cut before anything is counted. So are menus, forms, adverts, comments and the
+like, by element, role or a whole class or id, unless they hold the page's
+articles or most of its text. Where a page marks articles,
 the search is the same but only looks at nodes inside the marked elements, all
 of them together.
 
@@ -27,8 +29,9 @@ from .common import ship
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr".split())
-NEVER = frozenset("head script style noscript template nav header footer aside form button select textarea input "
-                  "iframe object svg canvas math menu dialog title audio video map".split())
+NEVER = frozenset("head script style noscript template button select textarea input iframe object svg canvas math title "
+                  "audio video map".split())
+ASIDE = frozenset("nav header footer aside form menu dialog".split())
 NEVER_NAMED = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
                         "cookie cookies consent disclaimer disqus footer header masthead menu modal nav navbar "
                         "navigation newsletter notice notices notification pagination popup promo promotion related "
@@ -41,18 +44,19 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
                      "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",),
         "option": ("select",)}
-NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 DECLARED = re.compile(r"<!\[[^>]*>")
 
 
 class Node:
-    __slots__ = ("tag", "up", "below", "text", "chars", "tags", "link_chars", "link_tags", "density", "score", "cut", "prose")
+    __slots__ = ("tag", "up", "below", "text", "chars", "tags", "link_chars", "link_tags", "density", "score", "cut",
+                 "prose", "beside")
 
     def __init__(self, tag, up, cut):
         self.tag, self.up, self.cut = tag, up, cut
         self.below, self.text = [], []  # text: strings and block nodes, in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.score = 0.0
+        self.beside = False  # may be cut for its element, role or name
         self.prose = False  # its own text, without blocks below it, is not mostly links
 
 
@@ -89,7 +93,9 @@ class Tree(HTMLParser):
             elif tag not in VOID:
                 self.open.append((tag, block, link or tag == "a"))
             return
-        node = Node(tag, block, block.cut or self._never(tag, attrs))
+        named = dict(attrs)
+        node = Node(tag, block, block.cut or tag in NEVER or "hidden" in named)
+        node.beside = tag in ASIDE or self._beside(named)
         self.nodes.append(node)
         block.below.append(node)
         block.text.append(node)
@@ -114,16 +120,36 @@ class Tree(HTMLParser):
             block.link_chars += n * link
 
     @staticmethod
-    def _never(tag, attrs) -> bool:
-        if tag in NEVER:
-            return True
-        named = dict(attrs)
-        if "hidden" in named or (named.get("role") or "").lower() in NEVER_ROLE:
+    def _beside(named) -> bool:
+        if (named.get("role") or "").lower() in NEVER_ROLE:
             return True
-        if tag in MAIN and "class" not in named and "id" not in named:
-            return False
-        words = NAME.findall(f"{named.get('class') or ''} {named.get('id') or ''}")
-        return any(w.lower() in NEVER_NAMED for w in words)
+        return any(w.lower() in NEVER_NAMED for k in ("class", "id") for w in (named.get(k) or "").split())
+
+
+def _cut(nodes: list[Node]) -> set:
+    """Cuts the nodes beside the content, with all that is below them. One that
+    has more than half of the page's text outside links stays, and so does one
+    with a marked element, if all marked text of the page is in such nodes.
+    Returns what is in nodes of the latter kind: marks there do not tell the
+    article from comments, so they do not bound the search."""
+    plain = {id(x): 0 if x.cut else x.chars - x.link_chars for x in nodes}
+    holds, under = set(), set()  # has marked text below; is in a node beside the content
+    for x in reversed(nodes):
+        if x.up is not None and not x.cut:
+            plain[id(x.up)] += plain[id(x)]
+            if id(x) in holds or (x.tag in MAIN and not x.beside and plain[id(x)]):
+                holds.add(id(x.up))
+    most = plain[id(nodes[0])] / 2
+    open_marks = False
+    for x in nodes:
+        if x.beside and plain[id(x)] <= most or id(x.up) in under:
+            under.add(id(x))
+        elif x.tag in MAIN and not x.cut and plain[id(x)]:
+            open_marks = True
+    for x in nodes:
+        if x.up is not None:
+            x.cut |= x.up.cut or x.beside and plain[id(x)] <= most and (open_marks or id(x) not in holds)
+    return under
 
 
 def _score(nodes: list[Node]) -> None:
@@ -185,10 +211,11 @@ def main_text(html: str) -> str:
     tree.feed(DECLARED.sub(" ", html))
     tree.close()
     nodes = tree.nodes
+    under = _cut(nodes)
     _score(nodes)
     inside = set()  # parents come before children
     for x in nodes:
-        if not x.cut and x.chars and (x.tag in MAIN or id(x.up) in inside):
+        if not x.cut and x.chars and (x.tag in MAIN and id(x) not in under or id(x.up) in inside):
             inside.add(id(x))
     searched = [x for x in nodes if not x.cut and (id(x) in inside or not inside)]
     best = max(searched, key=lambda x: x.score)
