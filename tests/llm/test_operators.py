@@ -160,6 +160,18 @@ def test_decontamination(spark, documents, odd_docs, no_docs):
     assert decontamination.matches(docs, odd_items.where("false")).count() == 0
 
 
+def test_decontamination_at_the_very_similarity(spark):
+    """Short documents that lack an item's first or last fifth of shingles."""
+    item = [f"word{i}" for i in range(44)]
+    items = [(1, " ".join(item)), (2, " ".join(item[:24]))]
+    docs = [(1, " ".join(item[8:])), (2, " ".join(item[:-8])), (3, " ".join(item[9:])), (4, " ".join(item[4:24])), (5, " ".join(item[:20]))]
+    want = leaks(docs, items)
+    assert want[(1, 1)] == want[(2, 1)] == want[(4, 2)] == want[(5, 2)] == 0.8 and (3, 1) not in want
+    found = decontamination.matches(spark.createDataFrame(docs, "doc_id long, text string"),
+                                    spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in found.collect()} == pytest.approx(want)
+
+
 def removed_by_windows(docs, split, window=50):
     """(id, n, removed, runs, kept) by definition, ids of NULL last."""
     key = lambda d: (d[0] is None, d[0] or 0)

@@ -113,8 +113,8 @@ def matches(df: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
                   .where(F.size("hs") > 0).distinct()
                   .withColumn("item", F.xxhash64("hs", F.size("hs"))).withColumn("n", F.size("hs")))
     texts = items.select("item", "n", "hs").distinct()
-    # what a similar window may lack of the item's shingles, and one more
-    need = (F.floor(F.col("n") * (1 - similarity)) + 1).cast("int")
+    # what a similar window may lack of the item's shingles, and one more (rounding may not make it less)
+    need = F.least(F.floor(F.col("n") * (1 - similarity) + 1e-6) + 1, F.col("n")).cast("int")
     ends = texts.select("item", "n", F.explode(F.array(
         F.struct(F.lit(1).alias("side"), F.slice("hs", 1, need).alias("part")),
         F.struct(F.lit(2).alias("side"), F.slice("hs", F.col("n") - need + 1, need).alias("part")))).alias("e"))
