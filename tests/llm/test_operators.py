@@ -284,6 +284,14 @@ def test_short_lines(spark, documents):
     assert all(r["exact"] == (tuple(r)[:2] != (6, 2)) for r in found.collect())
 
 
+def test_rows_of_one_id_lose_their_own_lines(spark):
+    line = "a line that is long enough to be compared with others by edits, "
+    docs = spark.createDataFrame([(1, f"{line}A"), (2, f"{line}A\nnothing like it"), (2, "here is a clean line\nand one more of them")],
+                                 "doc_id long, text string")
+    kept = lines.without_lines(docs, lines.duplicate_lines(docs))
+    assert sorted(rows(kept)) == [(1, f"{line}A"), (2, "here is a clean line\nand one more of them"), (2, "nothing like it")]
+
+
 def test_hot_segments_are_cut_into_blocks(spark):
     head = "a very common beginning that many different lines have in common "
     near = [f"{head}{i:04d} {'x' * (i % 5)} the end of the line" for i in range(60)] + [f"{head}0007 xx the end of the line."]

@@ -120,10 +120,15 @@ def _least(value: int, up: int, down: int, width: int) -> int:
     return best
 
 
+def _copy(text: str):
+    return F.xxhash64(F.col(text), F.length(text))
+
+
 def all_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, size, line_id) of every line of ``docs`` (split
-    at line feeds); line_id is the line's 64-bit hash."""
-    return (docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    """(doc_id, copy, line_no, line, size, line_id) of every line of ``docs``
+    (split at line feeds); copy and line_id are 64-bit hashes of the text and
+    of the line."""
+    return (docs.select("doc_id", _copy("text").alias("copy"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
                 .withColumn("size", F.char_length("line"))
                 .withColumn("line_id", F.xxhash64("line", "size")))
 
@@ -260,7 +265,8 @@ def line_links(lines: DataFrame, tau: int = TAU, block: int = BLOCK) -> DataFram
 def duplicate_lines(df: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """The lines to remove, one row each: doc_id, line_no, kept_doc_id and
-    kept_line_no (the first line of its class), and exact (the same text).
+    kept_line_no (the first line of its class), exact (the same text), and copy
+    (the hash of the row's text, which tells rows of one doc_id apart).
 
     Lines of under ``min_chars`` characters are copies of equal lines only (no
     edits), and left alone if they are blank (ASCII white space or nothing). A
@@ -279,20 +285,20 @@ def duplicate_lines(df: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS, i
         "line_id", F.coalesce("component", "line_id").alias("class"), F.col("first").alias("own"))
     kept = named.groupBy("class").agg(F.min("own").alias("kept"))
     named = named.join(kept, "class").select("line_id", "own", "kept")
-    at = every.select("line_id", "doc_id", "line_no").join(named, "line_id")
+    at = every.select("line_id", "doc_id", "copy", "line_no").join(named, "line_id")
     return (at.where(~place.eqNullSafe(F.col("kept")))
               .select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.col("kept.doc_id").alias("kept_doc_id"),
                       F.col("kept.line_no").cast("long").alias("kept_line_no"),
-                      F.col("own").eqNullSafe(F.col("kept")).alias("exact")))
+                      F.col("own").eqNullSafe(F.col("kept")).alias("exact"), "copy"))
 
 
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``docs`` (with columns doc_id and text) without the removed lines; n_chars,
-    where there is one, follows the text. Documents that lose all their words
-    are dropped; all others keep their rows and columns."""
-    per_doc = (removed.where("doc_id is not null").groupBy(F.col("doc_id").alias("_gone"))
+    where there is one, follows the text. Rows that share a doc_id each lose
+    their own lines. Documents that lose all their words are dropped; all others keep their rows and columns."""
+    per_doc = (removed.where("doc_id is not null").groupBy(F.col("doc_id").alias("_gone"), F.col("copy").alias("_copy"))
                       .agg(F.collect_set(F.col("line_no").cast("int")).alias("_lines")))
-    joined = docs.join(per_doc, docs["doc_id"] == per_doc["_gone"], "left")
+    joined = docs.join(per_doc, (docs["doc_id"] == per_doc["_gone"]) & (_copy("text") == per_doc["_copy"]), "left")
     names = docs.columns
     at = names.index("text")
     count = names.index("n_chars") if "n_chars" in names else None

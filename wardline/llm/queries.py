@@ -58,7 +58,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.duplicate_lines(_table(spark, sf_dir, "documents"))
+    return lines.duplicate_lines(_table(spark, sf_dir, "documents")).drop("copy")
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
