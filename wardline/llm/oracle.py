@@ -6,6 +6,89 @@ from . import chat
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
+# crc32 of the UTF-8 bytes of a string, as SQL over the table of 256 remainders `t.crc`
+_CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_concat([4294967295], list_transform(range(strlen({text})),
+      lambda k: CAST('0x' || substr(hex(encode({text})), 2 * k + 1, 2) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t.crc[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+STRUCTURE = rf"""
+WITH RECURSIVE t AS ({_CRC_TABLE}),
+messages AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS hit
+  FROM conversations, t),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+         CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN hit = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM messages WHERE hit <> 0),
+placed AS (
+  SELECT *, row_number() OVER w AS pos, lag(left(role, 1)) OVER w AS before,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text), copy)),
+rows_ AS (
+  SELECT *, left(role, 1) AS initial,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b' WHEN nth > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 't' ELSE '.' END AS fault
+  FROM placed),
+inserts(s, k, s2) AS (VALUES (0,0,0),(0,1,2),(0,2,3),(1,0,1),(1,1,2),(1,2,3),(2,0,2),(2,1,3),(2,2,2),(3,0,3),(3,1,2),(3,2,3)),
+steps(s, initial, s2) AS (VALUES (0,'s',1),(0,'u',2),(1,'u',2),(2,'a',3),(3,'u',2)),
+edits AS (
+  SELECT i.s, repeat('I', i.k) || 'K' AS edit, 5 * i.k AS cost, p.initial, p.s2 FROM inserts i JOIN steps p ON i.s2 = p.s
+  UNION ALL
+  SELECT i.s, repeat('I', i.k) || 'R', 5 * i.k + 1, NULL, p.s2 FROM inserts i JOIN steps p ON i.s2 = p.s WHERE p.initial <> 's'),
+ways(conv_id, pos, state, best) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, {{'c': CAST(0 AS BIGINT), 'a': ''}} FROM rows_
+  UNION ALL
+  SELECT conv_id, pos, state, min(best) FROM (
+    SELECT r.conv_id, r.pos, e.s2 AS state,
+           {{'c': w.best.c + e.cost + CASE WHEN r.fault = 't' THEN 5 ELSE 0 END, 'a': w.best.a || e.edit}} AS best
+    FROM ways w JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.pos + 1
+    JOIN edits e ON e.s = w.state AND coalesce(e.initial, r.initial) = r.initial
+    WHERE r.fault NOT IN ('b', 'd')
+    UNION ALL
+    SELECT r.conv_id, r.pos, w.state, {{'c': w.best.c + 2, 'a': w.best.a || 'D'}}
+    FROM ways w JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.pos = w.pos + 1) GROUP BY conv_id, pos, state),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+         count(*) FILTER (WHERE fault = 'b') AS blank, count(*) FILTER (WHERE fault = 'd') AS duplicate,
+         count(*) FILTER (WHERE fault = 't') AS truncated,
+         count(*) FILTER (WHERE pos > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_ GROUP BY conv_id),
+solved AS (
+  SELECT c.conv_id, min({{'c': w.best.c + CASE w.state WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END,
+                         'a': w.best.a || CASE w.state WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END}}) AS best
+  FROM counts c JOIN ways w ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.pos GROUP BY c.conv_id),
+marks AS (
+  SELECT conv_id, i, substr(best.a, i, 1) AS edit, i - length(replace(left(best.a, i), 'I', '')) AS ins,
+         length(replace(left(best.a, i), 'D', '')) AS place
+  FROM (SELECT conv_id, best, unnest(range(1, length(best.a) + 1)) AS i FROM solved)),
+kept AS (
+  SELECT m.conv_id, place, edit, CASE WHEN edit = 'I' THEN '' ELSE r.text END AS text, r.role,
+         first_value(CASE WHEN edit = 'K' AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY m.conv_id ORDER BY place) AS shift
+  FROM marks m LEFT JOIN rows_ r ON m.conv_id IS NOT DISTINCT FROM r.conv_id AND m.i - m.ins = r.pos AND edit <> 'I'
+  WHERE edit <> 'D'),
+texts AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - 1 - shift) % 2 = 0 THEN 'user' ELSE 'assistant' END
+                                    || ':' || text, chr(10) ORDER BY place)) AS h
+  FROM kept GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(s.best.c, 0) AS cost,
+       coalesce(s.best.a, '') AS audit, coalesce(x.h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counts c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN solved s ON a.conv_id IS NOT DISTINCT FROM s.conv_id
+LEFT JOIN texts x ON a.conv_id IS NOT DISTINCT FROM x.conv_id
+"""
+
 QUALITY = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
 w AS (
@@ -116,4 +199,5 @@ ORACLE = {
     "op4_suffix_array_dedup": BYTE_STRINGS,
     "op5_quality_rules": QUALITY,
     "op7_substring_dedup": SUBSTRINGS,
+    "op11_structure_repair": STRUCTURE,
 }

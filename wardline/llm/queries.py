@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, extraction, lines, packing, quality, simhash, substrings, suffixes, toxicity
+from . import (
+    chat, decontamination, extraction, lines, packing, quality, simhash, structure, substrings, suffixes, toxicity,
+)
 from .oracle import ORACLE  # noqa: F401
 
 
@@ -69,6 +71,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return structure.report(conversations, structure.damaged(conversations), order=("copy",))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -80,5 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_toxicity": op10_toxicity,
+    "op11_structure_repair": op11_structure_repair,
 }
-
