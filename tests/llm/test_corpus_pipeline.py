@@ -13,7 +13,7 @@ ROOT = "/root/testdata/sf0.001"
 def test_registered():
     import __spark_entry__
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
-    assert [f"op{n}" for n in range(1, 11)] == [k.split("_")[0] for k in __spark_entry__.queries() if k.startswith("op")
+    assert [f"op{n}" for n in range(1, 14)] == [k.split("_")[0] for k in __spark_entry__.queries() if k.startswith("op")
                                                 and k[2].isdigit()]
 
 

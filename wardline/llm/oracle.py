@@ -193,6 +193,68 @@ SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT)
 FROM d LEFT JOIN totals ON d.r = totals.r LEFT JOIN kept ON d.r = kept.r
 """
 
+SPELLING = rf"""
+WITH RECURSIVE t AS ({_CRC_TABLE}),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)),
+counted AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS name, run, count(*) AS n FROM runs WHERE length(run) > 5 GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc32("name")} AS h FROM counted, t),
+slipped AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, n, count(*) AS n_near, min({{'n': -other_n, 'w': other}}) AS b FROM near GROUP BY word, n),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.n >= 5 * w.n THEN b.w END AS form,
+         CASE WHEN -b.n >= 5 * w.n THEN -b.n END AS form_n
+  FROM words w LEFT JOIN best ON w.word = best.word),
+chain(word, root) AS (
+  SELECT word, word FROM forms
+  UNION ALL
+  SELECT c.word, f.form FROM chain c JOIN forms f ON c.root = f.word AND f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN chain c ON f.word = c.word
+WHERE root IN (SELECT word FROM forms WHERE form IS NULL)
+"""
+
+MIXING = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS s, [1, 2, 3][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+  FROM d GROUP BY source),
+fill(level, n) AS (
+  SELECT sum(s) / sum(w), CAST(0 AS BIGINT) FROM sources
+  UNION
+  SELECT coalesce((SELECT sum(s) FROM sources) - sum(3 * s) FILTER (WHERE level * w > 3 * s), (SELECT sum(s) FROM sources))
+         / sum(w) FILTER (WHERE NOT level * w > 3 * s), count(*) FILTER (WHERE level * w > 3 * s)
+  FROM fill, sources GROUP BY level),
+goals AS (
+  SELECT source, s, least(level * w, CAST(3 * s AS DOUBLE)) AS target
+  FROM sources, (SELECT max(level) AS level FROM fill)),
+plans AS (SELECT *, CASE WHEN s > 0 THEN CAST(floor(target / s) AS BIGINT) ELSE 0 END AS times FROM goals),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, r) AS pos FROM d),
+picks(source, target, pos, spare, cap, done, took) AS (
+  SELECT source, target, CAST(0 AS BIGINT), CAST(floor(target - times * s) AS BIGINT), CAST(floor(target - times * s) AS BIGINT), false, false FROM plans
+  UNION ALL
+  SELECT p.source, p.target, o.pos,
+         CASE WHEN NOT p.done AND o.size <= p.spare THEN p.spare - o.size ELSE p.spare END,
+         CASE WHEN o.size > p.spare AND (o.size <= p.cap OR p.pos < 0) THEN p.spare ELSE p.cap END,
+         p.done OR (o.size > p.spare AND o.size <= p.cap AND p.spare <= 0.001 * p.target),
+         NOT p.done AND o.size <= p.spare
+  FROM picks p JOIN ordered o ON o.source IS NOT DISTINCT FROM p.source AND o.pos = p.pos + 1)
+SELECT doc_id, size, s AS source_size, plans.target, size * (times + CASE WHEN took THEN 1 ELSE 0 END) AS taken
+FROM ordered o JOIN plans ON o.source IS NOT DISTINCT FROM plans.source
+JOIN picks p ON o.source IS NOT DISTINCT FROM p.source AND o.pos = p.pos
+"""
+
 ORACLE = {
     "op2_chat_formatting": chat.ORACLE_SQL,
     "op3_decontamination": DECONTAMINATION,
@@ -200,4 +262,6 @@ ORACLE = {
     "op5_quality_rules": QUALITY,
     "op7_substring_dedup": SUBSTRINGS,
     "op11_structure_repair": STRUCTURE,
+    "op12_spelling_variants": SPELLING,
+    "op13_source_mixing": MIXING,
 }

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, decontamination, extraction, lines, packing, quality, simhash, structure, substrings, suffixes, toxicity,
+    chat, decontamination, extraction, lines, mixing, packing, quality, simhash, spelling, structure, substrings, suffixes,
+    toxicity,
 )
 from .oracle import ORACLE  # noqa: F401
 
@@ -76,6 +77,14 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure.report(conversations, structure.damaged(conversations), order=("copy",))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.groups(_table(spark, sf_dir, "documents"), slip=spelling.slips())
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -88,4 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_extraction": op9_html_extraction,
     "op10_toxicity": op10_toxicity,
     "op11_structure_repair": op11_structure_repair,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_source_mixing": op13_source_mixing,
 }
