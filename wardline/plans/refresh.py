@@ -15,12 +15,14 @@ Chooses a refresh mode per table, the way a view host would:
   depends on the current date (patient ages, the ward board), which is
   rebuilt on every refresh.
 
-A refreshed table is first written to scratch storage and then copied over
-its location (a table cannot be overwritten by a plan that still reads it).
-For a partitioned table refreshed by key, only the partitions holding a
-changed key are staged and replaced (dynamic partition overwrite), so I/O
-follows the change, not the table; unpartitioned tables are rewritten
-whole (parquet has no in-place update).
+Everything is staged beside the published tables and published in one step at
+the end, so a refresh that fails or dies changes nothing for readers, who see
+all tables of one version (:mod:`wardline.sources.versions`). For a
+partitioned table refreshed by key, only the partitions holding a changed key
+are written; the next version takes the others from the folders that already
+hold them, so I/O follows the change, not the table. Unpartitioned tables with
+a change are rewritten whole (parquet has no in-place update), unchanged ones
+keep their folder.
 """
 
 from __future__ import annotations
@@ -31,8 +33,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.incremental import join_null_safe, key_signatures, refresh_by_key
-from ..sources.sinks import materialize, write_table
-from .pipeline import BRONZE_TABLES, _levels, register_table
+from ..operators.quality import CheckFailed, apply_checks, raise_on_failures
+from ..sources import versions
+from ..sources.sinks import materialize
+from .pipeline import BRONZE_TABLES, _levels, register_view
 from .registry import VIEWS, Catalog, Given, enforce
 
 BRONZE_KEYS = {
@@ -79,33 +83,31 @@ def _semi_null_safe(df: DataFrame, keys: DataFrame, cols) -> DataFrame:
     return df.join(k, cond, "left_semi")
 
 
-def _stage_partitions(name: str, new: DataFrame, old: DataFrame, touched: DataFrame, key: str,
-                      fmt: str):
-    """Stage only the partitions of ``new`` that hold a changed key (in the
-    old or the new rows). Returns ``(staged rows, number of partitions)``, or
-    ``None`` when an affected partition ends up empty (a dynamic overwrite
-    cannot remove it, so the caller rewrites the table instead)."""
+def _stage_partitions(staging: versions.Staging, name: str, new: DataFrame, old: DataFrame, touched: DataFrame,
+                      key: str) -> int | None:
+    """Stage only the partitions of ``new`` that hold a changed key (in the old
+    or the new rows). Returns their number, or None when the table has to be
+    written whole. The driver learns which partitions these are, as it does of
+    any partitioned write."""
     pcols = list(VIEWS[name].partition_by)
     affected = materialize(join_null_safe(old, touched, [key], "left_semi").select(*pcols)
                            .unionByName(join_null_safe(new, touched, [key], "left_semi").select(*pcols)).distinct(),
-                           name.replace(".", "-") + "-parts", fmt=fmt)
-    n_affected = affected.count()
-    staged = materialize(_semi_null_safe(new, affected, pcols), name.replace(".", "-") + "-partial", fmt=fmt)
-    if staged.select(*pcols).distinct().count() < n_affected:
+                           name.replace(".", "-") + "-parts")
+    replaced = [r.asDict() for r in affected.select(*[F.col(c).cast("string").alias(c) for c in pcols]).collect()]
+    if not staging.write_partitions(name, _semi_null_safe(new, affected, pcols), pcols, replaced):
         return None
-    return staged, n_affected
+    for c in VIEWS[name].checks:
+        if c.action == "fail" and not staging.read(name).where(c.violates).isEmpty():
+            raise CheckFailed(f"checks failed: {c.name} of {name}")
+    return len(replaced)
 
 
-def _write_partitions(staged: DataFrame, path: str, partition_by, fmt: str) -> None:
-    """Replace only the partitions present in ``staged`` (dynamic overwrite)."""
-    (staged.hint("rebalance", *partition_by).write.mode("overwrite").format(fmt)
-           .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path))
-
-
-def _overwrite(cat: Catalog, name: str, df: DataFrame, fmt: str) -> None:
-    staged = materialize(df, name.replace(".", "-") + "-refresh", fmt=fmt)
-    spec = VIEWS.get(name)
-    write_table(staged, cat.location(name), fmt=fmt, partition_by=spec.partition_by if spec else ())
+def _checked(df: DataFrame, checks, failed: list, name: str) -> DataFrame:
+    """``df`` with its checks applied; their counts are there once it is written."""
+    kept, obs = apply_checks(df, checks, observe_as=f"refresh {name}")
+    if obs is not None:
+        failed.append((obs, checks))
+    return kept
 
 
 def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=None,
@@ -113,86 +115,93 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
     """Bring ``warehouse`` (written by ``run_pipeline``) up to date with the
     inputs under ``root``; returns one audit record per table. ``calendar``
     must be the range that the warehouse was built with."""
+    staging = versions.Staging(spark, warehouse, fmt)
+    try:
+        audit = _refresh(spark, root, warehouse, as_of, fmt, calendar, staging)
+        if staging.entries:
+            staging.publish()
+    except Exception:
+        staging.abandon()
+        raise
+    if register:
+        for rec in audit:
+            if rec["table"] in staging.entries:
+                register_view(spark, rec["table"], warehouse, staging.entries[rec["table"]])
+    return audit
+
+
+def _refresh(spark, root, warehouse, as_of, fmt, calendar, staging) -> list[dict]:
     old = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt, calendar=calendar)
     fresh = Catalog(spark, root, as_of=as_of, fmt=fmt, calendar=calendar)
     audit: list[dict] = []
+    failed: list = []
     changed: dict[str, DataFrame] = {}
     counts: dict[str, int] = {}
 
     # 1. Which business keys changed in each bronze table (kept in scratch
-    #    storage: read several times below, must not be recomputed after the
-    #    bronze table is overwritten).
+    #    storage: read several times below); the new bronze of those that did.
     for t in BRONZE_TABLES:
         start = time.time()
         keys = materialize(changed_keys(old.table(f"bronze.{t}"), fresh.table(f"bronze.{t}"),
                                         BRONZE_KEYS[t]), f"changed-{t}")
         changed[t], counts[t] = keys, keys.count()
+        if counts[t]:
+            staging.write(f"bronze.{t}", fresh.table(f"bronze.{t}"))
         audit.append({"table": f"bronze.{t}", "mode": "by_key" if counts[t] else "unchanged",
                       "changed_keys": counts[t], "seconds": round(time.time() - start, 3)})
 
+    def now() -> Catalog:
+        """Staged tables, else published ones."""
+        return Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt, calendar=calendar, staged=staging)
+
     # Encounters touched through their lab lines (old or new line of a changed lab key).
-    lab_keys = changed["raw_lab_orders"]
+    cur = now()
     lab_enc = (old.table("bronze.raw_lab_orders").select("lab_order_bk", "encounter_bk")
-               .unionByName(fresh.table("bronze.raw_lab_orders").select("lab_order_bk", "encounter_bk"))
-               )
-    lab_enc = join_null_safe(lab_enc, lab_keys, ["lab_order_bk"], "left_semi").select("encounter_bk")
+               .unionByName(cur.table("bronze.raw_lab_orders").select("lab_order_bk", "encounter_bk")))
+    lab_enc = join_null_safe(lab_enc, changed["raw_lab_orders"], ["lab_order_bk"], "left_semi").select("encounter_bk")
     fact_keys = materialize(changed["raw_encounters"].unionByName(lab_enc).distinct()
                             .withColumnRenamed("encounter_bk", "ENCOUNTER_BK"), "changed-fact")
     n_fact = fact_keys.count()
 
     # 2. Silver, key by key, from the new bronze rows of the changed keys.
-    new_silver: dict[str, DataFrame] = {}
     dirty: set[str] = set()
     for name, (t, key) in SILVER_BY_KEY.items():
         spec = VIEWS[name]
         if not counts[t] and not spec.uses_as_of:
             continue
         start = time.time()
-        bronze_key = BRONZE_KEYS[t]
 
-        def view_fn(raw, spec=spec, t=t):
-            return enforce(spec.fn(Given({f"bronze.{t}": raw}, fresh.as_of_col())), spec.checks)
+        def view_fn(raw, spec=spec, t=t, name=name):
+            return _checked(spec.fn(Given({f"bronze.{t}": raw}, fresh.as_of_col())), spec.checks, failed, name)
 
+        raw = cur.table(f"bronze.{t}")
         if spec.uses_as_of:
             # Depends on the current date (ages): every row may change, so
             # the view is rebuilt in full from the new bronze.
-            new_silver[name] = view_fn(fresh.table(f"bronze.{t}"))
-            mode = {"mode": "full"}
+            staging.write(name, view_fn(raw), partition_by=spec.partition_by)
+            rec = {"mode": "full"}
         else:
-            new_silver[name] = refresh_by_key(
-                view_fn, old.table(name), {"raw": fresh.table(f"bronze.{t}")},
-                changed[t].withColumnRenamed(bronze_key, key), key, input_keys={"raw": bronze_key})
-            mode = {"mode": "by_key", "changed_keys": counts[t]}
-        dirty.add(name)
-        audit.append({"table": name, **mode, "seconds": round(time.time() - start, 3)})
-
-    # Land bronze and silver (silver results were planned against the old
-    # bronze/silver files, so stage them before anything is overwritten).
-    staged, partial = {}, {}
-    for n, df in new_silver.items():
-        t, key = SILVER_BY_KEY[n]
-        if VIEWS[n].partition_by and not VIEWS[n].uses_as_of:
-            got = _stage_partitions(n, df, old.table(n),
-                                    changed[t].withColumnRenamed(BRONZE_KEYS[t], key), key, fmt)
-            if got is not None:
-                partial[n] = got
-                continue
-        staged[n] = materialize(df, n.replace(".", "-") + "-staged", fmt=fmt)
-    for t in BRONZE_TABLES:
-        if counts[t]:
-            write_table(materialize(fresh.table(f"bronze.{t}"), f"bronze-{t}-staged", fmt=fmt),
-                        old.location(f"bronze.{t}"), fmt=fmt)
-    for n, df in staged.items():
-        write_table(df, old.location(n), fmt=fmt, partition_by=VIEWS[n].partition_by)
-    for n, (df, n_parts) in partial.items():
-        _write_partitions(df, old.location(n), VIEWS[n].partition_by, fmt)
-        for rec in audit:
-            if rec["table"] == n:
+            touched = changed[t].withColumnRenamed(BRONZE_KEYS[t], key)
+
+            def enforced(raw, spec=spec, t=t):
+                return enforce(spec.fn(Given({f"bronze.{t}": raw}, fresh.as_of_col())), spec.checks)
+
+            rec = {"mode": "by_key", "changed_keys": counts[t]}
+            n_parts = None
+            if spec.partition_by:
+                df = refresh_by_key(enforced, old.table(name), {"raw": raw}, touched, key, input_keys={"raw": BRONZE_KEYS[t]})
+                n_parts = _stage_partitions(staging, name, df, old.table(name), touched, key)
+            if n_parts is None:
+                df = refresh_by_key(view_fn, old.table(name), {"raw": raw}, touched, key, input_keys={"raw": BRONZE_KEYS[t]})
+                staging.write(name, df, partition_by=spec.partition_by)
+            else:
                 rec["partitions_rewritten"] = n_parts
+        dirty.add(name)
+        audit.append({"table": name, **rec, "seconds": round(time.time() - start, 3)})
 
     # 3. Gold and serving over the refreshed silver.
-    cur = Catalog(spark, root, warehouse=warehouse, as_of=as_of, fmt=fmt, calendar=calendar)
     for level in _levels([n for n in VIEWS if not n.startswith("silver.")]):
+        cur = now()
         for name in level:
             if name in SILVER_BY_KEY:
                 continue  # done above
@@ -201,6 +210,7 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
                 audit.append({"table": name, "mode": "unchanged", "seconds": 0.0})
                 continue
             start = time.time()
+            rec, n_parts = {"mode": "full"}, None
             if name == "gold.fact_encounter":
                 def fact_fn(enc, labs, spec=spec):
                     g = Given({"silver.encounter_silver": enc, "silver.lab_order_silver": labs},
@@ -210,26 +220,16 @@ def refresh_incremental(spark: SparkSession, root: str, warehouse: str, as_of=No
                                     {"enc": cur.table("silver.encounter_silver"),
                                      "labs": cur.table("silver.lab_order_silver")},
                                     fact_keys, "ENCOUNTER_BK")
-                mode = {"mode": "by_key", "changed_keys": n_fact}
-                got = _stage_partitions(name, df, old.table(name), fact_keys, "ENCOUNTER_BK", fmt)
-                if got is not None:
-                    _write_partitions(got[0], cur.location(name), spec.partition_by, fmt)
-                    dirty.add(name)
-                    audit.append({"table": name, **mode, "partitions_rewritten": got[1],
-                                  "seconds": round(time.time() - start, 3)})
-                    continue
+                rec = {"mode": "by_key", "changed_keys": n_fact}
+                n_parts = _stage_partitions(staging, name, df, old.table(name), fact_keys, "ENCOUNTER_BK")
+                if n_parts is None:
+                    staging.write(name, df, partition_by=spec.partition_by)
+                else:
+                    rec["partitions_rewritten"] = n_parts
             else:
-                df = cur.build(name)
-                mode = {"mode": "full"}
-            _overwrite(cur, name, df, fmt)
+                staging.write(name, _checked(spec.fn(cur), spec.checks, failed, name), partition_by=spec.partition_by)
             dirty.add(name)
-            audit.append({"table": name, **mode, "seconds": round(time.time() - start, 3)})
-    if register:
-        for rec in audit:
-            if rec["mode"] != "unchanged":
-                spec = VIEWS.get(rec["table"])
-                checks = "; ".join(f"{c.name}: {c.predicate}" for c in spec.checks) if spec else ""
-                register_table(spark, rec["table"], cur.location(rec["table"]), fmt,
-                               spec.comment if spec else "", {"wardline.checks": checks} if checks else None,
-                               spec.partition_by if spec else ())
+            audit.append({"table": name, **rec, "seconds": round(time.time() - start, 3)})
+    for obs, checks in failed:
+        raise_on_failures(obs, checks)
     return audit

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import Check
-from ..sources import fs
+from ..sources import fs, versions
 from ..sources.bronze import bronze_table
 from ..sources.tables import Tables
 
@@ -97,8 +97,12 @@ class Catalog:
     """Resolves layer-qualified names to DataFrames.
 
     ``root``: folder of input tables (``<root>/<name>.parquet``).
-    ``warehouse``: folder of written layer tables (``<warehouse>/<layer>/<name>``);
-    names found there are read back instead of rebuilt.
+    ``warehouse``: folder of a warehouse; tables of the version published there
+    when the catalog is made are read back instead of rebuilt, whatever is
+    published later. Tables written by hand at ``<warehouse>/<layer>/<name>`` are
+    found where nothing is published.
+    ``staged``: tables of a refresh that is under way, read before published ones.
+    ``published=False`` leaves published tables out of account.
     ``as_of``: the date that stands in for ``current_date()`` so results are
     reproducible; ``None`` means ``current_date()`` of each execution.
     ``calendar``: fixed ``(start, end)`` of the date dimension; by default it
@@ -106,24 +110,37 @@ class Catalog:
     """
 
     def __init__(self, spark: SparkSession, root: str, warehouse: str | None = None,
-                 as_of: _dt.date | None = None, fmt: str = "parquet", calendar=None):
+                 as_of: _dt.date | None = None, fmt: str = "parquet", calendar=None,
+                 staged: versions.Staging | None = None, published: bool = True):
         self.spark = spark
         self.inputs = Tables(spark, root)
         self.warehouse = warehouse
         self.as_of = as_of
         self.calendar = calendar  # (start, end) for gold.dim_date; None: cover the data
         self.fmt = fmt
+        self.staged = staged
+        if not published or not warehouse:
+            self.version = versions.Version()
+        else:
+            self.version = staged.base if staged else versions.current(spark, warehouse)
+        self._by_hand = published and not self.version.number
         self._cache: dict[str, DataFrame] = {}
 
-    def location(self, name: str) -> str:
-        layer, tbl = name.split(".", 1)
-        return fs.join(self.warehouse, layer, tbl)
+    def entry(self, name: str) -> dict | None:
+        """Where the table is stored: a version's entry, None if it is not."""
+        if self.staged is not None and name in self.staged.entries:
+            return self.staged.entries[name]
+        if name in self.version.tables:
+            return self.version.tables[name]
+        if self.warehouse and self._by_hand:
+            path = name.replace(".", "/", 1)
+            mark = "_delta_log" if self.fmt == "delta" else "_SUCCESS"
+            if fs.exists(self.spark, fs.join(self.warehouse, path, mark)):
+                return {"fmt": self.fmt, "parts": [{"path": path}]}
+        return None
 
     def is_written(self, name: str) -> bool:
-        if not self.warehouse:
-            return False
-        mark = "_delta_log" if self.fmt == "delta" else "_SUCCESS"
-        return fs.exists(self.spark, fs.join(self.location(name), mark))
+        return self.entry(name) is not None
 
     def as_of_col(self):
         """``as_of`` as a date Column (``current_date()`` when unset)."""
@@ -132,8 +149,9 @@ class Catalog:
     def table(self, name: str) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
-        if self.is_written(name):
-            df = self.spark.read.format(self.fmt).load(self.location(name))
+        entry = self.entry(name)
+        if entry is not None:
+            df = versions.read(self.spark, self.warehouse, entry)
         elif name.startswith("bronze."):
             df = bronze_table(self.inputs, name.split(".", 1)[1],
                               resolve=lambda n: self.table("bronze." + n))
