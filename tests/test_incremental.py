@@ -1,3 +1,6 @@
+from decimal import Decimal
+
+import pytest
 from pyspark.sql import functions as F
 
 from wardline.operators import incremental as inc
@@ -78,3 +81,48 @@ def test_null_keys_are_keys(spark):
     totals = lambda lines: lines.groupBy("k").agg(F.max("v").alias("m"))
     got = inc.refresh_by_key(lambda lines: totals(lines), totals(before), {"lines": after}, ch.select("k"), "k")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, totals(after).collect()), key=str)
+
+
+def test_signed_delta_equals_full_aggregate(spark):
+    from wardline.operators.incremental import apply_group_delta, change_feed, group_delta, group_result, group_state
+
+    schema = "id int, g string, v decimal(10,2), w long"
+    before = [(1, "a", "1.50", 1), (2, "a", None, 2), (3, "b", "2.00", 3), (4, "c", "7.00", None), (5, None, "1.00", 5),
+              (6, "d", None, None), (7, "e", "1.00", 7), (8, "e", "-1.00", -7)]
+    after = [(1, "a", "1.50", 1), (2, "a", "4.00", 2), (4, "c", None, 9), (5, None, "2.25", 5), (9, None, "1.00", 1),
+             (10, "new", "3.00", 3), (3, "a", "2.00", 3), (6, "d", None, 4)]  # b and e lose all rows, 3 moves to a
+
+    def frame(rows):
+        return spark.createDataFrame([(i, g, None if v is None else Decimal(v), w) for i, g, v, w in rows], schema).repartition(3)
+
+    old, new = frame(before), frame(after)
+    changes = change_feed(old, new, "id")
+    state = apply_group_delta(group_state(old, "g", ["v", "w"]), group_delta(changes, "g", ["v", "w"]), "g")
+    assert sorted(map(tuple, state.collect()), key=str) == sorted(map(tuple, group_state(new, "g", ["v", "w"]).collect()), key=str)
+    got = group_result(state, "g", "n", {"v": "total", "w": "weight"})
+    want = new.groupBy("g").agg(F.count("*").alias("n"), F.sum("v").alias("total"), F.sum("w").alias("weight"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert {"b", "e"}.isdisjoint(r["g"] for r in got.collect())
+    # nothing changed: the state stays; everything went: no groups are left
+    same = group_delta(change_feed(old, old, "id"), "g", ["v", "w"])
+    assert same.count() == 0 and apply_group_delta(group_state(old, "g", ["v"]), group_delta(change_feed(old, old, "id"), "g", ["v"]), "g").count() == 6
+    gone = group_delta(change_feed(old, old.where("false"), "id"), "g", ["v", "w"])
+    assert apply_group_delta(group_state(old, "g", ["v", "w"]), gone, "g").count() == 0
+    # taking away what was never there is an error, not a wrong number
+    with pytest.raises(Exception, match="does not have"):
+        apply_group_delta(group_state(old.where("g = 'a'"), "g", ["v", "w"]), gone, "g").collect()
+    with pytest.raises(ValueError, match="exact"):
+        group_state(old.withColumn("v", F.col("v").cast("double")), "g", ["v"])
+
+
+def test_small_delta_leaves_the_state_unshuffled(spark, tmp_path):
+    from wardline.operators.incremental import apply_group_delta, group_state
+
+    rows = spark.range(20000).select((F.col("id") % 5000).alias("g"), F.col("id").alias("v"))
+    group_state(rows, "g", ["v"]).write.parquet(str(tmp_path / "state"))
+    group_state(rows.where("g < 10"), "g", ["v"]).write.parquet(str(tmp_path / "delta"))
+    state, delta = spark.read.parquet(str(tmp_path / "state")), spark.read.parquet(str(tmp_path / "delta"))
+    out = apply_group_delta(state, delta, "g")
+    assert out.count() == 5000 and out.where("n = 8").count() == 10
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text

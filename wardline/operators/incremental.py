@@ -1,5 +1,10 @@
 """Change feeds between snapshots and incremental refresh of views.
 
+Three ways to keep a view: :func:`refresh_rowwise` (a row in, a row out),
+:func:`refresh_by_key` (recompute the keys that changed) and, for counts and
+sums, :func:`apply_group_delta`, which adds what came and takes away what went
+without reading the rows that stayed.
+
 All operators are joins on the key. Diffs move narrow rows (key plus a row
 digest or a per-key signature) through the shuffle and touch full rows only
 for the keys that changed; refreshes replace only the affected keys with
@@ -164,6 +169,81 @@ def refresh_by_key(view_fn: Callable[..., DataFrame], old: DataFrame, inputs: di
     return join_null_safe(old, touched, [key], "left_anti").unionByName(fresh)
 
 
+def _exact(df: DataFrame, sums) -> None:
+    for c in sums:
+        kind = df.schema[c].dataType.typeName()
+        if kind in ("float", "double"):
+            raise ValueError(f"{c} is {kind}: sums that are added to and taken from must be exact (integers or decimals)")
+
+
+def group_state(df: DataFrame, keys, sums=()) -> DataFrame:
+    """What has to be kept of a GROUP BY with counts and sums so that it can be
+    maintained: the keys, ``n`` (rows), and per summed column ``<c>_n`` (values
+    that are not NULL) and ``<c>_sum`` (0 without any). Partial aggregates, so a hot key is combined
+    before the shuffle. Sums are taken over integers and decimals only."""
+    return _signed_groups(df.withColumn("__sign", F.lit(1)), keys, sums)
+
+
+def _signed_groups(df: DataFrame, keys, sums) -> DataFrame:
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    _exact(df, sums)
+    sign = F.col("__sign")
+    aggs = [F.sum(sign.cast("long")).alias("n")]
+    for c in sums:
+        kind = df.schema[c].dataType
+        wide = f"decimal(38,{kind.scale})" if kind.typeName() == "decimal" else "decimal(38,0)"
+        value = F.when(sign > 0, F.col(c).cast(wide)).otherwise(-F.col(c).cast(wide))
+        aggs += [F.coalesce(F.sum(F.when(F.col(c).isNotNull(), sign.cast("long"))), F.lit(0)).cast("long").alias(f"{c}_n"),
+                 F.coalesce(F.sum(value).cast(wide), F.lit(0).cast(wide)).alias(f"{c}_sum")]
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def group_delta(changes: DataFrame, keys, sums=()) -> DataFrame:
+    """What a change feed does to a :func:`group_state`: rows that came (insert,
+    update_postimage) count plus, rows that went (delete, update_preimage)
+    minus. Groups whose changes cancel out are left out."""
+    sign = F.when(F.col(CHANGE_COL).isin(INSERT, POST), 1).otherwise(-1)
+    delta = _signed_groups(changes.withColumn("__sign", sign), keys, sums)
+    moved = F.col("n") != 0
+    for c in sums:
+        moved = moved | (F.col(f"{c}_n") != 0) | (F.col(f"{c}_sum") != 0)
+    return delta.where(moved)
+
+
+def apply_group_delta(state: DataFrame, delta: DataFrame, keys) -> DataFrame:
+    """``state`` after ``delta`` (both as :func:`group_state` has them; every
+    group once). Groups that are down to no rows are gone, new ones are added, a
+    NULL key is a key like others. A group that would have fewer than no rows
+    was not in the state that the changes were made on: the job fails.
+
+    The state is not shuffled when the delta is small enough to broadcast (it
+    should be stored, so that Spark knows its size); otherwise both meet by key.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    values = [c for c in state.columns if c not in keys]
+    kinds = {f.name: f.dataType for f in state.schema}
+    change = delta.select(*keys, *[F.col(c).alias(f"__d_{c}") for c in values])
+    joined = join_null_safe(state, change, keys, "left")
+    both = joined.select(*keys, *[(F.col(c) + F.coalesce(F.col(f"__d_{c}"), F.lit(0))).cast(kinds[c]).alias(c) for c in values])
+    known = join_null_safe(state.select(*keys), delta.select(*keys), keys, "left_semi").withColumn("__known", F.lit(True))
+    new = join_null_safe(delta, known, keys, "left").where("__known is null")
+
+    def counted(known):  # the test names a column of the join, so that it is not made before it
+        return F.when(known & (F.col("n") < 0), F.raise_error(F.lit("the changes take rows away that the state does not have"))) \
+                .otherwise(F.col("n"))
+
+    new = new.withColumn("n", counted(F.col("__known").isNull())).select(*keys, *[F.col(c).cast(kinds[c]).alias(c) for c in values])
+    return both.withColumn("n", counted(F.lit(True))).unionByName(new).where("n <> 0")
+
+
+def group_result(state: DataFrame, keys, count: str, sums: dict) -> DataFrame:
+    """The aggregate that a state stands for: the keys, ``count`` and per entry
+    (column: name) of ``sums`` its sum, NULL where all values are."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return state.select(*keys, F.col("n").alias(count),
+                        *[F.when(F.col(f"{c}_n") > 0, F.col(f"{c}_sum")).alias(name) for c, name in sums.items()])
+
+
 def multiset_minus(a: DataFrame, b: DataFrame, chunk: int = 100_000) -> DataFrame:
     """``a.exceptAll(b)`` (rows of ``a`` not matched one-for-one in ``b``),
     safe when a group of identical rows holds a large share of the data.

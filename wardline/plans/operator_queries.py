@@ -491,26 +491,30 @@ def incr_rowwise_equals_full(spark, root):
 
 def incr_aggregate_equals_full(spark, root):
     """Lab roll-up per encounter stored before labs came, changed and went, then
-    refreshed for the encounters that the change feed names; must equal a
-    full run."""
+    kept up by what the change feed adds and takes away (groups that lose their
+    last lab included); must equal a full run."""
     cat = catalog(spark, root)
-    enc = cat.table("silver.encounter_silver")
-    labs = cat.table("silver.lab_order_silver")
+    cols = ["LAB_ORDER_BK", "ENCOUNTER_BK", "TEST_COST"]
+    labs = materialize(cat.table("silver.lab_order_silver").select(cols), "labs-now")
+    enc = cat.table("silver.encounter_silver").select("ENCOUNTER_BK")
     # The state before: labs of part 0 (mod 7) had not come yet, those of part 1
-    # cost one more, and encounters of part 2 had a line that is gone now.
+    # cost one more, and encounters of part 2 had a line that is gone now (those
+    # without other labs lose their group with it).
     part = F.pmod(F.crc32("LAB_ORDER_BK"), F.lit(7))
     was = labs.where(part != 0).withColumn("TEST_COST", F.when(part == 1, F.col("TEST_COST") + 1).otherwise(F.col("TEST_COST"))
                                            .cast("decimal(18,2)"))
     gone = (enc.where(F.pmod(F.crc32("ENCOUNTER_BK"), F.lit(7)) == 2)
                .select(F.concat("ENCOUNTER_BK", F.lit("-GONE")).alias("LAB_ORDER_BK"), "ENCOUNTER_BK",
                        F.lit(1).cast("decimal(18,2)").alias("TEST_COST")))
-    cols = ["LAB_ORDER_BK", "ENCOUNTER_BK", "TEST_COST"]
-    before = was.select(cols).unionByName(gone)
-    old = materialize(_labs_joined(enc, before), "labs-per-encounter")
-    touched = incremental.changed_keys(
-        incremental.change_feed(before, labs.select(cols), ["LAB_ORDER_BK", "ENCOUNTER_BK"]), "ENCOUNTER_BK")
-    return incremental.refresh_by_key(lambda enc, labs: _labs_joined(enc, labs), old,
-                                      {"enc": enc, "labs": labs}, touched, "ENCOUNTER_BK")
+    before = materialize(was.select(cols).unionByName(gone), "labs-before")
+    state = materialize(incremental.group_state(before, "ENCOUNTER_BK", ["TEST_COST"]), "labs-state")
+    changes = incremental.change_feed(before, labs, ["LAB_ORDER_BK", "ENCOUNTER_BK"])
+    delta = materialize(incremental.group_delta(changes, "ENCOUNTER_BK", ["TEST_COST"]), "labs-delta")
+    now = incremental.group_result(incremental.apply_group_delta(state, delta, "ENCOUNTER_BK"), "ENCOUNTER_BK",
+                                   "NUM_LAB_TESTS", {"TEST_COST": "TOTAL_LAB_COST"})
+    return enc.join(now, "ENCOUNTER_BK", "left").select(
+        "ENCOUNTER_BK", F.coalesce(F.col("NUM_LAB_TESTS").cast("int"), F.lit(0)).alias("NUM_LAB_TESTS"),
+        F.coalesce(F.col("TOTAL_LAB_COST").cast("decimal(18,2)"), F.lit(0).cast("decimal(18,2)")).alias("TOTAL_LAB_COST"))
 
 
 # --- scalar function coverage -------------------------------------------------
