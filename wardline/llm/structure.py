@@ -46,14 +46,15 @@ FINE, BLANK, DUPLICATE, TRUNCATED = ".", "b", "d", "t"
 NO_END = (("", 0, 0), ("", 0, 3), ("I", 1, 2), ("II", 2, 1))  # (edits, inserted rows, state) that end a conversation
 
 
-def options(initial: str, fault: str, state: int, costs: Costs) -> list[tuple[int, str, int]]:
-    """(cost, edits, next state) of what can be done with a row. Empty rows are
-    inserted before a row that stays, never before one that goes: after it
+@lru_cache(None)  # a few letters, states and prices
+def options(initial: str, fault: str, state: int, costs: Costs) -> tuple[tuple[int, str, int], ...]:
+    """(cost, edits, next state) of what can be done with a row, the dearest
+    first. Empty rows are inserted before a row that stays, never before one that goes: after it
     they cost the same, and D comes before I. Two are enough: another two lead
     back to the same state."""
     out = [(costs.delete, "D", state)]
     if fault in (BLANK, DUPLICATE):
-        return out
+        return tuple(out)
     extra = costs.truncated if fault == TRUNCATED else 0
     for inserted in range(3):
         before = "I" * inserted
@@ -62,7 +63,13 @@ def options(initial: str, fault: str, state: int, costs: Costs) -> list[tuple[in
             out.append((cost, before + "K", NEXT[state, initial]))
         state = NEXT.get((state, "a")) or NEXT[state, "u"]
         out.append((cost + costs.rerole, before + "R", state))
-    return out
+    return tuple(sorted(out, reverse=True))
+
+
+@lru_cache(None)
+def least(initial: str, fault: str, costs: Costs) -> int:
+    """What a row costs at least, whatever the state before it."""
+    return min(c for s in range(4) for c, _, _ in options(initial, fault, s, costs))
 
 
 @lru_cache(CACHE)
@@ -74,7 +81,7 @@ def search(letters: str, start: int, ends: tuple, costs: Costs = Costs()) -> tup
     n = len(rows)
     low = [0] * (n + 1)  # what the rows from here on cost at least, whatever the state
     for i in range(n - 1, -1, -1):
-        low[i] = low[i + 1] + min(c for s in range(4) for c, _, _ in options(*rows[i], s, costs))
+        low[i] = low[i + 1] + least(*rows[i], costs)
     finish = {state: (edits, k * costs.insert) for edits, k, state in ends}
     incumbent: tuple[int, str] | None = None
     best: dict[tuple[int, int], tuple[int, str]] = {}  # per node, the best prefix so far
@@ -96,9 +103,8 @@ def search(letters: str, start: int, ends: tuple, costs: Costs = Costs()) -> tup
                 if incumbent is None or found < incumbent:
                     incumbent = found
             continue
-        children = [(cost + c, audit + e, s) for c, e, s in options(*rows[i], state, costs)]
-        for c, e, s in sorted(children, reverse=True):  # the cheapest is taken up next
-            stack.append((i + 1, s, c, e))
+        for c, e, s in options(*rows[i], state, costs):  # the cheapest is taken up next
+            stack.append((i + 1, s, cost + c, audit + e))
     return incumbent
 
 
