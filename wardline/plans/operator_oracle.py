@@ -353,6 +353,7 @@ def _modulo_lookup() -> str:
 
 
 OPERATOR_SQL["gen_modulo_lookup"] = _modulo_lookup()
+OPERATOR_SQL["feed_since_stored"] = OPERATOR_SQL["feed_since_composite"]
 # Every operator query may use the raw bronze CTEs as well as the silver ones.
 OPERATOR_SQL = {k: _WITH.rstrip("\n") + ",\n" + _RAW_WITH + "\nSELECT * FROM (" + v.strip() + ")"
                 for k, v in OPERATOR_SQL.items()}

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean, gen, keys
-from ..operators import feeds, incremental, quality
+from ..operators import feeds, feedstore, incremental, quality
 from ..operators.dedup import distinct_on_key, dropped_duplicates, keep_first
 from ..sources import bronze
-from ..sources.sinks import materialize
+from ..sources.sinks import materialize, scratch_path
 from . import gold, serving, silver
 from .queries import catalog
 from .registry import VIEWS, Given
@@ -400,6 +400,17 @@ def feed_since_composite(spark, root):
                             limit=FEED_PAGE_SIZE)
 
 
+def feed_since_stored(spark, root):
+    """The same page from the feed stored by time: months before the cursor, and
+    those after the one that fills the page, are not read."""
+    alerts = _alerts(spark, root)
+    path = scratch_path(spark, "alert-feed")
+    feedstore.write_feed(alerts, path, "RESULTED_TS", "ALERT_BK")
+    feed = feedstore.open_feed(spark, path, alerts.schema)
+    return feedstore.poll(feed, "RESULTED_TS", "ALERT_BK", cursor=FEED_PAGE_CURSOR, limit=FEED_PAGE_SIZE,
+                          digest=feedstore.digests(feed, ["ALERT_BK"]))
+
+
 EVENT_CURSOR = (_dt.datetime(2024, 1, 2, 0, 0, 0), 0)
 EVENT_PAGE_SIZE = 1000
 
@@ -417,16 +428,24 @@ def feed_append_only_check(spark, root):
     9 of 11) under their own keys, and shows another test name for line 2 of
     an encounter, so both kinds of loss have a known number."""
     cat = catalog(spark, root)
-    new = cat.table("graphql.abnormal_lab_alerts")
+    cols = ["ALERT_BK", "TEST_NAME", "RESULTED_TS"]
+
+    def stored(name, rows):
+        path = scratch_path(spark, f"feed-{name}")
+        feedstore.write_feed(rows, path, "RESULTED_TS", "ALERT_BK")
+        feed = feedstore.open_feed(spark, path, rows.schema)
+        return feed, materialize(feedstore.digests(feed, cols), f"digests-{name}")
+
+    new, new_digest = stored("current", cat.table("graphql.abnormal_lab_alerts").select(cols))
     shown = F.when(F.substring("ALERT_BK", 12, 6) == "-LAB02", F.lit("Renamed")).otherwise(F.col("TEST_NAME"))
     cut = F.col("RESULTED_TS") <= F.lit(APPEND_ONLY_CUTOFF)
-    old = new.where(cut).withColumn("TEST_NAME", shown)
     gone = (cat.table("silver.lab_order_silver").where(F.col("RESULT_FLAG") == "Abnormal").where(cut)
                .join(cat.table("silver.encounter_silver").where(F.col("STATUS") == "Cancelled").select("ENCOUNTER_BK"),
                      "ENCOUNTER_BK", "left_semi")
                .select(F.col("LAB_ORDER_BK").alias("ALERT_BK"), "TEST_NAME", "RESULTED_TS"))
-    cols = ["ALERT_BK", "TEST_NAME", "RESULTED_TS"]
-    removed = feeds.removed_rows(old.select(cols).unionByName(gone), new.select(cols), key="ALERT_BK")
+    published = new.where(cut).withColumn("TEST_NAME", shown).select(cols)
+    old, old_digest = stored("published", published.unionByName(gone))
+    removed = feedstore.removed_from_feed(old, new, cols, "ALERT_BK", old_digest, new_digest)
     # One aggregate over the current feed; the removed-row count rides along
     # as a scalar subquery.
     return new.agg(
@@ -619,6 +638,7 @@ OPERATOR_QUERIES = {
     "dq_every_check": dq_every_check,
     "feed_since": feed_since,
     "feed_since_composite": feed_since_composite,
+    "feed_since_stored": feed_since_stored,
     "feed_since_events": feed_since_events,
     "feed_append_only_check": feed_append_only_check,
     "tenant_scope": tenant_scope,
