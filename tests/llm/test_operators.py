@@ -218,16 +218,19 @@ def test_suffix_arrays(spark, documents, odd_docs, no_docs):
     assert q.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] and q.count() == len(documents)
 
 
-def line_classes(docs, tau=2, least=48):
-    """{(id, line number): first place of its class} by all pairs."""
+def line_classes(docs, tau=2, near=48):
+    """{(id, line number): first place of its class} by all pairs: lines of
+    ``near`` characters and more within ``tau`` edits, shorter ones that are not
+    blank if they are equal."""
     key = lambda p: (p[0] is not None, p[0] or 0, p[1])
     places = {}
     for i, t in docs:
         for n, line in enumerate((t or "").split("\n")):
-            if len(line) >= least:
+            if len(line) >= near or words(line):
                 places.setdefault(line, set()).add((i, n))
     texts = sorted(places)
-    links = [(a, b) for k, a in enumerate(texts) for b in texts[k + 1:] if abs(len(a) - len(b)) <= tau and lines.within(a, b, tau)]
+    long = [t for t in texts if len(t) >= near]
+    links = [(a, b) for k, a in enumerate(long) for b in long[k + 1:] if abs(len(a) - len(b)) <= tau and lines.within(a, b, tau)]
     comp = components_of(texts, links)
     first = {}
     for t, c in comp.items():
@@ -247,30 +250,18 @@ def test_lines(spark, documents, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     text = {}
     for i, t in odd:
-        left = "\n".join(x for n, x in enumerate((t or "").split("\n")) if i is None or (i, n) not in want)
-        if left.split() or left == (t or ""):
+        left = "\n".join(x for n, x in enumerate((t or "").split("\n")) if (i, n) not in want)
+        if words(left) or left == (t or ""):
             text.setdefault(i, []).append(left if left != (t or "") else t)
-    assert sorted((r["doc_id"], r["text"]) for r in kept.where("doc_id is not null").collect() if r["text"] is not None) == sorted(
-        (i, t) for i, ts in text.items() if i is not None for t in ts if t is not None)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect() if r["text"] is not None) == sorted(
+        (str(i), t) for i, ts in text.items() for t in ts if t is not None)
     assert lines.duplicate_lines(no_docs).count() == 0
     assert lines.without_lines(no_docs, found).count() == 0
 
 
 def test_short_lines(spark, documents):
-    def brute(docs, near=48):
-        """Like line_classes, of all lines: from ``near`` characters on within two edits, below it equal and not blank."""
-        key = lambda p: (p[0] is not None, p[0] or 0, p[1])
-        out, places = line_classes(docs), {}
-        for i, t in docs:
-            for n, line in enumerate((t or "").split("\n")):
-                if len(line) < near and words(line):
-                    places.setdefault(line, []).append((i, n))
-        for own in places.values():
-            out |= {p: min(own, key=key) for p in own if p != min(own, key=key)}
-        return out
-
     plain = [d[:2] for d in documents]
-    want = brute(plain)
+    want = line_classes(plain)
     assert any(len(t.split("\n")[n]) < 48 for i, t in plain for d, n in want if d == i)
     got = QUERIES["op8_line_dedup"](spark, ROOT).collect()
     assert {tuple(r)[:2]: tuple(r)[2:4] for r in got} == want and len(got) == len(want)
@@ -278,7 +269,7 @@ def test_short_lines(spark, documents):
     odd = [(1, "Menu\n\n \nstory one\nMenu"), (2, f"Menu\n\n \nstory two\n{near} a"), (None, "Menu\nmenu\n"), (3, None), (4, "\u3000\nx"),
            (5, f"\u3000\nx \n{near} b"), (6, f"{near} b\n{near} now\n{near} new")]
     found = lines.duplicate_lines(spark.createDataFrame(odd, "doc_id long, text string"))
-    want = brute(odd)
+    want = line_classes(odd)
     assert {tuple(r)[:2]: tuple(r)[2:4] for r in rows(found)} == want == {
         (1, 0): (None, 0), (1, 4): (None, 0), (2, 0): (None, 0), (5, 0): (4, 0), (6, 0): (5, 2), (6, 2): (6, 1)}
     assert all(r["exact"] == (tuple(r)[:2] != (6, 2)) for r in found.collect())
@@ -292,6 +283,16 @@ def test_rows_of_one_id_lose_their_own_lines(spark):
     assert sorted(rows(kept)) == [(1, f"{line}A"), (2, "here is a clean line\nand one more of them"), (2, "nothing like it")]
 
 
+def test_rows_without_an_id_and_words_of_other_spaces(spark):
+    """NULL ids lose the lines that were reported for them; U+3000 is no white space, so a line of it is a word."""
+    docs = spark.createDataFrame([(None, "menu\nfirst of all"), (None, "menu\nsecond"), (5, "\u3000\nmenu"), (6, "menu\n \t"), (7, "menu")],
+                                 "doc_id long, text string")
+    kept = lines.without_lines(docs, lines.duplicate_lines(docs))
+    got = sorted(rows(kept), key=str)
+    assert sorted(t for i, t in got if i is None) in (["first of all", "menu\nsecond"], ["menu\nfirst of all", "second"], ["menu\nfirst of all", "menu\nsecond"])
+    assert (5, "\u3000") in got and not [i for i, _ in got if i in (6, 7)]
+
+
 def test_hot_segments_are_cut_into_blocks(spark):
     head = "a very common beginning that many different lines have in common "
     near = [f"{head}{i:04d} {'x' * (i % 5)} the end of the line" for i in range(60)] + [f"{head}0007 xx the end of the line."]

@@ -18,6 +18,8 @@ is its class.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -296,15 +298,16 @@ def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``docs`` (with columns doc_id and text) without the removed lines; n_chars,
     where there is one, follows the text. Rows that share a doc_id each lose
     their own lines. Documents that lose all their words are dropped; all others keep their rows and columns."""
-    per_doc = (removed.where("doc_id is not null").groupBy(F.col("doc_id").alias("_gone"), F.col("copy").alias("_copy"))
+    per_doc = (removed.groupBy(F.col("doc_id").alias("_gone"), F.col("copy").alias("_copy"))
                       .agg(F.collect_set(F.col("line_no").cast("int")).alias("_lines")))
-    joined = docs.join(per_doc, (docs["doc_id"] == per_doc["_gone"]) & (_copy("text") == per_doc["_copy"]), "left")
+    joined = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["_gone"]) & (_copy("text") == per_doc["_copy"]), "left")
     names = docs.columns
     at = names.index("text")
     count = names.index("n_chars") if "n_chars" in names else None
     types = joined.select(names).schema
 
     def run(batches):
+        word = re.compile(WORD)
         for b in batches:
             cols = [b.column(i) for i in range(len(names))]
             texts, keep = cols[at].to_pylist(), []
@@ -312,7 +315,7 @@ def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
                 if gone:
                     gone = set(gone)
                     texts[i] = "\n".join(x for k, x in enumerate(texts[i].split("\n")) if k not in gone)
-                keep.append(not gone or bool(texts[i].split()))
+                keep.append(not gone or word.search(texts[i]) is not None)
             cols[at] = pa.array(texts, cols[at].type)
             if count is not None:
                 cols[count] = pa.array([n if not g else len(t) for n, g, t in zip(
