@@ -120,6 +120,37 @@ def test_free_form_dates_are_read_day_first(spark):
     assert [one(spark, clean.unparsed_date("x"), t) for t in ("31/02/2001", "4 Mar 2001", "", None)] == [True, False, False, False]
 
 
+def test_every_layout_once(spark):
+    """One layout per shape, read once; impossible dates and mixed separators are none."""
+    want = {"2001-03-04": (2001, 3, 4), "2001/3/4": (2001, 3, 4), "2001.03.04": (2001, 3, 4), "04/03/2001": (2001, 3, 4), "4-3-2001": (2001, 3, 4),
+            "04.03.2001": (2001, 3, 4), "4/3/01": (2001, 3, 4), "4-3-01": (2001, 3, 4), "4.3.01": (2001, 3, 4), "4 MAR 2001": (2001, 3, 4),
+            "14 may 2001": (2001, 5, 14), "September 14, 2001": (2001, 9, 14), "Sep 14 2001": (2001, 9, 14), " 29/02/2004 ": (2004, 2, 29),
+            "29/02/2001": None, "2001-13-01": None, "04/03-2001": None, "4 Sept 2001": None, "4 Foo 2001": None, "2001": None, "32/01/2001": None}
+    df = spark.createDataFrame([(t,) for t in want], "x string").select("x", clean.mixed_date("x").alias("d"))
+    assert {r["x"]: r["d"] and tuple(r["d"].timetuple()[:3]) for r in df.collect()} == want
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("gettimestamp") + text.count("to_date") + text.count("try_to_timestamp") <= 2 and "PythonUDF" not in text
+
+
+def test_leftover_dates_go_through_arrow(spark):
+    want = {"3rd March 2001": (2001, 3, 3), "1st of May, 1999": (1999, 5, 1), "Sunday 4 March 2001": (2001, 3, 4), "Sun, 4 Mar 2001": (2001, 3, 4),
+            "2001-03-04 10:30:00": (2001, 3, 4), "04/03/2001 10:30": (2001, 3, 4), "2001-03-04T23:59:59": (2001, 3, 4), "March 2001": (2001, 3, 1),
+            "4 Sept 2001": None, "04/03/2001": (2001, 3, 4), "4 March": None, "2001": None, "10:30": None, "not known": None, "": None}
+    df = spark.createDataFrame([(t,) for t in want] + [(None,)], "x string")
+    got = {r["x"]: r["d"] and tuple(r["d"].timetuple()[:3]) for r in df.select("x", clean.any_date("x").alias("d")).collect()}
+    assert got == {**want, None: None}
+    compat = {r["x"]: r["d"] for r in df.select("x", clean.any_date("x", dayfirst_compat=True).alias("d")).collect()}
+    assert compat["2001-03-04 10:30:00"] == dt.date(2001, 4, 3) and compat["04/03/2001 10:30"] == dt.date(2001, 3, 4)
+
+
+def test_money_text_at_all_sizes(spark):
+    from wardline.functions import gen
+    for cents in (0, 5, -5, 99, 100, 99_999, 100_000, -123_450, 99_999_999, 100_000_000, 99_999_999_999, 100_000_000_000, -1_234_567_890_123):
+        text = f"₦{'-' if cents < 0 else ''}{abs(cents) // 100:,}.{abs(cents) % 100:02d}"
+        assert one(spark, gen.money_text("x"), cents, "x long") == text
+    assert one(spark, gen.money_text("x"), None, "x long") is None
+
+
 def test_md5_bucket_fills_any_number_of_buckets(spark):
     df = spark.range(16_000).select(keys.md5_bucket(F.col("id"), 64).alias("b"), keys.md5_bucket(F.col("id"), 6).alias("c"))
     assert df.select("b").distinct().count() == 64

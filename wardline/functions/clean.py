@@ -2,13 +2,16 @@
 
 Every function takes and returns a ``Column`` built only from stock
 ``pyspark.sql.functions``, so all of it stays inside whole-stage codegen and
-Catalyst can push filters through it. Nothing here runs Python per row.
+Catalyst can push filters through it. Only :func:`any_date` uses Python, as
+Arrow batches, for the texts that no built-in layout fits.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -98,38 +101,99 @@ def date(c, fmt: str = DATE_FORMAT) -> Column:
     return F.try_to_date(as_col(c), fmt)
 
 
-# FIXED VALUES: layouts of free-text dates. Year-first and day-first layouts
-# never fit the same text, so their order does not matter; single letters also
-# fit two digits.
-YEAR_FIRST = ("yyyy-M-d", "yyyy/M/d", "yyyy.M.d")
-DAY_FIRST = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy",
-             "MMM d yyyy", "MMMM d yyyy", "d/M/yy", "d-M-yy", "d.M.yy")
+# FIXED VALUES: month names in dates.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 
+# Shapes of free-text dates; one of them at most fits a text.
+YEAR_FIRST = r"^\d{4}([-/.])\d{1,2}\1\d{1,2}$"
+DAY_FIRST = r"^\d{1,2}([-/.])\d{1,2}\1\d{4}$"
+DAY_FIRST_SHORT = r"^\d{1,2}([-/.])\d{1,2}\1\d{2}$"
+DAY_MONTH_NAME = r"^(\d{1,2}) ([A-Za-z]{3,9}) (\d{4})$"
+MONTH_NAME_DAY = r"^([A-Za-z]{3,9}) (\d{1,2}),? (\d{4})$"
 
-def mixed_date(c, formats=YEAR_FIRST + DAY_FIRST, dayfirst_compat: bool = False) -> Column:
-    """Parse date text that arrives in many layouts, day before month; first
-    layout that fits wins. Text that fits none is NULL (count them with
-    :func:`unparsed_date`).
+
+def _month_number(name) -> Column:
+    """1..12 of a full or three-letter month name in any case, else 0."""
+    low = F.lower(name)
+    full = F.array_position(F.array(*map(F.lit, MONTHS)), low)
+    short = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), low)
+    return F.greatest(full, short)
+
+
+def _plain_date_text(c, dayfirst_compat: bool) -> Column:
+    """The date as ``year-month-day`` text; NULL where no shape fits."""
+    x = F.trim(as_col(c))
+    iso = F.translate(x, "/.", "--")
+    if dayfirst_compat:
+        month, day = (F.substring_index(F.substring_index(iso, "-", n), "-", -1).try_cast("int") for n in (2, 3))
+        iso = F.when((month <= 12) & (day <= 12), F.regexp_replace(x, r"^(\d{4}).(\d{1,2}).(\d{1,2})$", "$1-$3-$2")).otherwise(iso)
+
+    def named(shape, year, month, day):
+        return F.concat_ws("-", F.regexp_extract(x, shape, year), _month_number(F.regexp_extract(x, shape, month)),
+                           F.regexp_extract(x, shape, day))
+
+    return (F.when(x.rlike(YEAR_FIRST), iso)
+             .when(x.rlike(DAY_FIRST), F.regexp_replace(x, r"^(\d{1,2}).(\d{1,2}).(\d{4})$", "$3-$2-$1"))
+             .when(x.rlike(DAY_FIRST_SHORT), F.regexp_replace(x, r"^(\d{1,2}).(\d{1,2}).(\d{2})$", "20$3-$2-$1"))
+             .when(x.rlike(DAY_MONTH_NAME), named(DAY_MONTH_NAME, 3, 2, 1))
+             .when(x.rlike(MONTH_NAME_DAY), named(MONTH_NAME_DAY, 3, 1, 2)))
+
+
+def mixed_date(c, dayfirst_compat: bool = False) -> Column:
+    """Parse date text that arrives in many layouts, day before month.
+
+    The text's shape picks one layout and the text is parsed once: year first
+    (``2001-3-4``), day first (``4/3/2001``, two-digit years are 20xx), with a
+    month name (``4 Mar 2001``, ``March 4, 2001``), separated by ``-``, ``/`` or
+    ``.``. Text of another shape and dates that do not exist are NULL; see
+    :func:`any_date` and :func:`unparsed_date`.
 
     ``dayfirst_compat=True`` reproduces a day-first free-text parser: text
     that begins with the year and whose day is 12 or less has its month and
     day swapped (``2001-03-04`` -> 2001-04-03), other text parses as usual.
     """
+    return F.try_to_date(_plain_date_text(c, dayfirst_compat), "yyyy-M-d")
+
+
+def any_date(c, dayfirst_compat: bool = False) -> Column:
+    """:func:`mixed_date`, and for text of none of its shapes a free-text parser:
+    ordinals (``4th of March 2001``), weekday names, a time behind the date,
+    and year and month alone (the first of the month). Text without a year and
+    a month, and text that is no date, is NULL. Only what has no known shape is
+    given to the parser, as Arrow batches; it costs at most one parse more."""
     x = F.trim(as_col(c))
-    parsed = F.coalesce(*[F.try_to_date(x, f) for f in formats])
-    if not dayfirst_compat:
-        return parsed
-    iso = F.coalesce(*[F.try_to_date(x, f) for f in YEAR_FIRST])
-    # Only swapped when the day is <= 12, so the new month is always valid
-    # and the new day (the old month) fits every month.
-    swapped = F.make_date(F.year(iso), F.dayofmonth(iso), F.month(iso))
-    return F.when(iso.isNotNull() & (F.dayofmonth(iso) <= 12), swapped).otherwise(parsed)
-
-
-def unparsed_date(c, formats=YEAR_FIRST + DAY_FIRST) -> Column:
-    """True where there is text but no layout fits it."""
+    left = _plain_date_text(c, dayfirst_compat).isNull() & (x != "")
+    return F.coalesce(mixed_date(c, dayfirst_compat), _free_text_date(dayfirst_compat)(F.when(left, x)))
+
+
+def _free_text_date(dayfirst_compat: bool):
+    @F.pandas_udf("date")
+    def parse(texts: pd.Series) -> pd.Series:
+        from dateutil import parser  # noqa: PLC0415
+
+        def one(text):
+            if text is None:
+                return None
+            day_first = dayfirst_compat or not text[:4].isdigit()
+            try:  # what the text does not say comes from a default: two of them show what that is
+                a = parser.parse(text, dayfirst=day_first, default=_dt.datetime(1904, 1, 1), fuzzy=False)
+                b = parser.parse(text, dayfirst=day_first, default=_dt.datetime(1908, 3, 1), fuzzy=False)
+            except (ValueError, OverflowError, TypeError):
+                try:
+                    text = re.sub(r"(?i)\b(of|the)\b", " ", text)
+                    a = parser.parse(text, dayfirst=day_first, default=_dt.datetime(1904, 1, 1))
+                    b = parser.parse(text, dayfirst=day_first, default=_dt.datetime(1908, 3, 1))
+                except (ValueError, OverflowError, TypeError):
+                    return None
+            return a.date() if a.date() == b.date() else None
+        return texts.map(one, na_action="ignore")
+    return parse
+
+
+def unparsed_date(c) -> Column:
+    """True where there is text but :func:`mixed_date` finds no date in it."""
     x = F.trim(as_col(c))
-    return x.isNotNull() & (x != "") & mixed_date(c, formats).isNull()
+    return x.isNotNull() & (x != "") & mixed_date(c).isNull()
 
 
 def phone(c, country: str = "234") -> Column:

@@ -35,7 +35,16 @@ def cents_to_decimal(cents, precision: int = 18) -> Column:
 
 def money_text(cents) -> Column:
     """Integer cents -> ``₦-1,234.50`` (currency sign, thousands separators)."""
-    return F.concat(F.lit(CURRENCY), F.format_number(cents_to_decimal(cents), 2))
+    c = as_col(cents).cast("long")
+    size = F.abs(c)
+    whole = F.call_function("div", size, F.lit(100).cast("long")).cast("string")
+    return F.concat(F.when(c < 0, F.lit(CURRENCY + "-")).otherwise(F.lit(CURRENCY)),
+                    F.regexp_replace(whole, r"(\d)(?=(\d{3})+$)", "$1,"), F.lit("."), F.lpad((size % 100).cast("string"), 2, "0"))
+
+
+def whole_cents(c) -> Column:
+    """An amount with two decimals, held as a double, in whole cents."""
+    return F.rint(as_col(c) * 100).cast("long")
 
 
 def ts_text(c) -> Column:

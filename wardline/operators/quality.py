@@ -33,6 +33,10 @@ class Check:
     # comparison of one column with a literal). Lets the NULL test be written
     # on the columns, which parquet can evaluate, instead of on the predicate.
     null_columns: tuple = ()
+    # The checked value is made in the view itself (parsed text, say), so that
+    # there is nothing a scan could evaluate: the test is written with one copy
+    # of the predicate, since each copy would make the value again.
+    computed: bool = False
 
     def __post_init__(self):
         if self.action not in ACTIONS:
@@ -53,6 +57,8 @@ class Check:
         simplifies the former and can still push it into the parquet scan.
         """
         p = self.condition
+        if self.computed:
+            return F.coalesce(p, F.lit(self.null_policy == "pass"))
         if self.null_policy == "pass":
             if self.null_columns:
                 is_null = None

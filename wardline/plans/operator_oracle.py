@@ -151,6 +151,11 @@ SELECT patient_bk, dob,
             WHEN _lay IN (0, 2, 5) AND day(_d) <= 12 THEN make_date(year(_d), day(_d), month(_d))
             ELSE _d END AS DATE_OF_BIRTH
 FROM raw_patients""",
+    "dob_parse_leftovers": """
+SELECT c_custkey, CAST(c_custkey % 10 AS INTEGER) AS KIND,
+       CASE WHEN c_custkey % 10 IN (8, 9) THEN NULL
+            WHEN c_custkey % 10 = 7 THEN CAST(date_trunc('month', d) AS DATE) ELSE d END AS DATE_OF_BIRTH
+FROM (SELECT c_custkey, DATE '1940-01-01' + CAST(c_custkey * 41 % 20000 AS INTEGER) AS d FROM customer)""",
     "money_roundtrip": """
 SELECT encounter_bk, billed_amount_raw, amount_paid_raw, BILLED_AMOUNT, AMOUNT_PAID,
        CAST(BILLED_AMOUNT - AMOUNT_PAID AS DECIMAL(19,2)) AS OUTSTANDING_AMOUNT

@@ -180,6 +180,30 @@ def dob_parse_dayfirst_compat(spark: SparkSession, root: str) -> DataFrame:
     return raw.select("patient_bk", "dob", clean.mixed_date("dob", dayfirst_compat=True).alias("DATE_OF_BIRTH"))
 
 
+def dob_parse_leftovers(spark: SparkSession, root: str) -> DataFrame:
+    """Birth dates in ways that no layout covers (ordinals, weekday names, times,
+    year and month alone, no date at all) among others that one does."""
+    c = catalog(spark, root).inputs["customer"]
+    k = F.col("c_custkey")
+    dob = F.date_add(F.lit("1940-01-01").cast("date"), F.pmod(k * 41, F.lit(20_000)).cast("int"))
+    day = F.dayofmonth(dob)
+    ending = (F.when(day.isin(1, 21, 31), "st").when(day.isin(2, 22), "nd").when(day.isin(3, 23), "rd").otherwise("th"))
+    texts = F.array(
+        gen.date_text(dob, "dd/MM/yyyy"),
+        F.concat(day.cast("string"), ending, F.lit(" of "), gen.date_text(dob, "MMMM yyyy")),
+        F.concat(gen.date_text(dob, "MMM "), day.cast("string"), ending, gen.date_text(dob, ", yyyy")),
+        gen.date_text(dob, "EEEE, d MMMM yyyy"),
+        gen.date_text(dob, "EEE d MMM yyyy"),
+        gen.date_text(dob, "yyyy-MM-dd '10:30:00'"),
+        gen.date_text(dob, "dd/MM/yyyy '07:45'"),
+        gen.date_text(dob, "MMMM yyyy"),
+        F.lit("not known"),
+        gen.date_text(dob, "d MMMM"))
+    kind = F.pmod(k, F.lit(10)).cast("int")
+    return c.select("c_custkey", kind.alias("KIND"), F.element_at(texts, kind + 1).alias("_text")).select(
+        "c_custkey", "KIND", clean.any_date("_text").alias("DATE_OF_BIRTH"))
+
+
 def money_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     raw = _bronze(spark, root, "raw_encounters")
     b, p = clean.money("billed_amount_raw"), clean.money("amount_paid_raw")
@@ -610,6 +634,7 @@ OPERATOR_QUERIES = {
     "distinct_on_key": distinct_on_key_q,
     "dob_parse_mixed": dob_parse_mixed,
     "dob_parse_dayfirst_compat": dob_parse_dayfirst_compat,
+    "dob_parse_leftovers": dob_parse_leftovers,
     "money_roundtrip": money_roundtrip,
     "business_keys": business_keys_q,
     "explode_sequence_lines": explode_sequence_lines,

@@ -36,8 +36,7 @@ _CITY = _list(["Lagos", "Lagos", "Abuja", "Kano", "Ibadan", "Port Harcourt", "Po
                "Benin", "Benin"])
 _WARD_TYPE = _list(["Inpatient", "Inpatient", "Outpatient", "Outpatient", "ICU", "ICU"])
 _BUILDING = _list(["Tower 1", "Tower 2", "Pavilion", "Tower 1"])
-_SPECIALTY = _list(["Dermatologist", "Dermatologist", "Urologist", "Nephrologist", "Hematologist",
-                    "Family Physician", "Anesthetist", "Podiatrist"])
+_SPECIALTY = _list(["Toxicology", "Audiology", "Virology", "Rheumatology", "Pathology"])
 _ETYPE = _list(["Inpatient", "Inpatient", "Outpatient", "Outpatient", "Emergency", "Emergency"])
 _STATUS = _list(["Discharged"] * 6 + ["Admitted", "Admitted", "Admitted", "Cancelled", "Admitted"])
 _TEST = _list(["Ferritin", "Sodium", "Potassium", "Creatinine", "Bilirubin", "Troponin", "Cortisol", "Insulin"])
@@ -80,7 +79,7 @@ FROM nation""",
     "provider_silver": f"""
 SELECT printf('DOC%04d', s_suppkey) AS PROVIDER_BK,
        {_initcap('trim(s_name)')} AS PROVIDER_NAME,
-       {_SPECIALTY}[(s_suppkey * 3) % 8 + 1] AS SPECIALTY,
+       {_SPECIALTY}[(s_suppkey + s_nationkey) % 5 + 1] AS SPECIALTY,
        printf('DEP%03d', s_nationkey) AS DEPARTMENT_BK
 FROM supplier""",
     "diagnosis_silver": f"""

@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     # two others on the same key, as in the ward board).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM does not compile methods of over 8,000 bytes of bytecode, and wide
+    # cleansing projections generate such: they ran interpreted, several times
+    # slower. Beyond the limit Spark splits the work into smaller methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
