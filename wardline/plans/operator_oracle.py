@@ -344,6 +344,11 @@ SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity / 7) AS BIGINT) AS FLOOR_
        abs(l_quantity - 25) AS ABS_DIFF, ((l_orderkey - 1000) % 7 + 7) % 7 AS PMOD,
        -l_quantity AS NEG_QTY, l_linenumber * 3 + 1 AS ARITH
 FROM lineitem""",
+    "order_position": """
+SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS POSITION FROM orders""",
+    "sample_exact": """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+ORDER BY substr(md5('11|' || CAST(o_orderkey AS VARCHAR)), 1, 15), o_orderkey LIMIT 250""",
     "scalar_array": """
 SELECT o_orderkey, ['low', 'mid', 'high'][o_orderkey % 3 + 1] AS ELEM,
        CAST(o_orderkey % 5 + 1 AS INTEGER) AS SEQ_LAST, CAST(o_orderkey % 5 + 1 AS INTEGER) AS SEQ_SIZE

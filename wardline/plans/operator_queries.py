@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import clean, gen, keys
 from ..operators import feeds, feedstore, incremental, quality
 from ..operators.dedup import distinct_on_key, dropped_duplicates, keep_first
+from ..operators.order import sample_rows, with_position
 from ..sources import bronze
 from ..sources.sinks import materialize, scratch_path
 from . import gold, serving, silver
@@ -514,11 +515,32 @@ def _snapshots(spark, root):
 
 
 def change_feed_diff(spark, root):
-    before, after = _snapshots(spark, root)
-    ch = incremental.change_feed(before, after, "encounter_bk")
+    """Two stored snapshots, bucketed by key: compared without a shuffle."""
+    before, after = [incremental.store_snapshot(df, "encounter_bk", scratch_path(spark, "snapshot"), SNAPSHOT_BUCKETS)
+                     for df in _snapshots(spark, root)]
+    ch = incremental.change_feed_stored(before, after, "encounter_bk")
     return ch.select("encounter_bk", "status", incremental.CHANGE_COL)
 
 
+SNAPSHOT_BUCKETS = 8
+
+
+def order_position(spark, root):
+    """Every order's place by price, dearest first."""
+    o = catalog(spark, root).inputs["orders"].select("o_orderkey", "o_totalprice", "o_orderdate")
+    order = [F.col("o_totalprice").desc_nulls_last(), F.col("o_orderkey").asc()]
+    return with_position(o, order).select("o_orderkey", "o_totalprice", "POSITION")
+
+
+SAMPLE_ROWS, SAMPLE_SEED = 250, 11
+
+
+def sample_exact(spark, root):
+    """A sample of an exact size that any partitioning of the input gives."""
+    c = catalog(spark, root).inputs["orders"].select("o_orderkey", "o_custkey", "o_totalprice")
+    return sample_rows(c, "o_orderkey", SAMPLE_ROWS, SAMPLE_SEED)
+
+
 def _encounter_view(raw):
     return silver.encounter_silver(Given({"bronze.raw_encounters": raw}))
 
@@ -669,6 +691,8 @@ OPERATOR_QUERIES = {
     "tenant_scope": tenant_scope,
     "partition_pruned_year": partition_pruned_year,
     "change_feed_diff": change_feed_diff,
+    "order_position": order_position,
+    "sample_exact": sample_exact,
     "incr_rowwise_equals_full": incr_rowwise_equals_full,
     "incr_aggregate_equals_full": incr_aggregate_equals_full,
     "scalar_string": scalar_string,
