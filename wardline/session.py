@@ -21,6 +21,12 @@ DEFAULT_CONF = {
     # two others on the same key, as in the ward board).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A join whose filtered side is too large to broadcast still reduces the
+    # other side before its shuffle, by a Bloom filter of the keys (8 MB at
+    # most). Spark only tries for scans of over 10 GB and sides of under 10 MB.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     # The JVM does not compile methods of over 8,000 bytes of bytecode, and wide
     # cleansing projections generate such: they ran interpreted, several times
     # slower. Beyond the limit Spark splits the work into smaller methods.
