@@ -58,7 +58,7 @@ class Check:
         """
         p = self.condition
         if self.computed:
-            return F.coalesce(p, F.lit(self.null_policy == "pass"))
+            return self.passes_once
         if self.null_policy == "pass":
             if self.null_columns:
                 is_null = None
@@ -68,6 +68,12 @@ class Check:
             return p | p.isNull()
         return p & p.isNotNull()
 
+    @property
+    def passes_once(self) -> Column:
+        """The same with one copy of the predicate, for values that are made in
+        the same plan; a parquet scan cannot evaluate this form."""
+        return F.coalesce(self.condition, F.lit(self.null_policy == "pass"))
+
     @property
     def violates(self) -> Column:
         return ~self.passes

@@ -84,12 +84,15 @@ def sql_view(name: str, sql: str, inputs, comment: str = "", checks=(), partitio
     return view(name, inputs, comment, checks, partition_by, uses_as_of)(fn)
 
 
-def enforce(df: DataFrame, checks) -> DataFrame:
-    """Keep rows passing every ``drop`` check (a plain, pushable filter)."""
+def enforce(df: DataFrame, checks, stored: bool = True) -> DataFrame:
+    """Keep rows passing every ``drop`` check: a plain filter, which a scan can
+    evaluate if the view reads ``stored`` tables; else the values are made in the
+    same plan, and each check names them once."""
     cond = None
     for c in checks:
         if c.action == "drop":
-            cond = c.passes if cond is None else (cond & c.passes)
+            one = c.passes if stored else c.passes_once
+            cond = one if cond is None else (cond & one)
     return df if cond is None else df.where(cond)
 
 
@@ -165,7 +168,7 @@ class Catalog:
     def build(self, name: str) -> DataFrame:
         """The view's query with its drop-checks applied (lazy)."""
         spec = VIEWS[name]
-        return enforce(spec.fn(self), spec.checks)
+        return enforce(spec.fn(self), spec.checks, stored=any(self.is_written(i) for i in spec.inputs))
 
 
 class Given:
