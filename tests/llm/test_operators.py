@@ -345,12 +345,22 @@ def test_extraction(spark):
 
 
 def test_chat(spark):
+    long = "One two three four five. Six seven eight nine. Ten eleven"
     turns = [(1, 0, "u", "Hello there my friend\nHow are you?"), (1, 1, "a", "> How are you?\nFine thanks\nand you"),
-             (1, 2, "u", "On Monday x wrote:\n> Hello there my friend\nAnother reply"), (1, 3, "a", ">> How are you?\n> Fine  THANKS\nok"),
-             (None, None, None, None), (1, 3, "a", "> nothing known"), (2, 0, "u", "a\n> b"), (2, 0, "u", "a\n> b")]
+             (1, 2, "u", "On Monday x wrote:\n> Hello there my friend\nAnother reply"),
+             (1, 3, "a", ">> How are you?\n> Fine  THANKS\nok"),
+             (None, None, None, None), (1, 3, "a", "> nothing known"), (2, 0, "u", "a\n> b"), (2, 0, "u", "a\n> b"),
+             # wrapped anew; only the second level known; a sentence of a passage; a passage quoted twice
+             (3, 0, "u", f"{long}\n\nOther words here."), (3, 1, "a", "Mine."),
+             (3, 2, "u", "He wrote:\n> One two three\n> four five. Six seven\n> eight nine.\n> Ten eleven\n\nYes"),
+             (3, 3, "a", "> not known\n>> Other words\n>> here.\nNo"), (3, 4, "u", "> Six seven\n> eight nine.\nSo"),
+             (3, 5, "a", f"> she wrote:\n>> {long}\n>\n> Yes\nWell"), (3, 6, "u", f">>> {long}\n\n>> Yes"),
+             (4, 0, "u", ""), (4, 1, "a", "> " + "long line " * 30_000), (4, 2, "u", ">" * 200 + " deep"), (4, 2, "u", "> >  >")]
     table = spark.createDataFrame([(*t, 1, 2) for t in turns], "conv_id long, turn int, role string, text string, position int, own int")
     links = rows(chat.quotation_links(chat.ranked_messages(table)))
-    assert sorted(links) == [("1", 1, 1, 0, 1), ("1", 2, 1, 0, 1), ("1", 4, 1, 1, 1), ("1", 4, 2, 0, 1)]
+    assert sorted(links) == [("1", 1, 1, 0, 3), ("1", 2, 1, 0, 4), ("1", 4, 1, 1, 2), ("1", 4, 2, 1, 3),
+                             ("3", 2, 1, 0, 11), ("3", 3, 2, 0, 3), ("3", 4, 1, 0, 4), ("3", 5, 1, 2, 1), ("3", 5, 2, 2, 11),
+                             ("3", 6, 2, 5, 1), ("3", 6, 3, 5, 11)]
     con = __import__("duckdb").connect()
     con.execute("create table conversations (conv_id bigint, turn int, role varchar, text varchar)")
     con.executemany("insert into conversations values (?, ?, ?, ?)", turns)
