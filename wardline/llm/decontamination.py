@@ -6,11 +6,13 @@ windows of n shingles of the documents:
 1. Only windows that hold one of the item's first and one of its last few
    shingles are formed. An item similar to a window lacks so few of its
    shingles there that each of these two groups must be represented, so this
-   loses no match.
+   loses no match. A window is a candidate for the items that formed it only.
 2. Windows and items get 64-bit SimHashes over their shingles (repeats count).
    The bits are cut into blocks; items are expanded to all values within a
    block radius, so every pair within ``BLOCKS * (BLOCK_RADIUS + 1) - 1`` bits
-   meets in a block (pigeonhole), and then the whole distance is checked.
+   meets in a block (pigeonhole), and then the whole distance is checked. The
+   item is part of the block's key: items of one length do not meet each
+   other's windows, however many there are.
 3. Exact weighted-shingle similarity (sum of least over sum of greatest
    counts) decides.
 """
@@ -30,7 +32,7 @@ BLOCKS = 8
 BLOCK_BITS = 8
 BLOCK_RADIUS = 2
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1  # all pairs up to here are found
-BROADCAST_ROWS = 500_000  # benchmark rows that may be broadcast; beyond, Spark shuffles
+BROADCAST_BYTES = 32 << 20  # of benchmark data that may be broadcast; beyond, Spark shuffles
 
 
 def shingle_hashes(word_array: Column, width: int = WIDTH) -> Column:
@@ -81,10 +83,10 @@ def _masks() -> list[int]:
     return [m for m in range(1 << BLOCK_BITS) if m.bit_count() <= BLOCK_RADIUS]
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` marked for broadcast if its counted ``rows`` are within bounds;
-    else Spark joins it by shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _small(df: DataFrame, size: int) -> DataFrame:
+    """``df`` marked for broadcast if its measured ``size`` in bytes is within
+    bounds; else Spark joins it by shuffle."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def _shared(a: Column, b: Column) -> Column:
@@ -118,29 +120,29 @@ def matches(df: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     ends = texts.select("item", "n", F.explode(F.array(
         F.struct(F.lit(1).alias("side"), F.slice("hs", 1, need).alias("part")),
         F.struct(F.lit(2).alias("side"), F.slice("hs", F.col("n") - need + 1, need).alias("part")))).alias("e"))
-    seeds = (ends.select("item", F.col("n").alias("n"), F.col("e.side").alias("side"), F.explode("e.part").alias("h"))
-                 .groupBy("h").agg(F.collect_set(F.struct("item", "n", "side")).alias("of")).checkpoint())
-    held, n_seeds = texts.checkpoint(), seeds.count()
-    n_items = held.count()
-    seeds = _small(seeds, n_seeds)
+    seeds = (ends.select("item", "n", "e.side", F.explode("e.part").alias("h"))
+                 .groupBy("h", "item", "n").agg(F.bit_or("side").alias("side")).checkpoint())
+    held, items = texts.checkpoint(), items.select("item", "item_id").checkpoint()
+    row = 48  # bytes of a row of a few numbers, with its overhead
+    seeds = _small(seeds, seeds.count() * row)
+    n_texts, n_shingles = held.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
 
     hashed = docs.select("doc_id", "copy", shingle_hashes(words(F.col("text"))).alias("hs"))
     at = hashed.select("doc_id", "copy", F.size("hs").alias("len"), F.posexplode("hs").alias("p", "h"))
-    hits = at.join(seeds, "h").select("doc_id", "copy", "len", "p", F.explode("of").alias("o")).select(
-        "doc_id", "copy", "len", "p", "o.item", "o.n", "o.side")
+    hits = at.join(seeds, "h")
     # every window of the item's size that holds this seed
     last = F.greatest(F.col("len") - F.col("n"), F.lit(0))
     spread = hits.select("doc_id", "copy", "item", "n", "side", F.explode(F.sequence(
         F.least(F.greatest(F.col("p") - F.col("n") + 1, F.lit(0)), last), F.least("p", last))).alias("s"))
     windows = (spread.groupBy("doc_id", "copy", "item", "n", "s").agg(F.bit_or("side").alias("sides"))
-                     .where("sides = 3").select("doc_id", "copy", "n", "s").distinct())
+                     .where("sides = 3"))
     per_doc = windows.groupBy("doc_id", "copy", F.floor(F.col("s") / 4096).alias("_stretch")).agg(
-        F.collect_list(F.struct("s", "n")).alias("ws"))
+        F.collect_list(F.struct("s", "n", "item")).alias("ws"))
     with_hits = (docs.join(per_doc.withColumnsRenamed({"doc_id": "_d", "copy": "_c"}),
                            docs["doc_id"].eqNullSafe(F.col("_d")) & (docs["copy"] == F.col("_c")))
                      .select("doc_id", "copy", "ws", shingle_hashes(words(F.col("text"))).alias("hs")))
     cut = (with_hits.select("doc_id", "copy", "hs", F.explode("ws").alias("w"))
-                    .select("doc_id", "copy", F.col("w.s").alias("s"), F.col("w.n").alias("n"),
+                    .select("doc_id", "copy", F.col("w.s").alias("s"), F.col("w.n").alias("n"), "w.item",
                             F.slice("hs", F.col("w.s") + 1, F.col("w.n")).alias("hs")))
     # a window's content is worked on once, however many documents hold it
     cut = cut.withColumn("win", F.xxhash64("hs", F.size("hs"))).checkpoint()
@@ -151,18 +153,19 @@ def matches(df: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     keys = (item_fps.select("item", "n", F.col("fp").alias("ifp"), F.posexplode(blocks).alias("k", "own"))
                     .withColumn("mask", F.explode(F.array(*map(F.lit, _masks()))))
                     .select("item", "n", "ifp", "k", F.col("own").bitwiseXOR(F.col("mask")).alias("v")))
-    probes = fps.select("win", "n", "fp", F.posexplode(blocks).alias("k", "v"))
-    near = (probes.join(_small(keys, n_items * BLOCKS * len(_masks())), ["n", "k", "v"])
+    candidates = cut.select("item", "n", "win").distinct()
+    probes = candidates.join(fps, ["win", "n"]).select("item", "n", "win", "fp", F.posexplode(blocks).alias("k", "v"))
+    near = (probes.join(_small(keys, n_texts * BLOCKS * len(_masks()) * row), ["item", "n", "k", "v"])
                   .withColumn("bits", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))))
                   .where(F.col("bits") <= RADIUS).select("win", "n", "item", "bits").distinct())
     pairs = (near.join(contents, ["win", "n"])
-                 .join(_small(held.select("item", "n", F.col("hs").alias("ihs")), n_items), ["item", "n"]))
+                 .join(_small(held.select("item", "n", F.col("hs").alias("ihs")), n_texts * row + n_shingles * 8), ["item", "n"]))
     common = _shared(F.col("hs"), F.col("ihs"))
     alike = (pairs.withColumn("common", common)
                   .withColumn("similarity", F.col("common") / (F.size("hs") + F.size("ihs") - F.col("common")))
                   .where(F.col("similarity") >= similarity).select("win", "n", "item", "bits", "similarity"))
-    found = (cut.select("doc_id", "s", "n", "win").join(alike, ["win", "n"])
-                .join(_small(items.select("item", "item_id"), n_items), "item"))
+    found = (cut.select("doc_id", "s", "n", "win", "item").join(alike, ["item", "win", "n"])
+                .join(_small(items, items.count() * row), "item"))
     best = found.groupBy("doc_id", "item_id").agg(F.min(F.struct(
         (-F.col("similarity")).alias("minus"), "s", "n", "bits")).alias("w"))
     return best.select("doc_id", "item_id", F.col("w.s").cast("long").alias("start"),
