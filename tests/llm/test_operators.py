@@ -218,6 +218,24 @@ def test_suffix_arrays(spark, documents, odd_docs, no_docs):
     assert q.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] and q.count() == len(documents)
 
 
+def test_repeats_with_ids_at_the_limits_and_shared(spark, documents):
+    """The largest and smallest ids, NULL ids, one id for many rows: texts that
+    repeat each other in part, whole, and not at all."""
+    top, base = (1 << 63) - 1, " ".join(t for _, t, _ in documents[:40] if t).split()
+    text = lambda a, n=70: " ".join(base[a:a + n])
+    docs = [(top, text(0)), (None, text(0)), (None, text(10)), (top - 1, text(5)), (top - 3, text(300)), (-top - 1, text(340)),
+            (None, text(300)), (5, text(600)), (5, text(610)), (7, text(590)), (top, text(620)), (top, text(900)), (None, ""), (None, None)]
+    docs += [(None, text(900 + 3 * (k % 5))) for k in range(40)] + [(5, text(1200 + k % 3)) for k in range(30)] + [(6, text(1210))]
+    for own in (docs, [d for d in docs if d[0] != top]):
+        table = spark.createDataFrame(own, "doc_id long, text string").repartition(4)
+        hashed = lambda k: hashlib.sha256(k).hexdigest()
+        want = sorted(((i, n, g, hashed(b" ".join(k))) for i, n, g, _, k in
+                       removed_by_windows(own, lambda t: [w.encode() for w in words(t)])), key=str)
+        assert sorted(rows(substrings.remove(table).select("doc_id", "n_words", "n_removed", "kept_sha256")), key=str) == want
+        want = sorted(((i, n, g, hashed(bytes(k))) for i, n, g, _, k in removed_by_windows(own, lambda t: (t or "").encode())), key=str)
+        assert sorted(rows(suffixes.remove(table).select("doc_id", "n_bytes", "n_removed", "kept_sha256")), key=str) == want
+
+
 def line_classes(docs, tau=2, near=48):
     """{(id, line number): first place of its class} by all pairs: lines of
     ``near`` characters and more within ``tau`` edits, shorter ones that are not

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text
@@ -28,22 +28,41 @@ CHUNK = 1 << 20  # elements worked on at a time
 ROWS = 1000  # texts held as Python objects at a time
 BATCH = 2500  # texts whose entries are sorted together
 LAST = (1 << 63) - 1
+ID_BUCKETS = 1 << 16
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _POS = np.uint64((1 << 24) - 1)
 MARKER, SURE = 64, 128
 
 
-def documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(ord, rid, text): ord is the doc_id that documents are ordered by, the
-    largest long for NULL; rid, a hash of the text, tells rows with one doc_id
-    apart. Every join uses these columns and ord, so the texts are shuffled
-    once for all of them."""
-    return id_text(df, id_col, text_col).select(
-        F.coalesce("doc_id", F.lit(LAST)).alias("ord"), F.hash("text").alias("rid"), "text")
-
-
-def doc_id() -> "F.Column":
-    return F.when(F.col("ord") != LAST, F.col("ord")).alias("doc_id")
+def documents(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column]:
+    """((ord, rid, text), doc_id): ord is what documents are ordered by, the
+    largest long for NULL and the doc_id for others; doc_id gives it back. If a
+    doc_id is that long itself, the ids above the largest unused number move
+    down by one. rid tells rows of one doc_id apart: a hash of the text, or 0
+    where the id has one row. Joins are by (ord, rid), so the texts are shuffled
+    once for all of them, and rows that share an id are spread.
+
+    Which ids have several rows is known by a table of ``ID_BUCKETS`` marks,
+    whatever the input's size; a mark that an id shares with another only
+    gives it a hash it does not need."""
+    docs = id_text(df, id_col, text_col)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BUCKETS)).cast("int")
+    several = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(place.alias("p")).distinct().collect()
+    rid = F.lit(0).cast("long")
+    if several:
+        marks = bytearray(ID_BUCKETS)
+        for r in several:
+            marks[r["p"]] = 1
+        mark = F.substring(F.lit(marks), place + 1, F.lit(1))
+        rid = F.when(mark == F.lit(bytearray(b"\x01")), F.xxhash64("text")).otherwise(rid)
+    order, back = F.col("doc_id"), F.when(F.col("ord") != LAST, F.col("ord"))
+    if docs.agg(F.max("doc_id")).first()[0] == LAST:
+        ids = docs.select("doc_id").where("doc_id is not null").distinct()
+        below = ids.where(F.col("doc_id") > -LAST - 1).select((F.col("doc_id") - 1).alias("v"))
+        unused = below.join(ids.withColumnRenamed("doc_id", "v"), "v", "left_anti").agg(F.max("v")).first()[0]
+        order = F.when(order > unused, order - 1).otherwise(order)
+        back = F.when(F.col("ord") == LAST, None).when(F.col("ord") >= unused, F.col("ord") + 1).otherwise(F.col("ord"))
+    return docs.select(F.coalesce(order, F.lit(LAST)).alias("ord"), rid.alias("rid"), "text"), back.alias("doc_id")
 
 
 def parts_for(docs: DataFrame, of: int = PART_BYTES) -> int:
@@ -114,8 +133,8 @@ def runs(h: np.ndarray, ends: np.ndarray, window: int, gram: int, chunk: int = C
         yield first + s, count, sel[first] + s, g[sel[first]]
 
 
-# One packed row: what one batch has for one part. ``wide`` rows carry rid and
-# whole 64-bit keys, others 32 bits of the key: with the part, which grows in
+# One packed row: what one batch has for one part. ``wide`` rows carry whole
+# 64-bit keys, others 32 bits of the key: with the part, which grows in
 # number with the input, enough to tell which grams may repeat.
 
 def pack_part(order, rid, pos, n, off, key, wide: bool) -> bytes:
@@ -125,9 +144,7 @@ def pack_part(order, rid, pos, n, off, key, wide: bool) -> bytes:
     order, rid, pos, n, off, key = order[k], rid[k], pos[k], n[k], off[k], key[k]
     steps = np.diff(order, prepend=np.int64(0))
     parts = [steps.astype("<i8").tobytes(), pos.astype("<u4").tobytes(), n.astype(np.uint8).tobytes(),
-             off.astype(np.uint8).tobytes()]
-    if wide:
-        parts.append(rid.astype("<i4").tobytes())
+             off.astype(np.uint8).tobytes(), rid.astype("<i8").tobytes()]
     short = zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
     keys = key.astype("<u8") if wide else (key >> np.uint64(32)).astype("<u4")
     return b"".join((np.array([len(k), len(short)], dtype="<u4").tobytes(), short, keys.tobytes()))
@@ -141,7 +158,7 @@ def unpack_part(data: bytes, wide: bool) -> tuple:
     pos = np.frombuffer(raw, "<u4", count, 8 * count).astype(np.int64)
     n = np.frombuffer(raw, np.uint8, count, 12 * count).astype(np.int64)
     off = np.frombuffer(raw, np.uint8, count, 13 * count).astype(np.int64)
-    rid = np.frombuffer(raw, "<i4", count, 14 * count) if wide else np.zeros(count, dtype=np.int32)
+    rid = np.frombuffer(raw, "<i8", count, 14 * count)
     key = np.frombuffer(data, "<u8" if wide else "<u4", count, 8 + size).astype(np.uint64)
     return order, rid, pos, n, off, key
 
@@ -150,7 +167,13 @@ def deal(order, rid, pos, n, off, key, parts: int, later: bool) -> pa.RecordBatc
     """Entries of one batch as rows (part, data). ``later``: only entries with
     a smaller document under their key are asked for in the end, else all
     entries under a key of two documents."""
-    k = np.lexsort((order, key))
+    if rid.any():  # rows that share an id may be copies of each other: one of them is enough
+        k = np.lexsort((pos, rid, order, key))
+        one = np.ones(len(k), dtype=bool)
+        one[1:] = np.logical_or.reduce([x[k][1:] != x[k][:-1] for x in (pos, rid, order, key)])
+        k = k[one]
+    else:
+        k = np.lexsort((order, key))
     order, rid, pos, n, off, key = order[k], rid[k], pos[k], n[k], off[k], key[k]
     new = np.ones(len(k), dtype=bool)
     new[1:] = key[1:] != key[:-1]
@@ -167,7 +190,7 @@ def deal(order, rid, pos, n, off, key, parts: int, later: bool) -> pa.RecordBatc
         off = np.concatenate([off, np.full(len(mark), MARKER)])
         sure[len(k):] = False
     off = off | np.where(sure, SURE, 0)
-    spread = mix(key ^ order.astype(np.uint64), pos.astype(np.uint64))
+    spread = mix(key ^ order.astype(np.uint64) ^ rid.astype(np.uint64), pos.astype(np.uint64))
     part = (np.where(sure, spread, mix(key, key)) >> np.uint64(11)) % np.uint64(parts)
     k = np.argsort(part, kind="stable")
     ids, first = np.unique(part[k], return_index=True)
@@ -180,9 +203,9 @@ DEALT = "part int, data binary"
 
 
 def shared(dealt: DataFrame, later: bool) -> DataFrame:
-    """(ord, at) of the entries that repeat: under a key that two documents
+    """(ord, rid, at) of the entries that repeat: under a key that two documents
     have, packed as pos << 16 | n << 8 | off, or with ``later`` under one that
-    a smaller document has, packed as pos << 32 | rid (single windows)."""
+    a smaller document has, the position alone (single windows)."""
 
     def look(t: pa.Table) -> pa.Table:
         got = [unpack_part(x, later) for c in t.column("data").chunks for x in c.to_pylist()]
@@ -206,33 +229,26 @@ def shared(dealt: DataFrame, later: bool) -> DataFrame:
             keep = keep.copy()
             keep[k] = hit
         keep &= ~marker
-        order, pos = order[keep], pos[keep]
-        if later:
-            at = pos << 32 | (rid[keep].astype(np.int64) & 0xFFFFFFFF)
-        else:
-            at = pos << 16 | n[keep] << 8 | (off[keep] & (MARKER - 1))
-        out = pa.table({"ord": order, "at": at})
+        order, rid, pos = order[keep], rid[keep], pos[keep]
+        at = pos if later else pos << 16 | n[keep] << 8 | (off[keep] & (MARKER - 1))
+        out = pa.table({"ord": order, "rid": rid, "at": at})
         del got, order, rid, pos, n, off, key, keep, k, loose, at
         let_go()
         return out
 
-    return dealt.groupBy("part").applyInArrow(look, "ord long, at long")
+    return dealt.groupBy("part").applyInArrow(look, "ord long, rid long, at long")
 
 
 def per_document(found: DataFrame) -> DataFrame:
-    """(ord, at): each document's entries."""
-    return found.groupBy("ord").agg(F.collect_list("at").alias("at"))
+    """(ord, rid, at): each text's entries, no more than it has places however
+    many rows are copies of it."""
+    return found.groupBy("ord", "rid").agg(F.collect_set("at").alias("at"))
 
 
 def unpack_at(at: np.ndarray) -> tuple:
     return at >> 16, (at >> 8) & 255, at & 255
 
 
-def starts_of(at: np.ndarray, rid: int) -> np.ndarray:
-    """The window starts of one row, in order, from entries of its doc_id."""
-    return np.unique(at[(at & 0xFFFFFFFF) == (rid & 0xFFFFFFFF)] >> 32)
-
-
 def groups_of(sizes: list[int], most: int):
     """Slices of texts whose elements add up to about ``most`` (one text at least)."""
     begin, total = 0, 0

@@ -52,7 +52,7 @@ def _entries(words_of, order, rid, masks, window: int, gram: int):
             for b, spans in zip(begins.tolist(), masks[part], strict=True):
                 pos, n, _ = R.unpack_at(spans)
                 for p, k in zip(pos.tolist(), n.tolist(), strict=True):
-                    left[b + p: b + p + k] = True  # may go beyond the text where rows share a doc_id
+                    left[b + p: b + p + k] = True
         for first, count, _, key in R.runs(h, ends, window, gram, mask=left):
             d = np.searchsorted(ends, first, side="right")
             pos = first - begins[d]
@@ -60,12 +60,12 @@ def _entries(words_of, order, rid, masks, window: int, gram: int):
 
 
 def find(docs: DataFrame, window: int, parts: int) -> DataFrame:
-    """(ord, at) of the windows that a smaller document has too."""
+    """(ord, rid, at) of the windows that a smaller document has too."""
     lengths = levels(window)
     at = None
     for gram in lengths:
         last = gram == window
-        source = docs if at is None else docs.join(at, "ord")
+        source = docs if at is None else docs.join(at, ["ord", "rid"])
         cols = ["ord", "rid", "text"] + ([] if at is None else ["at"])
 
         def run(batches, gram=gram, last=last, narrowed=at is not None):
@@ -92,18 +92,18 @@ def remove(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col
 
     A word is removed if a window of ``window`` words that covers it also
     starts in a document with a smaller doc_id. NULL and empty texts have no
-    words. A NULL doc_id comes after all others (as the largest long does); rows with one doc_id are never
+    words. A NULL doc_id comes after all others; rows with one doc_id are never
     removed in favour of each other. An empty table gives no rows.
     """
-    docs = R.documents(df, id_col, text_col)
+    docs, doc_id = R.documents(df, id_col, text_col)
     gone = find(docs, window, R.parts_for(docs))
 
     def run(batches):
         for b in (part for whole in batches for part in R.slices(whole)):
             rows = []
-            for doc, rid, text, at in zip(*(b.column(k).to_pylist() for k in range(3)), R.lists(b.column(3)), strict=True):
+            for doc, text, at in zip(*(b.column(k).to_pylist() for k in range(2)), R.lists(b.column(2)), strict=True):
                 ws = text.encode("utf-8", "replace").split()
-                starts = R.starts_of(at, rid)
+                starts = np.sort(at)
                 spans = merged(starts, starts + window) if len(starts) else []
                 kept, upto = [], 0
                 for s, e in spans:
@@ -118,7 +118,7 @@ def remove(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
                                              ["doc_id", "n_words", "n_removed", "spans", "kept_text", "kept_sha256"])
 
-    return (docs.join(gone, "ord", "left").select(R.doc_id(), "rid", "text", "at")
+    return (docs.join(gone, ["ord", "rid"], "left").select(doc_id, "text", "at")
                 .mapInArrow(run, "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, "
                                  "kept_text string, kept_sha256 string"))
 

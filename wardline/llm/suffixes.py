@@ -17,6 +17,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -166,8 +167,7 @@ def _snippets(batches, window: int, gram: int, shards: int):
         for order, rid, text, at in zip(*(b.column(k).to_pylist() for k in range(3)), R.lists(b.column(3)), strict=True):
             raw = text.encode("utf-8", "replace")
             for pos, n, off in zip(*(x.tolist() for x in R.unpack_at(np.sort(at))), strict=True):
-                if pos + n + window - 1 <= len(raw):  # places of another row with this doc_id may lie beyond
-                    classes.setdefault((off, raw[pos:pos + n + window - 1]), []).append((order, rid, pos, n))
+                classes.setdefault((off, raw[pos:pos + n + window - 1]), []).append((order, rid, pos, n))
         settled: dict[tuple, list] = {}
         homes: dict[int, list] = {}
         for (off, snippet), rows in classes.items():
@@ -182,7 +182,8 @@ def _snippets(batches, window: int, gram: int, shards: int):
         if settled:
             stretches = [(order, rid, s, e - s) for (order, rid), own in settled.items()
                          for s, e in merged(*np.array(own, dtype=np.int64).T)]
-            out.append((stretches[0][2] % shards, True, _packed(list(zip(*stretches, strict=True)))))
+            data = _packed(list(zip(*stretches, strict=True)))
+            out.append((zlib.crc32(data) % shards, True, data))  # nothing left to compare: any shard
         for home, rows in homes.items():
             if rows:
                 rows.sort(key=lambda r: r[:3])
@@ -196,7 +197,7 @@ def _snippets(batches, window: int, gram: int, shards: int):
         R.let_go()
 
 
-STRETCHES = "ord long, rid int, begin long, length long"
+STRETCHES = "ord long, rid long, begin long, length long"
 
 
 def _settle(t: pa.Table, window: int, gram: int) -> pa.Table:
@@ -238,18 +239,18 @@ def _settle(t: pa.Table, window: int, gram: int) -> pa.Table:
     cols = list(zip(*out, strict=True)) if out else [[], [], [], []]
     del classes, by_gram, strings, members, out
     R.let_go()
-    return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
+    return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
                      pa.array(cols[3], pa.int64())], names=["ord", "rid", "begin", "length"])
 
 
 def find(docs: DataFrame, window: int, gram: int, parts: int) -> DataFrame:
-    """(ord, at) with at a list of the stretches (rid, begin, length) to remove."""
+    """(ord, rid, at) with at a list of the stretches (begin, length) to remove."""
     dealt = docs.mapInArrow(lambda it: _selected(it, window, gram, parts), R.DEALT)
     places = R.per_document(R.shared(dealt, False))
-    snippets = (docs.join(places, "ord").select("ord", "rid", "text", "at")
+    snippets = (docs.join(places, ["ord", "rid"]).select("ord", "rid", "text", "at")
                     .mapInArrow(lambda it: _snippets(it, window, gram, 2 * parts), SHARDS))
     return (snippets.groupBy("shard").applyInArrow(lambda t: _settle(t, window, gram), STRETCHES)
-                    .groupBy("ord").agg(F.collect_list(F.struct("rid", "begin", "length")).alias("at")))
+                    .groupBy("ord", "rid").agg(F.collect_set(F.struct("begin", "length")).alias("at")))
 
 
 def remove(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,10 +259,10 @@ def remove(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str =
 
     A byte is removed if a string of ``window`` bytes that covers it also
     starts in a document with a smaller doc_id. NULL texts are empty; shorter
-    texts keep all. A NULL doc_id comes after all others (as the largest long does); rows with one doc_id
+    texts keep all. A NULL doc_id comes after all others; rows with one doc_id
     are never removed in favour of each other. An empty table gives no rows.
     """
-    docs = R.documents(df, id_col, text_col)
+    docs, doc_id = R.documents(df, id_col, text_col)
     gone = find(docs, window, gram, R.parts_for(docs))
 
     def run(batches):
@@ -269,9 +270,9 @@ def remove(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str =
         types = [pa.int64(), pa.int64(), pa.int64(), span, pa.binary(), pa.string()]
         for b in (part for whole in batches for part in R.slices(whole)):
             rows = []
-            for doc, rid, text, at in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+            for doc, text, at in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
                 raw = text.encode("utf-8", "replace")
-                own = np.array([(x["begin"], x["begin"] + x["length"]) for x in at or () if x["rid"] == rid], dtype=np.int64)
+                own = np.array([(x["begin"], x["begin"] + x["length"]) for x in at or ()], dtype=np.int64)
                 spans = merged(*own.T) if len(own) else []
                 kept, upto = [], 0
                 for s, e in spans:
@@ -284,6 +285,6 @@ def remove(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str =
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
                                              ["doc_id", "n_bytes", "n_removed", "spans", "kept", "kept_sha256"])
 
-    return (docs.join(gone, "ord", "left").select(R.doc_id(), "rid", "text", "at")
+    return (docs.join(gone, ["ord", "rid"], "left").select(doc_id, "text", "at")
                 .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, "
                                  "kept binary, kept_sha256 string"))
