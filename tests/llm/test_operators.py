@@ -59,7 +59,7 @@ def test_packing(spark, documents, odd_docs, no_docs):
     got = packing.pack(docs, tokenizer_path()).collect()
     used = packed_right([d[:2] for d in documents], got)
     assert used <= 1.03 * sum(r["length"] for r in got) / 2048 + 1
-    odd = packing.pack(odd_docs, tokenizer_path(), shard_docs=5)
+    odd = packing.pack(odd_docs, tokenizer_path(), shard_bytes=3000)
     packed_right(rows(odd_docs.select("doc_id", "text")), odd.collect())
     for r in packing.sequences(odd).collect():
         assert len(r["ids"]) <= 4 * 2048 and r["doc_ids"] is not None

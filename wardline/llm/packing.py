@@ -8,19 +8,21 @@ remaining room: the tightest fit is the leftmost room >= the piece's length
 that any open window has.
 
 Tokenizing runs on Arrow batches. Pieces are dealt at random but repeatably to
-shards of about ``shard_docs`` documents; each shard is packed on its own by
-one task, so memory per task is bounded by the shard, and the shard count grows
-with the input.
+shards of about ``shard_bytes`` of text, however long the documents are; each
+shard is packed on its own by one task, so memory per task is bounded by the
+shard, and the shard count grows with the input.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,8 @@ from .common import id_text
 
 WINDOW = 2048
 END_ID = 1
-SHARD_DOCS = 4096
+SHARD_BYTES = 8 << 20  # text bytes a shard; an empty text counts as DOC_BYTES
+DOC_BYTES = 64
 CACHE_WORDS = 400_000
 
 
@@ -224,10 +227,11 @@ def best_fit_decreasing(lengths, window: int = WINDOW) -> tuple[np.ndarray, np.n
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
-def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
+def _tokenizer(name: str) -> WordTokenizer:
+    """The tokenizer file that the driver sent along (``SparkContext.addFile``)."""
+    if name not in _TOKENIZERS:
+        _TOKENIZERS[name] = WordTokenizer(SparkFiles.get(name))
+    return _TOKENIZERS[name]
 
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
@@ -235,7 +239,10 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
 
 def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """Each document's ids (with the end id) cut into pieces of at most
-    ``window``; ``ids`` are little-endian unsigned 32-bit."""
+    ``window``; ``ids`` are little-endian unsigned 32-bit. Workers get the
+    tokenizer file from the driver."""
+    docs.sparkSession.sparkContext.addFile(tokenizer_path)
+    name = os.path.basename(tokenizer_path)
 
     def documents(tok, b):
         for at in range(0, b.num_rows, 200):
@@ -243,9 +250,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
             yield from zip(part.column(0).to_pylist(), tok.encode_all(part.column(1).to_pylist()), strict=True)
 
     def run(batches):
-        tok = _tokenizer(tokenizer_path)
+        tok = _tokenizer(name)
         tail = np.array([end_id], dtype=np.uint32)
-        names = ["doc_id", "start", "length", "doc_tokens", "ids"]
+        columns = ["doc_id", "start", "length", "doc_tokens", "ids"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for b in batches:
             out: list[list] = [[], [], [], [], []]
@@ -257,15 +264,15 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
                     for col, v in zip(out, (doc, s, len(part), n, part.tobytes()), strict=True):
                         col.append(v)
                 if len(out[0]) > 4000:
-                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], columns)
                     out = [[], [], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], columns)
 
     return docs.mapInArrow(run, PIECES)
 
 
 def pack(df: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID,
-         shard_docs: int = SHARD_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         shard_bytes: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All documents packed: one row per piece with doc_id, start, length,
     doc_tokens, ids (bytes), sequence_id and offset (gapless from 0 in each
     sequence, at most ``window`` in all).
@@ -275,9 +282,10 @@ def pack(df: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int =
     empty table gives no rows. Ties in length go by doc_id, start and ids.
     """
     docs = id_text(df, id_col, text_col)
-    shards = -(-max(1, docs.count()) // shard_docs)
+    size = docs.agg(F.sum(F.octet_length("text").cast("long") + DOC_BYTES)).first()[0] or 0
+    shards = max(1, -(-size // shard_bytes))
     dealt = (pieces(docs, tokenizer_path, window, end_id)
-             .withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "doc_tokens"), F.lit(shards))))
+             .withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "doc_tokens", "ids"), F.lit(shards))))
 
     def fill(key, pdf):
         pdf = pdf.sort_values(["length", "doc_id", "start", "ids"], ascending=[False, True, True, True],
