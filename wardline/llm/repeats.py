@@ -231,6 +231,11 @@ def shared(dealt: DataFrame, later: bool) -> DataFrame:
         keep &= ~marker
         order, rid, pos = order[keep], rid[keep], pos[keep]
         at = pos if later else pos << 16 | n[keep] << 8 | (off[keep] & (MARKER - 1))
+        if rid.any():  # copies of one text have the same entries
+            k = np.lexsort((at, rid, order))
+            one = np.ones(len(k), dtype=bool)
+            one[1:] = np.logical_or.reduce([x[k][1:] != x[k][:-1] for x in (at, rid, order)])
+            order, rid, at = (x[k][one] for x in (order, rid, at))
         out = pa.table({"ord": order, "rid": rid, "at": at})
         del got, order, rid, pos, n, off, key, keep, k, loose, at
         let_go()
@@ -240,9 +245,10 @@ def shared(dealt: DataFrame, later: bool) -> DataFrame:
 
 
 def per_document(found: DataFrame) -> DataFrame:
-    """(ord, rid, at): each text's entries, no more than it has places however
-    many rows are copies of it."""
-    return found.groupBy("ord", "rid").agg(F.collect_set("at").alias("at"))
+    """(ord, rid, at): each text's entries. ``shared`` gives an entry at most
+    twice (from its key's part and from its own) however many rows are copies of
+    the text, so the list is bounded by the text."""
+    return found.groupBy("ord", "rid").agg(F.collect_list("at").alias("at"))
 
 
 def unpack_at(at: np.ndarray) -> tuple:

@@ -170,6 +170,8 @@ def _snippets(batches, window: int, gram: int, shards: int):
                 classes.setdefault((off, raw[pos:pos + n + window - 1]), []).append((order, rid, pos, n))
         settled: dict[tuple, list] = {}
         homes: dict[int, list] = {}
+        if any(b.column(1).to_pylist()):  # copies of one text have the same snippets
+            classes = {k: list(dict.fromkeys(rows)) for k, rows in classes.items()}
         for (off, snippet), rows in classes.items():
             least = min(r[0] for r in rows)
             home = homes.setdefault(xxh3_64_intdigest(snippet[off:off + gram]) % shards, [])
@@ -197,7 +199,7 @@ def _snippets(batches, window: int, gram: int, shards: int):
         R.let_go()
 
 
-STRETCHES = "ord long, rid long, begin long, length long"
+STRETCHES = "ord long, rid long, at long"  # at: begin << 32 | length
 
 
 def _settle(t: pa.Table, window: int, gram: int) -> pa.Table:
@@ -236,21 +238,20 @@ def _settle(t: pa.Table, window: int, gram: int) -> pa.Table:
             if len(gone):
                 for s, e in merged(gone, gone + window):
                     out += [(least, rid, pos + s, e - s) for rid, pos in first]
-    cols = list(zip(*out, strict=True)) if out else [[], [], [], []]
+    cols = [np.array(c, dtype=np.int64) for c in (zip(*out, strict=True) if out else [[], [], [], []])]
     del classes, by_gram, strings, members, out
     R.let_go()
-    return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-                     pa.array(cols[3], pa.int64())], names=["ord", "rid", "begin", "length"])
+    return pa.table({"ord": cols[0], "rid": cols[1], "at": cols[2] << 32 | cols[3]})
 
 
 def find(docs: DataFrame, window: int, gram: int, parts: int) -> DataFrame:
-    """(ord, rid, at) with at a list of the stretches (begin, length) to remove."""
+    """(ord, rid, at) with at the stretches (begin << 32 | length) to remove."""
     dealt = docs.mapInArrow(lambda it: _selected(it, window, gram, parts), R.DEALT)
     places = R.per_document(R.shared(dealt, False))
     snippets = (docs.join(places, ["ord", "rid"]).select("ord", "rid", "text", "at")
                     .mapInArrow(lambda it: _snippets(it, window, gram, 2 * parts), SHARDS))
     return (snippets.groupBy("shard").applyInArrow(lambda t: _settle(t, window, gram), STRETCHES)
-                    .groupBy("ord", "rid").agg(F.collect_set(F.struct("begin", "length")).alias("at")))
+                    .groupBy("ord", "rid").agg(F.collect_set("at").alias("at")))
 
 
 def remove(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,10 +271,10 @@ def remove(df: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str =
         types = [pa.int64(), pa.int64(), pa.int64(), span, pa.binary(), pa.string()]
         for b in (part for whole in batches for part in R.slices(whole)):
             rows = []
-            for doc, text, at in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            for doc, text, at in zip(*(b.column(k).to_pylist() for k in range(2)), R.lists(b.column(2)), strict=True):
                 raw = text.encode("utf-8", "replace")
-                own = np.array([(x["begin"], x["begin"] + x["length"]) for x in at or ()], dtype=np.int64)
-                spans = merged(*own.T) if len(own) else []
+                begin = at >> 32
+                spans = merged(begin, begin + (at & 0xFFFFFFFF)) if len(at) else []
                 kept, upto = [], 0
                 for s, e in spans:
                     kept.append(raw[upto:s])
