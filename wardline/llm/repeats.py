@@ -140,7 +140,7 @@ def runs(h: np.ndarray, ends: np.ndarray, window: int, gram: int, chunk: int = C
 def pack_part(order, rid, pos, n, off, key, wide: bool) -> bytes:
     """Entries sorted by document and position, as bytes."""
     import zstandard  # noqa: PLC0415
-    k = np.lexsort((pos, rid, order))
+    k = np.lexsort((pos, rid, order) if rid.any() else (pos, order))
     order, rid, pos, n, off, key = order[k], rid[k], pos[k], n[k], off[k], key[k]
     steps = np.diff(order, prepend=np.int64(0))
     parts = [steps.astype("<i8").tobytes(), pos.astype("<u4").tobytes(), n.astype(np.uint8).tobytes(),

@@ -233,11 +233,17 @@ def _settle(t: pa.Table, window: int, gram: int) -> pa.Table:
                 strings.append((snippet, rows[0][3], least))
                 members.append(first)
     if strings:
-        for (_, _, least), first, docs in zip(strings, members, earliest(strings, window), strict=True):
-            gone = np.flatnonzero(docs < least)
-            if len(gone):
-                for s, e in merged(gone, gone + window):
-                    out += [(least, rid, pos + s, e - s) for rid, pos in first]
+        found = earliest(strings, window)
+        counts = np.array([len(d) for d in found], dtype=np.int64)
+        leasts = np.array([s[2] for s in strings], dtype=np.int64)
+        gone = np.flatnonzero(np.concatenate(found) < np.repeat(leasts, counts))
+        of = np.repeat(np.arange(len(found)), counts)[gone]
+        which, at = np.unique(of, return_index=True)
+        start = (np.cumsum(counts) - counts)[which]
+        last = np.concatenate([at[1:], [len(gone)]]) - 1 if len(which) else at
+        # a snippet's windows all hold its gram, so those that go are one stretch
+        for k, s, e in zip(which.tolist(), (gone[at] - start).tolist(), (gone[last] - start + window).tolist(), strict=True):
+            out += [(strings[k][2], rid, pos + s, e - s) for rid, pos in members[k]]
     cols = [np.array(c, dtype=np.int64) for c in (zip(*out, strict=True) if out else [[], [], [], []])]
     del classes, by_gram, strings, members, out
     R.let_go()
