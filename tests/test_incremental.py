@@ -126,3 +126,22 @@ def test_small_delta_leaves_the_state_unshuffled(spark, tmp_path):
     assert out.count() == 5000 and out.where("n = 8").count() == 10
     text = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+def test_narrow_rows_are_compared_whole_and_moved_once(spark):
+    kinds = "k string, g string, v decimal(18,2), d date"
+    before = spark.createDataFrame([("a", "x", Decimal("1.00"), None), ("b", "x", Decimal("2.00"), None), ("c", None, None, None),
+                                    (None, "x", Decimal("4.00"), None), ("e", "y", Decimal("5.00"), None)], kinds)
+    after = spark.createDataFrame([("a", "x", Decimal("1.00"), None), ("b", "x", Decimal("2.50"), None), ("c", None, Decimal("0.00"), None),
+                                   (None, "x", None, None), ("f", "y", Decimal("5.00"), None)], kinds)
+    got = inc.change_feed(before, after, ["k", "g"])
+    assert got.columns == ["k", "g", "v", "d", inc.CHANGE_COL]
+    key = lambda r: str(tuple(r))
+    for by_digest in (True, False):
+        want = inc.change_feed(before, after, ["k", "g"], by_digest=by_digest)
+        assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and plan.count("Join") == 1
+    # Text has no bound, so it is still compared by digest.
+    wide = inc.change_feed(before.withColumn("t", F.col("k")), after.withColumn("t", F.col("k")), ["k", "g"])
+    assert "changed-keys" in str(wide.inputFiles())

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 INSERT, DELETE, PRE, POST = "insert", "delete", "update_preimage", "update_postimage"
 CHANGE_COL = "_change_type"
+DIGEST_BYTES = 32
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys, how: str = "inner", right_keys=None) -> DataFrame:
@@ -50,7 +51,22 @@ def row_digest(cols) -> "F.Column":
     return F.md5(F.to_json(F.struct(*[F.col(c) for c in cols])))
 
 
-def change_feed(before: DataFrame, after: DataFrame, keys, compare=None, by_digest: bool = True) -> DataFrame:
+def _narrow(df: DataFrame, cols) -> bool:
+    """Whether the values of ``cols`` take no more room in a row than a digest
+    of them. Only kinds that are equal exactly when their digests are."""
+    room = 0
+    for c in cols:
+        kind = df.schema[c].dataType
+        if kind.typeName() == "decimal":
+            room += 8 if kind.precision <= 18 else 16
+        elif kind.typeName() in ("byte", "short", "integer", "long", "date", "boolean"):
+            room += 8
+        else:
+            return False
+    return room <= DIGEST_BYTES
+
+
+def change_feed(before: DataFrame, after: DataFrame, keys, compare=None, by_digest: bool | None = None) -> DataFrame:
     """Row-level diff of two snapshots with the same columns.
 
     Output: the snapshot columns plus ``_change_type`` in
@@ -58,19 +74,24 @@ def change_feed(before: DataFrame, after: DataFrame, keys, compare=None, by_dige
     are not emitted. Values are compared over ``compare`` columns (default:
     all non-key columns), NULL-safely; a NULL key is a key like any other.
 
-    ``by_digest`` (default): only ``(key, digest)`` pairs go through the full
+    ``by_digest=True``: only ``(key, digest)`` pairs go through the full
     outer join, so the shuffle carries a key and 32 bytes per row instead of
     whole rows; full rows are then fetched for the changed keys only (a join
     with the changed-key set, broadcast by AQE when it is small, which is the
     usual case of a daily diff). The changed-key set is staged in the
     checkpoint folder, so calling this runs one job over the two digests.
     ``by_digest=False`` compares whole rows in the join (exact, lazy,
-    shuffles both snapshots in full).
+    shuffles both snapshots in full, once). By default rows whose values are no
+    wider than a digest are compared whole, others by digest.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = before.columns
     vals = [c for c in cols if c not in keys]
     compare = list(compare) if compare else vals
+    if by_digest is None:
+        if all(_narrow(df, vals) for df in (before, after)):
+            return _change_feed_narrow(before, after, keys, cols, compare)
+        by_digest = True
     if by_digest:
         return _change_feed_by_digest(before, after, keys, cols, compare)
     b = before.select(*keys, F.struct(*cols).alias("_b"), F.lit(True).alias("_in_b"))
@@ -78,6 +99,28 @@ def change_feed(before: DataFrame, after: DataFrame, keys, compare=None, by_dige
     return _changes(join_null_safe(b, a, keys, "full_outer"), cols, compare)
 
 
+def _change_feed_narrow(before, after, keys, cols, compare) -> DataFrame:
+    """One full outer join of rows whose values are few bytes: each row is moved
+    once, its keys are not repeated, and columns nobody reads are pruned."""
+    vals = [c for c in cols if c not in keys]
+
+    def side(df, tag):
+        return df.select(*keys, *[F.col(c).alias(f"_{tag}_{c}") for c in vals], F.lit(True).alias(f"_in_{tag}"))
+
+    j = join_null_safe(side(before, "b"), side(after, "a"), keys, "full_outer")
+    in_b, in_a = F.col("_in_b").isNotNull(), F.col("_in_a").isNotNull()
+    same = F.lit(True)
+    for c in compare:
+        if c not in keys:
+            same = same & F.col(f"_b_{c}").eqNullSafe(F.col(f"_a_{c}"))
+    kinds = (F.when(in_b & ~in_a, F.array(F.lit(DELETE))).when(~in_b & in_a, F.array(F.lit(INSERT)))
+              .when(~same, F.array(F.lit(PRE), F.lit(POST))))
+    old = F.col(CHANGE_COL).isin(DELETE, PRE)
+    each = j.select("*", F.explode(kinds).alias(CHANGE_COL))
+    return each.select(*[F.col(c) if c in keys else F.when(old, F.col(f"_b_{c}")).otherwise(F.col(f"_a_{c}")).alias(c) for c in cols],
+                       CHANGE_COL)
+
+
 def _changes(j: DataFrame, cols, compare) -> DataFrame:
     """The change rows of two snapshots joined in full by key (``_b``, ``_in_b``,
     ``_a``, ``_in_a``)."""

@@ -20,7 +20,7 @@ def delta_available(spark: SparkSession) -> bool:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
-                change_feed: bool = False, rebalance: bool = True) -> None:
+                change_feed: bool = False, rebalance: bool = True, compression: str | None = None) -> None:
     """Overwrite the table at ``path`` (schema may change between runs).
 
     ``partition_by`` lays files out by value so filters on those columns
@@ -29,6 +29,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
     each folder gets a few large files instead of one small file per task,
     and AQE splits a value that holds a large share of the rows (one year,
     one big insurer) across several tasks instead of one.
+    ``compression`` is the files' codec, the session's by default.
     With ``fmt="delta"`` the table's change data feed can be switched on;
     other formats have none (use
     :func:`wardline.operators.incremental.change_feed` between snapshots).
@@ -36,6 +37,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(),
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").format(fmt)
+    if compression:
+        w = w.option("compression", compression)
     if fmt == "delta":
         w = w.option("overwriteSchema", "true")
         if change_feed:
@@ -52,10 +55,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return fs.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df: DataFrame, name: str, partition_by=(), fmt: str = "parquet") -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by=(), fmt: str = "parquet",
+                compression: str | None = None) -> DataFrame:
     """Write ``df`` to scratch storage and read it back: the result's plan
     starts at the written files (survives executor loss, no recomputation)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    write_table(df, path, fmt=fmt, partition_by=partition_by)
+    write_table(df, path, fmt=fmt, partition_by=partition_by, compression=compression)
     return spark.read.format(fmt).load(path)
