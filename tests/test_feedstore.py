@@ -129,3 +129,17 @@ def test_empty_feed(spark, rows, tmp_path):
     feed = feedstore.open_feed(spark, p, rows.schema)
     assert feedstore.poll(feed, "ts", "k", limit=5, digest=feedstore.digests(feed, COLS)).count() == 0
     assert feedstore.removed_from_feed(feed, feed, COLS, "k").count() == 0
+
+
+def test_append_only_check_cleanses_the_lab_lines_once(spark, small_root, monkeypatch):
+    from wardline.plans import operator_queries  # noqa: PLC0415
+    fed = []
+
+    def recorded(rows, *args, **kw):
+        fed.append(rows.inputFiles())
+        return write_feed(rows, *args, **kw)
+
+    write_feed = feedstore.write_feed
+    monkeypatch.setattr(feedstore, "write_feed", recorded)
+    operator_queries.feed_append_only_check(spark, small_root)
+    assert len(fed) == 2 and not any("lineitem" in f for files in fed for f in files)
