@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from wardline.llm import extraction, lines, packing, quality, repeats, simhash, suffixes, toxicity
 from wardline.llm.queries import tokenizer_path
@@ -230,3 +231,20 @@ def test_names_do_not_cut_the_content():
     for more in (beside, "<form><p>Your name and your address, please.</p></form>", "<nav>Where you are now</nav>"):
         assert extraction.main_text(f"<main>{ps}{more}</main>") == want, more
     assert extraction.main_text(f"<div>{ps}</div>{beside}").startswith(want)
+
+
+def test_toxicity_takes_texts_in_parts_of_bounded_size():
+    texts = ["a"] * 1203 + ["x" * (3 * toxicity.PART_BYTES), "b", "é" * (toxicity.PART_BYTES // 2), "c"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    got = list(toxicity.parts(batch, 1))
+    assert [t for _, part in got for t in part] == texts
+    assert [at for at, _ in got] == [0, 500, 1000, 1203, 1204, 1205, 1206]
+    assert list(toxicity.parts(batch.slice(0, 0), 1)) == []
+
+
+def test_a_worker_forgets_the_words_of_a_task():
+    tok = packing.WordTokenizer(tokenizer_path())
+    once = [x.tolist() for x in tok.encode_all(["one two three", ""])]
+    tok.forget()
+    assert not tok.index and tok.used == 0
+    assert [x.tolist() for x in tok.encode_all(["one two three", ""])] == once

@@ -26,13 +26,13 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text
+from .common import give_back, id_text
 
 WINDOW = 2048
 END_ID = 1
 SHARD_BYTES = 8 << 20  # text bytes a shard; an empty text counts as DOC_BYTES
 DOC_BYTES = 64
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 
 class WordTokenizer:
@@ -103,6 +103,12 @@ class WordTokenizer:
         self.pool = np.zeros(1 << 18, dtype=np.uint32)
         self.used = 0
 
+    def forget(self) -> None:
+        """Give up the words of a task: the worker stays and does other steps,
+        beside which they would lie in its memory."""
+        self._reset()
+        give_back()
+
     def _exact(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
@@ -267,6 +273,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
                     yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], columns)
                     out = [[], [], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], columns)
+        tok.forget()
 
     return docs.mapInArrow(run, PIECES)
 

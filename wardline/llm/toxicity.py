@@ -21,10 +21,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, id_text
+from .common import SPACE, WORD, give_back, id_text
 
 MAX_DOCS = 8192  # labelled documents that the model learns from, at most
 MAX_MARKS = 20_000  # words and beginnings that mark toxic documents, at most
@@ -35,7 +36,9 @@ FOLDS = 5
 MARK_LOG_ODDS = 3.0
 MARK_SHARE = 0.01
 MARK_EVIDENCE = 10.0  # a mark by chance alone is no likelier than exp of minus this
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
+PART_ROWS, PART_BYTES = 500, 1 << 20  # documents tagged at once, and their text: a long one goes alone
+PART_SEGMENTS = 2000  # segments that a task holds before it gives them on
 STRIP = ".,!?;:\"'()[]|*-_#$%&@+=<>/"
 FLOOR = 1e-9
 
@@ -163,6 +166,19 @@ class Model:
         return out
 
 
+def parts(batch: pa.RecordBatch, column: int):
+    """(first row, texts) of a batch in parts of bounded rows and bytes of text."""
+    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    at, room = 0, PART_BYTES
+    for k, n in enumerate(sizes):
+        if k > at and (k - at == PART_ROWS or n > room):
+            yield at, batch.column(column).slice(at, k - at).to_pylist()
+            at, room = k, PART_BYTES
+        room -= n
+    if sizes:
+        yield at, batch.column(column).slice(at).to_pylist()
+
+
 def curve_inputs(top: float, expected: float) -> list[float]:
     top = min(max(top, FLOOR), 1 - FLOOR)
     return [1.0, float(np.log(top / (1 - top))) / 4, float(np.log1p(expected))]
@@ -261,9 +277,16 @@ def learn(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_mark
 
     def cut(batches):
         names = ["copy", "at", "feats", "tags", "hit"]
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
+
+        out: list[list] = [[] for _ in names]
         for b in batches:
-            out: list[list] = [[] for _ in names]
-            for copy, text, toxic in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            rows = ((b.column(0)[at + i].as_py(), text, b.column(2)[at + i].as_py())
+                    for at, texts in parts(b, 1) for i, text in enumerate(texts))
+            for copy, text, toxic in rows:
                 ws = re.findall(WORD, text)
                 tags = [int(bool(toxic) and any(x in lexicon for x in marks_of(w))) for w in ws]
                 for s in range(0, len(ws), SEGMENT):
@@ -272,8 +295,11 @@ def learn(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_mark
                     vals = (copy, s, feats.tobytes(), bytes(own), any(own))
                     for col, val in zip(out, vals, strict=True):
                         col.append(val)
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
+                    if len(out[0]) == PART_SEGMENTS:
+                        yield batch()
+                        out = [[] for _ in names]
+        yield batch()
+        give_back()
 
     segments = sample.mapInArrow(cut, "copy long, at long, feats binary, tags binary, hit boolean")
     rows = []
@@ -307,13 +333,14 @@ def tagged(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         field = shared.value
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                got = field.tag(part.column(1).to_pylist())
+            for at, texts in parts(b, 1):
+                got = field.tag(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], span),
+                    [b.column(0).slice(at, len(texts)), pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], span),
                      pa.array([g[2] for g in got], pa.float64()), pa.array([g[3] for g in got], pa.float64())],
                     ["doc_id", "score", "spans", "top", "expected"])
+        field.cache = {}  # workers are used again: what one task has learnt would stay beside the next step's memory
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, score double, spans array<struct<start:long,end:long>>, top double, expected double")
