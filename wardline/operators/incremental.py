@@ -17,7 +17,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 INSERT, DELETE, PRE, POST = "insert", "delete", "update_preimage", "update_postimage"
@@ -100,25 +100,21 @@ def change_feed(before: DataFrame, after: DataFrame, keys, compare=None, by_dige
 
 
 def _change_feed_narrow(before, after, keys, cols, compare) -> DataFrame:
-    """One full outer join of rows whose values are few bytes: each row is moved
-    once, its keys are not repeated, and columns nobody reads are pruned."""
-    vals = [c for c in cols if c not in keys]
-
-    def side(df, tag):
-        return df.select(*keys, *[F.col(c).alias(f"_{tag}_{c}") for c in vals], F.lit(True).alias(f"_in_{tag}"))
-
-    j = join_null_safe(side(before, "b"), side(after, "a"), keys, "full_outer")
-    in_b, in_a = F.col("_in_b").isNotNull(), F.col("_in_a").isNotNull()
-    same = F.lit(True)
-    for c in compare:
-        if c not in keys:
-            same = same & F.col(f"_b_{c}").eqNullSafe(F.col(f"_a_{c}"))
-    kinds = (F.when(in_b & ~in_a, F.array(F.lit(DELETE))).when(~in_b & in_a, F.array(F.lit(INSERT)))
-              .when(~same, F.array(F.lit(PRE), F.lit(POST))))
-    old = F.col(CHANGE_COL).isin(DELETE, PRE)
-    each = j.select("*", F.explode(kinds).alias(CHANGE_COL))
-    return each.select(*[F.col(c) if c in keys else F.when(old, F.col(f"_b_{c}")).otherwise(F.col(f"_a_{c}")).alias(c) for c in cols],
-                       CHANGE_COL)
+    """Rows whose values are few bytes: both snapshots meet by key in one shuffle,
+    each row moved once. A key that repeats gives what it gives by digest: each
+    of its rows once for every pair of rows that differ (with the key in one
+    snapshot only, for every row)."""
+    rows = before.select(*cols, F.lit(True).alias("_old")).unionByName(after.select(*cols, F.lit(False).alias("_old")))
+    key, alike = Window.partitionBy(*keys), Window.partitionBy(*keys, *[c for c in compare if c not in keys])
+    old = F.col("_old")
+    n = (rows.select("*", F.count_if(old).over(key).alias("_nb"), F.count_if(~old).over(key).alias("_na"))
+             .withColumn("_twins", F.count_if(~old).over(alike))
+             .withColumn("_same", F.sum(F.when(old, F.col("_twins")).otherwise(0)).over(key)))
+    kind = (F.when(old & (F.col("_na") == 0), F.lit(DELETE)).when(old, F.lit(PRE))
+             .when(F.col("_nb") == 0, F.lit(INSERT)).otherwise(F.lit(POST)))
+    times = F.when((F.col("_nb") > 0) & (F.col("_na") > 0), F.col("_nb") * F.col("_na") - F.col("_same")).otherwise(F.col("_nb") + F.col("_na"))
+    each = n.where(times > 0).withColumn("_times", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    return each.select(*cols, kind.alias(CHANGE_COL))
 
 
 def _changes(j: DataFrame, cols, compare) -> DataFrame:
